@@ -153,15 +153,7 @@ def smallest_class(spark, sf):
 @query("shuffled_order", """
     SELECT doc_id, row_number() OVER (ORDER BY md5('24|' || doc_id), doc_id) AS place FROM labels""")
 def shuffled_order(spark, sf):
-    labels = sampling.shuffled(table(spark, sf, "labels").select("doc_id"), ["doc_id"])
-    # The place is the position inside a sorted partition plus the rows of the partitions before it.
-    parts = labels.withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id())
-    before = (parts.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_first")))
-    from pyspark.sql import Window
-    order = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    before = before.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0)))
-    return parts.join(F.broadcast(before), "_p").select(
-        "doc_id", (F.col("_m") - F.col("_first") + F.col("_before") + 1).alias("place"))
+    return sampling.hash_place(table(spark, sf, "labels").select("doc_id"), [], ["doc_id"])
 
 
 @query("cascade_counts", """
@@ -256,7 +248,8 @@ def time_slice_counts_inclusive(spark, sf):
 
 
 @query("partition_counts", """
-    SELECT year(o_orderdate) AS tw_year, month(o_orderdate) AS tw_month, day(o_orderdate) AS tw_day, count(*) AS n
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS tw_year, CAST(month(o_orderdate) AS INTEGER) AS tw_month,
+           CAST(day(o_orderdate) AS INTEGER) AS tw_day, count(*) AS n
     FROM orders GROUP BY 1, 2, 3""")
 def partition_counts(spark, sf):
     return counts.partition_counts(dates.with_date_parts(table(spark, sf, "orders"), "o_orderdate"))
@@ -336,10 +329,11 @@ def locate_users(spark, sf):
 
 
 @query("keys_to_do", """
-    SELECT c_custkey AS user_id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+    SELECT c_custkey AS user_id FROM customer WHERE c_custkey NOT IN (
+      SELECT o_custkey FROM orders WHERE o_totalprice > 400000)""")
 def keys_to_do(spark, sf):
     return incremental.keys_to_do(table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id")),
-                                  table(spark, sf, "orders"), "user_id", "o_custkey")
+                                  table(spark, sf, "orders").filter("o_totalprice > 400000"), "user_id", "o_custkey")
 
 
 @query("days_to_do", """

@@ -8,7 +8,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("tests", master="local[4]", shuffle_partitions=4,
-                            **{"spark.ui.enabled": "false", "spark.driver.memory": "4g"})
+                            **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
