@@ -153,7 +153,7 @@ def segment_terms(spark, sf):
         lambda i: F.concat(F.lit("#"), F.element_at("tokens", i), F.element_at("tokens", i + 1))), " "))
     ranks = vocab.corpus_words(docs, size=50_000)
     out = tokenizer.tokenize(glued.select("doc_id", "glued"), "glued", words=ranks, hashtags="split", normalize=False)
-    return out.select(F.explode("tokens").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return arrays.exploded(out, "tokens", "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("stem_vocab")
@@ -241,9 +241,9 @@ def padded_ids(spark, sf):
                  unnest(list_concat(ws[3:], [NULL, NULL])) AS c FROM t WHERE len(ws) > 0)
     SELECT gram, count(*) AS n FROM (
       SELECT a AS gram FROM x UNION ALL SELECT a || '_' || b FROM x WHERE b IS NOT NULL
-      UNION ALL SELECT a || '_' || b || '_' || c FROM x WHERE c IS NOT NULL) GROUP BY gram""")
+      UNION ALL SELECT a || '_' || b || '_' || c FROM x WHERE c IS NOT NULL) WHERE gram IS NOT NULL GROUP BY gram""")
 def ngrams(spark, sf):
-    grams = words(spark, sf).select(F.explode(arrays.with_ngrams(F.col("tokens"), 3, "_")).alias("gram"))
+    grams = arrays.exploded(words(spark, sf), arrays.with_ngrams(F.col("tokens"), 3, "_"), "gram")
     return grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -55,3 +55,16 @@ def union_words(*lists: list[str]) -> list[str]:
 
 def join_tokens(tokens: Column, sep: str = " ") -> Column:
     return F.array_join(tokens, sep)
+
+
+def exploded(df, array, name: str, *keep):
+    """One row per entry of ``array``; rows with an empty list vanish.
+
+    The outer form plus a filter: for the inner form Spark infers ``size(array) > 0`` and pushes it down
+    to the scan, which would compute a costly list expression (a whole tokenization) twice.
+    """
+    return df.select(*keep, F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())
+
+
+def pos_exploded(df, array, position: str, name: str, *keep):
+    return df.select(*keep, F.posexplode_outer(array).alias(position, name)).filter(F.col(position).isNotNull())

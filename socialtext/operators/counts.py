@@ -6,6 +6,8 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from socialtext.functions.arrays import exploded
+
 
 def cascade_counts(df: DataFrame, original: Column | str) -> DataFrame:
     """Reposts per original, most first."""
@@ -96,12 +98,12 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def explode_tokens(df: DataFrame, id_col: str, tokens_col: str = "tokens") -> DataFrame:
-    return df.select(id_col, F.explode(tokens_col).alias("term"))
+    return exploded(df, tokens_col, "term", id_col)
 
 
 def vocabulary_size(df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
     """Distinct words and words, one row. Words are counted first, so the distinct step sees each word once."""
-    terms = df.select(F.explode(tokens_col).alias("term")).groupBy("term").count()
+    terms = exploded(df, tokens_col, "term").groupBy("term").count()
     return terms.agg(F.count(F.lit(1)).alias("vocabulary"), F.coalesce(F.sum("count"), F.lit(0)).alias("words"))
 
 

@@ -10,21 +10,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from socialtext.functions.arrays import exploded
+
 UNDECIDED = "00"
 
 
 def trigrams(text: Column) -> Column:
     """Letter trigrams of the lower-cased text; runs of other characters are one blank."""
     clean = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " ")), F.lit(" "))
-    starts = F.sequence(F.lit(1), F.greatest(F.length(clean) - 2, F.lit(1)))
-    return F.when(F.length(clean) >= 3, F.transform(starts, lambda i: F.substring(clean, i, F.lit(3)))).otherwise(
-        F.array().cast("array<string>"))
+    # A look-ahead match at every place: one walk over the text, where substring would start anew each time.
+    return F.regexp_extract_all(clean, F.lit("(?s)(?=(...))"), 1)
 
 
 def fit_profiles(sample: DataFrame, text_col: str, language_col: str) -> DataFrame:
     """``gram, entries``: per trigram its languages with ``ln(c + 1)``."""
-    grams = sample.filter(F.col(language_col).isNotNull()).select(
-        F.col(language_col).alias("language"), F.explode(trigrams(F.col(text_col))).alias("gram"))
+    grams = exploded(sample.filter(F.col(language_col).isNotNull()), trigrams(F.col(text_col)), "gram",
+                     F.col(language_col).alias("language"))
     counted = grams.groupBy("language", "gram").agg(F.count(F.lit(1)).alias("c"))
     return counted.groupBy("gram").agg(
         F.collect_list(F.struct("language", F.ln(F.col("c") + 1).alias("weight"), "c")).alias("entries"))
@@ -43,7 +44,7 @@ def language_scores(df: DataFrame, id_col: str, text_col: str, profiles: DataFra
     The trigrams of a text are counted in its own task first. The profile table has one row per
     trigram of letters; AQE broadcasts it while it is small and splits frequent trigrams otherwise.
     """
-    grams = df.select(id_col, F.explode(trigrams(F.col(text_col))).alias("gram")).groupBy(id_col, "gram").agg(
+    grams = exploded(df, trigrams(F.col(text_col)), "gram", id_col).groupBy(id_col, "gram").agg(
         F.count(F.lit(1)).alias("tf"))
     hits = grams.join(profiles.select("gram", "entries"), "gram")
     known = F.struct(F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("weight"), F.lit(0).cast("long").alias("c"))

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from socialtext.functions.arrays import exploded
+
 
 def pair_scores(df: DataFrame, tokens_col: str = "tokens", min_count: int = 5) -> DataFrame:
     """``a, b, n, npmi`` of neighbouring words that occur together at least ``min_count`` times.
 
     ``npmi = ln(p_ab / (p_a · p_b)) / −ln p_ab``, with all probabilities over the number of words.
     """
-    words = df.select(F.explode(tokens_col).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    words = exploded(df, tokens_col, "w").groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     total = words.agg(F.sum("n").cast("double").alias("t")).scalar()
     neighbours = F.arrays_zip(
         F.slice(tokens_col, F.lit(1), F.greatest(F.size(tokens_col) - 1, F.lit(0))).alias("a"),
         F.slice(tokens_col, F.lit(2), F.greatest(F.size(tokens_col) - 1, F.lit(0))).alias("b"))
-    pairs = (df.select(F.explode(neighbours).alias("p")).select("p.a", "p.b")
+    pairs = (exploded(df, neighbours, "p").select("p.a", "p.b")
              .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count))
     joined = (pairs.join(words.select(F.col("w").alias("a"), F.col("n").alias("n_a")), "a")
               .join(words.select(F.col("w").alias("b"), F.col("n").alias("n_b")), "b"))
@@ -40,7 +42,7 @@ def merge_phrases(df: DataFrame, id_col: str, pairs: DataFrame, tokens_col: str
         F.filter(F.sequence(F.lit(1), F.size(tokens_col)), lambda i: i < F.size(tokens_col)),
         lambda i: F.struct(i.alias("i"), F.element_at(tokens_col, i).alias("a"), F.element_at(tokens_col, i + 1).alias("b")))
     long_enough = df.filter(F.size(tokens_col) >= 2)
-    hits = (long_enough.select(id_col, F.explode(neighbours).alias("p")).select(id_col, "p.*")
+    hits = (exploded(long_enough, neighbours, "p", id_col).select(id_col, "p.*")
             .join(pairs.select("a", "b").distinct(), ["a", "b"])
             .groupBy(id_col).agg(F.array_sort(F.collect_list("i")).alias("_hits")))
     start = F.struct(F.lit(-1).alias("last"), F.array().cast("array<int>").alias("out"))
