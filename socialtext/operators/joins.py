@@ -58,7 +58,7 @@ def class_similarity(docs: DataFrame, id_col: str, vector_col: str, classes: Dat
 
     if number <= chunk:
         every = classes.agg(F.sort_array(F.collect_list(entries)).alias("c")).scalar()
-        rows = docs.select(id_col, scored(every).alias("_s"))
+        rows = docs.select(id_col, vector_col, every.alias("_c")).select(id_col, scored(F.col("_c")).alias("_s"))
     else:
         total = classes.count()
         chunks = -(-total // chunk)
