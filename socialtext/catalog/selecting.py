@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F, types as T
 
 from socialtext.catalog.registry import query, table
 from socialtext.functions import dates
 from socialtext.operators import counts, filters, joins, merge, reshape, sampling
+from socialtext.session import ensure_checkpoint_dir
 from socialtext.sources import categories, incremental, readers
 
 START, END = dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 20, 12)
@@ -497,3 +499,57 @@ def flatten_nested(spark, sf):
     words = readers.flatten_nested(table(spark, sf, "documents").select("doc_id", paragraphs.alias("paragraphs")))
     return words.filter("word <> ''").groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("words"), F.count_distinct("paragraph").alias("paragraphs"))
+
+
+@query("sample_comments", """
+    WITH c AS (SELECT o_orderkey AS id, o_orderstatus AS subreddit, CAST(floor(o_totalprice) AS INTEGER) AS score,
+                      strftime(o_orderdate, '%Y_%m') AS month FROM orders
+               WHERE strftime(o_orderdate, '%Y_%m') BETWEEN '1996_03' AND '1996_08' AND floor(o_totalprice) >= 1000
+                 AND o_orderstatus IN ('F', 'O'))
+    SELECT month, subreddit, id, score FROM (
+      SELECT *, row_number() OVER (PARTITION BY month, subreddit ORDER BY score DESC, CAST(id AS VARCHAR)) AS rn FROM c)
+    WHERE rn <= 7""")
+def sample_comments(spark, sf):
+    from socialtext.plans.comments import sample_comments as sample
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderpriority").alias("body"),
+        F.col("o_orderstatus").alias("subreddit"), F.col("o_custkey").cast("string").alias("author"),
+        F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("created_utc"), F.lit("l").alias("link_id"),
+        F.lit("p").alias("parent_id"), F.floor("o_totalprice").cast("int").alias("score"))
+    out = sample(orders, ("1996_03", "1996_08"), ["F", "O"], None, 1000, 7, True)
+    return out.select("month", "subreddit", F.col("id").cast("long").alias("id"), "score")
+
+
+def _event_stream(spark, sf):
+    return (spark.readStream.schema(table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet")
+            .parquet(sf).withColumn("time", F.col("ts").cast("timestamp")))
+
+
+def _stream_result(spark, rows, mode):
+    """Run a stream over the files at hand into a table in the shared checkpoint folder."""
+    base = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    writer = rows.writeStream.option("checkpointLocation", f"{base}/ledger").outputMode(mode).trigger(availableNow=True)
+    if mode == "append":
+        run = writer.format("parquet").start(f"{base}/rows")
+    else:
+        run = writer.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{base}/rows")).start()
+    run.awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{base}/rows")
+
+
+@query("repeated_ids_stream", "SELECT DISTINCT event_id FROM events")
+def repeated_ids_stream(spark, sf):
+    """Every event twice, as a stream of files; the repeats are dropped."""
+    from socialtext.streaming.intake import without_repeats
+    twice = _event_stream(spark, sf).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    rows = without_repeats(twice, "time", "event_id").select("event_id")
+    return _stream_result(spark, rows, "append")
+
+
+@query("window_counts_stream", """
+    SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY 1""")
+def window_counts_stream(spark, sf):
+    """Daily counts by a stream in complete mode, so the open last window is given too."""
+    from socialtext.streaming.intake import window_counts
+    rows = _stream_result(spark, window_counts(_event_stream(spark, sf), "time"), "complete")
+    return rows.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "n")

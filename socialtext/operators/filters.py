@@ -65,14 +65,16 @@ def sigma_bounds(df: DataFrame, columns: list[str], sigmas: float = 3.0) -> Data
     return df.agg(*stats)
 
 
-def sigma_filter(df: DataFrame, columns: list[str], sigmas: float = 3.0, symmetric: bool = False) -> DataFrame:
+def sigma_filter(df: DataFrame, columns: list[str], sigmas: float = 3.0, symmetric: bool = False,
+                 bounds_from: DataFrame | None = None) -> DataFrame:
     """Rows whose counters lie within the bounds, ends included.
 
     The bounds come from ``log10(x + 1)`` and are tested on ``log10(x)``, so a row with a zero counter
     is dropped; ``symmetric`` tests ``log10(x + 1)``. The bounds are scalar subqueries: Spark
-    merges them into one aggregate, and nothing is collected by hand.
+    merges them into one aggregate, and nothing is collected by hand. ``bounds_from`` takes them
+    from another table.
     """
-    bounds = sigma_bounds(df, columns, sigmas)
+    bounds = sigma_bounds(df if bounds_from is None else bounds_from, columns, sigmas)
     tests = []
     for i, c in enumerate(columns):
         value = F.log10(F.col(c) + 1) if symmetric else F.log10(c)
