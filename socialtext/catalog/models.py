@@ -151,35 +151,41 @@ def u_mass(spark, sf):
     return coherence.coherence(docs, top, "u_mass").withColumn("value", F.round("value", 6))
 
 
-_WINDOW_SQL = _TOPIC_SQL + """,
-    win AS (SELECT doc_id, s, list_distinct([x FOR x IN ws[s:s + 9] IF list_contains(tws, x)]) AS ws
-            FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 10 + 1, 1) + 1)) AS s, tws
+def _window_sql(size: int) -> str:
+    return _TOPIC_SQL + f""",
+    win AS (SELECT doc_id, s, list_distinct([x FOR x IN ws[s:s + {size - 1}] IF list_contains(tws, x)]) AS ws
+            FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - {size} + 1, 1) + 1)) AS s, tws
                   FROM d, (SELECT list(DISTINCT word) AS tws FROM tw))),
     h AS (SELECT doc_id, s, unnest(ws) AS word FROM win),
     n AS (SELECT count(*)::DOUBLE AS t FROM win),
     c1 AS (SELECT word, count(*) / t AS p FROM h, n GROUP BY word, t),
     c2 AS (SELECT x.word AS w, y.word AS v, count(*) / t AS p FROM h x JOIN h y ON x.doc_id = y.doc_id AND x.s = y.s, n GROUP BY 1, 2, t),
-    pr AS (SELECT a.topic, pw.p AS p_w, pv.p AS p_v, coalesce(c2.p, 0) + 1e-12 AS p
-           FROM tw a JOIN tw b ON a.topic = b.topic AND a.word <> b.word JOIN c1 pw ON pw.word = a.word
-           JOIN c1 pv ON pv.word = b.word LEFT JOIN c2 ON c2.w = a.word AND c2.v = b.word)"""
+    every AS (SELECT a.topic, a.word AS w, b.word AS v, pw.p AS p_w, pv.p AS p_v, coalesce(c2.p, 0) + 1e-12 AS p
+           FROM tw a JOIN tw b ON a.topic = b.topic JOIN c1 pw ON pw.word = a.word
+           JOIN c1 pv ON pv.word = b.word LEFT JOIN c2 ON c2.w = a.word AND c2.v = b.word),
+    pr AS (SELECT * FROM every WHERE w <> v)"""
 
 
-@query("c_npmi", _WINDOW_SQL + " SELECT topic, round(avg(ln(p / (p_w * p_v)) / -ln(p)), 6) AS value FROM pr GROUP BY topic")
+@query("c_npmi", _window_sql(10) + " SELECT topic, round(avg(ln(p / (p_w * p_v)) / -ln(p)), 6) AS value FROM pr GROUP BY topic")
 def c_npmi(spark, sf):
     docs, top = _topic_words(spark, sf)
     return coherence.coherence(docs, top, "c_npmi").withColumn("value", F.round("value", 6))
 
 
-@query("c_uci", _WINDOW_SQL + " SELECT topic, round(avg(ln(p / (p_w * p_v))), 6) AS value FROM pr GROUP BY topic")
+@query("c_uci", _window_sql(10) + " SELECT topic, round(avg(ln(p / (p_w * p_v))), 6) AS value FROM pr GROUP BY topic")
 def c_uci(spark, sf):
     docs, top = _topic_words(spark, sf)
     return coherence.coherence(docs, top, "c_uci").withColumn("value", F.round("value", 6))
 
 
-@query("c_v")
+@query("c_v", _window_sql(110) + """,
+    x AS (SELECT topic, w, v, ln(p / (p_w * p_v)) / -ln(p) AS x FROM every),
+    whole AS (SELECT topic, v, sum(x) AS s FROM x GROUP BY 1, 2),
+    cos AS (SELECT topic, w, sum(x * s) / sqrt(sum(x * x) * sum(s * s)) AS c FROM x JOIN whole USING (topic, v) GROUP BY 1, 2)
+    SELECT topic, round(avg(c), 6) AS value FROM cos GROUP BY topic""")
 def c_v(spark, sf):
     docs, top = _topic_words(spark, sf)
-    return coherence.coherence(docs, top, "c_v")
+    return coherence.coherence(docs, top, "c_v").withColumn("value", F.round("value", 6))
 
 
 def _fit_small(spark, sf, k=5):

@@ -330,7 +330,16 @@ def phrase_list(spark, sf):
     return phrases.learn_phrases(words(spark, sf)).select("a", "b")
 
 
-@query("phrase_merge")
+@query("phrase_merge", _PAIRS_SQL + """,
+    x AS (SELECT doc_id, generate_subscripts(ws, 1) AS pos, unnest(ws) AS a, unnest(list_concat(ws[2:], [NULL])) AS b FROM d WHERE len(ws) > 0),
+    hit AS (SELECT x.*, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS island
+            FROM x JOIN (SELECT a, b FROM s WHERE npmi > 0.3) k USING (a, b)),
+    chosen AS (SELECT doc_id, pos FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, island ORDER BY pos) AS k FROM hit) WHERE k % 2 = 1),
+    kept AS (SELECT x.doc_id, x.pos, CASE WHEN c.pos IS NULL THEN a ELSE a || '_' || b END AS t
+             FROM x LEFT JOIN chosen c ON c.doc_id = x.doc_id AND c.pos = x.pos
+             LEFT JOIN chosen p ON p.doc_id = x.doc_id AND p.pos = x.pos - 1 WHERE p.pos IS NULL)
+    SELECT d.doc_id, CAST(count(t) AS INTEGER) AS n, coalesce(string_agg(t, ' ' ORDER BY pos), '') AS joined
+    FROM d LEFT JOIN kept USING (doc_id) GROUP BY d.doc_id""")
 def phrase_merge(spark, sf):
     docs = words(spark, sf)
     merged = phrases.merge_phrases(docs, "doc_id", phrases.learn_phrases(docs))

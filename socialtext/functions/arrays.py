@@ -5,6 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def counted(tokens: Column) -> Column:
+    """Distinct entries with their counts, as ``array<struct<term, tf>>``.
+
+    Sort, find where each run starts, subtract: done inside the row, so no shuffle is needed.
+    """
+    def runs(s: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.size(s)), lambda i: (i == 1) | (F.get(s, i - 1) != F.get(s, i - 2)))
+        return let(starts, lambda at: F.transform(at, lambda p, k: F.struct(
+            F.get(s, p - 1).alias("term"),
+            (F.coalesce(F.get(at, k + 1), F.size(s) + 1) - p).cast("long").alias("tf"))))
+
+    return F.when(F.size(tokens) > 0, let(F.array_sort(tokens), runs))
+
+
 def with_ngrams(tokens: Column, n: int, sep: str = " ") -> Column:
     """The tokens followed by their 2-grams, 3-grams, … n-grams."""
     if n < 1:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from socialtext.functions.arrays import exploded
+from socialtext.session import BROADCAST_ROWS
 
 UNDECIDED = "00"
 
@@ -38,24 +39,30 @@ def _penalties(profiles: DataFrame) -> DataFrame:
     return total.select("language", F.ln(F.col("t") + distinct).alias("penalty"))
 
 
-def language_scores(df: DataFrame, id_col: str, text_col: str, profiles: DataFrame) -> DataFrame:
+def language_scores(df: DataFrame, id_col: str, text_col: str, profiles: DataFrame,
+                    max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``id, language, score`` for every text with a known trigram.
 
-    The trigrams of a text are counted in its own task first. The profile table has one row per
-    trigram of letters; AQE broadcasts it while it is small and splits frequent trigrams otherwise.
+    A profile table that is counted to be small is broadcast, and the trigrams are summed per text and
+    language where they are read: only texts × languages rows are shuffled. With a larger table the
+    trigrams of a text are counted first and joined by shuffle, where AQE splits frequent trigrams.
     """
-    grams = exploded(df, trigrams(F.col(text_col)), "gram", id_col).groupBy(id_col, "gram").agg(
-        F.count(F.lit(1)).alias("tf"))
-    hits = grams.join(profiles.select("gram", "entries"), "gram")
-    known = F.struct(F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("weight"), F.lit(0).cast("long").alias("c"))
-    parts = hits.select(id_col, "tf", F.explode(F.concat("entries", F.array(known))).alias("e"))
+    grams = exploded(df, trigrams(F.col(text_col)), "gram", id_col)
+    table = profiles.select("gram", "entries").persist()
+    if table.count() <= max_broadcast_rows:
+        hits = grams.withColumn("tf", F.lit(1)).join(F.broadcast(table), "gram")
+    else:
+        hits = grams.groupBy(id_col, "gram").agg(F.count(F.lit(1)).alias("tf")).join(table, "gram")
+    parts = hits.select(id_col, "tf", F.explode(F.concat(
+        F.transform("entries", lambda e: F.struct(e["language"].alias("language"), e["weight"].alias("weight"))),
+        F.array(F.struct(F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("weight"))))).alias("e"))
     sums = parts.groupBy(id_col, "e.language").agg(
         F.sum(F.col("tf") * F.col("e.weight")).alias("s"), F.sum("tf").alias("tf"))
     # The row with a null language holds the known trigrams of the text.
     per_text = sums.groupBy(id_col).agg(
         F.max(F.when(F.col("language").isNull(), F.col("tf"))).alias("known"),
         F.collect_list(F.when(F.col("language").isNotNull(), F.struct("language", "s"))).alias("found"))
-    languages = _penalties(profiles).agg(F.sort_array(F.collect_list(F.struct("language", "penalty")))).scalar()
+    languages = _penalties(table).agg(F.sort_array(F.collect_list(F.struct("language", "penalty")))).scalar()
     # Every language is scored, also one that shares no trigram with the text.
     scored = per_text.select(id_col, "known", "found", F.explode(languages).alias("l"))
     gained = F.aggregate(F.filter("found", lambda x: x["language"] == F.col("l.language")), F.lit(0.0),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from socialtext.functions.arrays import exploded
+from socialtext.session import sized_broadcast
 
 
 def pair_scores(df: DataFrame, tokens_col: str = "tokens", min_count: int = 5) -> DataFrame:
@@ -43,7 +44,7 @@ def merge_phrases(df: DataFrame, id_col: str, pairs: DataFrame, tokens_col: str
         lambda i: F.struct(i.alias("i"), F.element_at(tokens_col, i).alias("a"), F.element_at(tokens_col, i + 1).alias("b")))
     long_enough = df.filter(F.size(tokens_col) >= 2)
     hits = (exploded(long_enough, neighbours, "p", id_col).select(id_col, "p.*")
-            .join(pairs.select("a", "b").distinct(), ["a", "b"])
+            .join(sized_broadcast(pairs.select("a", "b").distinct()), ["a", "b"])
             .groupBy(id_col).agg(F.array_sort(F.collect_list("i")).alias("_hits")))
     start = F.struct(F.lit(-1).alias("last"), F.array().cast("array<int>").alias("out"))
     chosen = F.aggregate("_hits", start, lambda s, i: F.when(

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from socialtext.operators import merge, reshape
+from socialtext.session import BROADCAST_ROWS
 
 # Key and payload rows of each table.
 TABLES = {
@@ -32,13 +33,16 @@ def stored(spark: SparkSession, path: str) -> DataFrame | None:
 def new_table_rows(rows: DataFrame, key: str, target: DataFrame | None) -> DataFrame:
     """Rows to append: first of each key, keys of the target left out.
 
-    Only target keys that occur in the batch take part: the small batch is matched against the large
-    table first, so the large table need not be shuffled.
+    Only target keys that occur in the batch take part. The keys of a batch that is counted to be small are
+    broadcast to the scan of the large table, which then is not shuffled.
     """
     first = merge.keep_first(rows.filter(F.col(key).isNotNull()), [key], first_seen(rows)).drop(*ORDER)
     if target is None:
         return first
-    known = target.select(key).join(rows.select(key).distinct(), key, "left_semi")
+    keys = rows.select(key).distinct()
+    if keys.count() <= BROADCAST_ROWS:
+        keys = F.broadcast(keys)
+    known = target.select(key).join(keys, key, "left_semi")
     return merge.new_rows(first, known, [key])
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# A side that Catalyst estimates above this is never broadcast by hand.
-BROADCAST_BYTES = 64 * 1024 * 1024
+# A side with more rows than this is never broadcast by hand.
+BROADCAST_ROWS = 2_000_000
 # Inputs below this are spread over the cores; larger ones come in enough splits.
 SMALL_INPUT_BYTES = 256 * 1024 * 1024
 
@@ -51,6 +51,17 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A lookup side for a join: broadcast when it is counted to be small, else left to a shuffle join.
+
+    Without the hint Spark would shuffle the large side before it learns how small the other one is.
+    The rows are kept between the count and the join. A larger side is joined by shuffle, where AQE
+    splits hot keys.
+    """
+    kept = df.persist()
+    return F.broadcast(kept) if kept.count() <= max_rows else kept
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a small input over all cores before expensive per-row work.
 
