@@ -17,11 +17,12 @@ def counted(tokens: Column) -> Column:
     """
     def runs(s: Column) -> Column:
         starts = F.filter(F.sequence(F.lit(1), F.size(s)), lambda i: (i == 1) | (F.get(s, i - 1) != F.get(s, i - 2)))
-        return let(starts, lambda at: F.transform(at, lambda p, k: F.struct(
+        return F.when(F.size(s) > 0, let(starts, lambda at: F.transform(at, lambda p, k: F.struct(
             F.get(s, p - 1).alias("term"),
-            (F.coalesce(F.get(at, k + 1), F.size(s) + 1) - p).cast("long").alias("tf"))))
+            (F.coalesce(F.get(at, k + 1), F.size(s) + 1) - p).cast("long").alias("tf")))))
 
-    return F.when(F.size(tokens) > 0, let(F.array_sort(tokens), runs))
+    # sort_array compares natively; array_sort would call a comparator expression per pair.
+    return let(F.sort_array(tokens), runs)
 
 
 def with_ngrams(tokens: Column, n: int, sep: str = " ") -> Column:

@@ -27,7 +27,7 @@ NUMBER_WORDS = [
     "trillion", "quadrillion", "gajillion", "bazillion",
 ]
 
-# Epidemic terms, mapped to one token.
+# Epidemic terms, mapped to one token; longer forms stand before their beginnings.
 EPIDEMIC_PATTERN = (
     "sars-cov-2|sars-cov|sarscov-2|sarscov2|sarscov|covid_19|covidー19|covid-19|covid 19|covid2019|covid19|covid|"
     "cov2019|cov19|cov-2|cov2|cov 19|corona-virus|corona virus|corona"

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from socialtext.functions.arrays import exploded
+from socialtext.functions.arrays import counted, exploded
 from socialtext.session import BROADCAST_ROWS
 
 UNDECIDED = "00"
@@ -25,10 +25,10 @@ def trigrams(text: Column) -> Column:
 
 def fit_profiles(sample: DataFrame, text_col: str, language_col: str) -> DataFrame:
     """``gram, entries``: per trigram its languages with ``ln(c + 1)``."""
-    grams = exploded(sample.filter(F.col(language_col).isNotNull()), trigrams(F.col(text_col)), "gram",
+    grams = exploded(sample.filter(F.col(language_col).isNotNull()), counted(trigrams(F.col(text_col))), "_g",
                      F.col(language_col).alias("language"))
-    counted = grams.groupBy("language", "gram").agg(F.count(F.lit(1)).alias("c"))
-    return counted.groupBy("gram").agg(
+    sums = grams.groupBy("language", F.col("_g.term").alias("gram")).agg(F.sum("_g.tf").alias("c"))
+    return sums.groupBy("gram").agg(
         F.collect_list(F.struct("language", F.ln(F.col("c") + 1).alias("weight"), "c")).alias("entries"))
 
 
@@ -43,19 +43,19 @@ def language_scores(df: DataFrame, id_col: str, text_col: str, profiles: DataFra
                     max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``id, language, score`` for every text with a known trigram.
 
-    A profile table that is counted to be small is broadcast, and the trigrams are summed per text and
-    language where they are read: only texts × languages rows are shuffled. With a larger table the
-    trigrams of a text are counted first and joined by shuffle, where AQE splits frequent trigrams.
+    The trigrams of a text are counted inside its row. A profile table that is counted to be small is
+    broadcast, so only texts × languages sums are shuffled. A larger one is joined by shuffle, where AQE
+    splits frequent trigrams.
     """
-    grams = exploded(df, trigrams(F.col(text_col)), "gram", id_col)
+    grams = exploded(df, counted(trigrams(F.col(text_col))), "_g", id_col).select(
+        id_col, F.col("_g.term").alias("gram"), "_g.tf")
     table = profiles.select("gram", "entries").persist()
     if table.count() <= max_broadcast_rows:
-        hits = grams.withColumn("tf", F.lit(1)).join(F.broadcast(table), "gram")
+        hits = grams.join(F.broadcast(table), "gram")
     else:
-        hits = grams.groupBy(id_col, "gram").agg(F.count(F.lit(1)).alias("tf")).join(table, "gram")
-    parts = hits.select(id_col, "tf", F.explode(F.concat(
-        F.transform("entries", lambda e: F.struct(e["language"].alias("language"), e["weight"].alias("weight"))),
-        F.array(F.struct(F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("weight"))))).alias("e"))
+        hits = grams.join(table, "gram")
+    known = F.struct(F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("weight"), F.lit(0).cast("long").alias("c"))
+    parts = hits.select(id_col, "tf", F.explode(F.concat("entries", F.array(known))).alias("e"))
     sums = parts.groupBy(id_col, "e.language").agg(
         F.sum(F.col("tf") * F.col("e.weight")).alias("s"), F.sum("tf").alias("tf"))
     # The row with a null language holds the known trigrams of the text.
