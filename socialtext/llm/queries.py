@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from socialtext.llm import exact_dedup, language_id, mixing, pieces, repetition, secrets, sharding, wrappers
+from socialtext.llm import exact_dedup, language_id, mixing, pieces, repeats, repetition, secrets, sharding, similar, wrappers
 
 
 def _docs(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove(_docs(spark, folder)).drop("kept_bytes")
+
+
 def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     """Soft memberships, rate and whole copies of every document."""
     mixed = mixing.mix(_docs(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
@@ -49,8 +53,12 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(_docs(spark, folder))
 
 
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return similar.grouped(_docs(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_mix_sources, op3_exact_dedup, op4_html_extract, op5_quality_repetition, op6_shard_links, op7_secret_scan, op8_sentencepiece, op9_language_id)
+    f.__name__: f for f in (op1_suffix_dedup, op2_mix_sources, op3_exact_dedup, op4_html_extract, op5_quality_repetition, op6_shard_links, op7_secret_scan, op8_sentencepiece, op9_language_id, op10_jaccard_join)
 }
 
 ORACLE: dict[str, str] = {

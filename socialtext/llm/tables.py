@@ -75,3 +75,16 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
         if new.where(F.col("was") != F.col("component")).limit(1).count() == 0:
             return labels
     raise RuntimeError(f"labels still change after {rounds} rounds")
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` is not in ``dropped``, with all their columns.
+
+    Rows whose filter bucket holds no dropped id pass without a shuffle; the others are compared exactly.
+    """
+    gone = stored(dropped.select(F.col("doc_id").alias("_id")).where("_id is not null").distinct(), "dropped")
+    hit = gone.select(bucket_of(F.col("_id")).alias("_bucket")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), bucket_of(F.col("doc_id")).alias("_bucket"), F.col("doc_id").alias("_doc"))
+    calm = rows.join(F.broadcast(hit), "_bucket", "left_anti").select("row")
+    doubt = rows.join(F.broadcast(hit), "_bucket", "left_semi").join(gone, F.col("_doc") == F.col("_id"), "left_anti").select("row")
+    return calm.union(doubt).select("row.*")
