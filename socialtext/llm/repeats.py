@@ -228,7 +228,7 @@ def _decided(contexts: DataFrame) -> DataFrame:
     solved = stored(dealt.groupBy("task").applyInPandas(solve, "key long, first_doc long, mask long, offset int, string binary, least long"), "repeat-solved")
     strings = solved.where("offset >= 0")
     over = stored(strings.groupBy("string").agg(F.min("least").alias("least_all")), "repeat-strings")
-    late = strings.join(over, "string").where("least_all < first_doc").select("key", "first_doc", F.shiftleft(F.lit(1).cast("long"), F.col("offset")).alias("mask"))
+    late = strings.join(over, "string").where("least_all < first_doc").select("key", "first_doc", F.expr("shiftleft(1L, offset)").alias("mask"))
     masks = solved.where("offset < 0").select("key", "first_doc", "mask").union(late)
     return masks.groupBy("key").agg(F.min("first_doc").alias("first_doc"), F.bit_or("mask").alias("mask"))
 
