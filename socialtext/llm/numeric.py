@@ -21,7 +21,7 @@ _LOWER[65:91] += 32
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A permutation of 64-bit numbers that spreads every bit."""
-    x = x.astype(np.uint64)
+    x = x.astype(np.uint64)  # a copy
     x ^= x >> np.uint64(30)
     x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(27)
@@ -42,12 +42,12 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Spans:
-    """Hash of any span of ``data``: a polynomial over 64-bit numbers, from prefix sums."""
+    """Hash of any span of ``data`` (bytes, or 64-bit numbers): a polynomial over 64-bit numbers, from prefix sums."""
 
     def __init__(self, data: np.ndarray):
         self.up, self.down = _powers(max(1 << (len(data) + 1).bit_length(), 2 * PIECE_BYTES))
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_VALUE[data] * self.up[: len(data)], out=self.sums[1:])
+        np.cumsum((_VALUE[data] if data.dtype == np.uint8 else mix(data)) * self.up[: len(data)], out=self.sums[1:])
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64))

@@ -25,7 +25,7 @@ from socialtext.llm.tables import prepare
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of text whose marked words share one trie.
-GROUP_CHARS = 16 << 20
+GROUP_CHARS = 8 << 20
 _MARKED = re.compile("\n| *[^ \n]+| +")
 
 

@@ -1,18 +1,18 @@
 """Removes passages of ``LENGTH`` bytes and more that an earlier document has, found with suffix arrays.
 
 A byte goes when a string of 50 bytes that covers it also starts in a document with a smaller ``doc_id``; strings are judged
-on the input. Every such string contains an anchor: a string of 20 bytes whose hash is the least of its window of 31
+on the input. Every such string contains an anchor: a string of 32 bytes whose hash is the least of its window of 19
 positions, chosen alike wherever the string occurs. Around an anchor lie all strings that it stands for, its context.
 
 1. Every task sends, once per anchor, a hash of the anchor and of its context. Anchors met in several places are noted in
-   two bit tables of fixed size (``2 ** FILTER_BITS`` bits each): those with one context everywhere, and those with several.
-   False hits of the tables cost time only.
-2. A second scan emits the noted anchors. With one context, the smallest document of the context is known by an aggregate
-   and every later document loses the whole context.
-3. Contexts that differ around the same anchor are written out, once each, and dealt to tasks by anchor. A task concatenates
-   its contexts and builds their suffix array by linear grouping; neighbours that agree in 50 bytes form the groups of equal
-   strings, and the smallest document of a group decides. Anchors with very many contexts are split into blocks; what the
-   suffix array of each block groups is then brought together by the 50 bytes themselves.
+   bit tables of fixed size (``2 ** FILTER_BITS`` bits each): those with one context everywhere, those with several, and
+   those met very often. False hits of the tables cost time only.
+2. A second scan deals the noted anchors to tasks. With one context, every document but the smallest loses the whole context.
+3. Where contexts differ around the same anchor, a task concatenates them, each once, and builds their suffix array by
+   linear grouping (the anchor itself, equal in all of them, is one symbol). Neighbours in the array that agree in a whole
+   string form the groups of equal strings, and the smallest document of a group decides.
+4. Anchors met more than ``OFTEN`` times are not gathered: their smallest documents come from aggregates, their contexts are
+   split into blocks with a suffix array each, and the groups of the blocks are brought together by the strings themselves.
 
 Null texts are empty. Documents with one ``doc_id`` do not remove from each other; a null ``doc_id`` neither removes nor
 loses anything. Repeated rows get equal results; other columns are not read; an empty table gives an empty result.
@@ -21,6 +21,7 @@ loses anything. Repeated rows get equal results; other columns are not read; an
 from __future__ import annotations
 
 import hashlib
+import pickle
 
 import numpy as np
 import pandas as pd
@@ -30,15 +31,22 @@ from pyspark.sql import DataFrame, functions as F
 from socialtext.llm.numeric import Spans, mix, pieces
 from socialtext.llm.suffixes import suffix_array
 from socialtext.llm.tables import bucket_of, prepare, stored
+from socialtext.session import estimated_bytes
 
 LENGTH = 50
-ANCHOR = 20
+ANCHOR = 32
 FILTER_BITS = 26
-#: Anchors that a task of the first scan holds before it sends them on.
+#: Entries of the first scan: 40 bits of the anchor within its part, 32 of the context, the count and whether contexts differ.
+_ENTRY = np.dtype([("a", "<u4"), ("b", "u1"), ("c", "<u4"), ("f", "u1")])
+#: Anchors that a task holds before it sends them on.
 _HELD = 1 << 20
-#: Contexts whose suffix array is built at once, and the most of one anchor in a block.
-_TOGETHER = 4000
-_BLOCK = 2000
+#: Contexts whose suffix array is built at once (more, if one anchor has more), and the most of one anchor in a block.
+_TOGETHER = 3000
+_BLOCK = 1500
+#: Occurrences beyond which an anchor is not gathered in one task.
+OFTEN = 3000
+#: Bytes of input (as stored) for each part that is gathered in a task.
+_PART_BYTES = 2 << 20
 
 
 def _slide(values: np.ndarray, width: int, best) -> np.ndarray:
@@ -78,9 +86,23 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, anchor:
     return text, position, low, high, values[position], context
 
 
-def _noted(docs: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The two bit tables: anchors met twice or more with one context, and with several."""
-    parts = 256
+def _code(count: np.ndarray) -> np.ndarray:
+    """A count in seven bits: exact below 64, then eight steps per doubling."""
+    return np.where(count < 64, count, 64 + np.minimum(63, 8 * np.log2(np.maximum(count, 64) / 64))).astype(np.uint8)
+
+
+def _decode(code: np.ndarray) -> np.ndarray:
+    return np.where(code < 64, code, 64 * np.exp2((code.astype(float) - 64) / 8))
+
+
+def _parts(docs: DataFrame) -> int:
+    """Bits of the number of parts: a part stays small in its task, however large the input."""
+    return min(18, max(8, (estimated_bytes(docs.select("text")) // _PART_BYTES).bit_length()))
+
+
+def _noted(docs: DataFrame, bits: int, part_bits: int, often: int) -> list[np.ndarray]:
+    """The bit tables: anchors met twice or more with one context, with several, and very often."""
+    rest = np.uint64(64 - part_bits)
 
     def collect(batches):
         held: list[np.ndarray] = []
@@ -89,18 +111,16 @@ def _noted(docs: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
         def send():
             pairs = np.concatenate(held)
             pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
-            new = np.ones(len(pairs), bool)
-            new[1:] = pairs[1:, 0] != pairs[:-1, 0]
-            first = np.flatnonzero(new)
+            first = np.flatnonzero(np.concatenate([[True], pairs[1:, 0] != pairs[:-1, 0]]))
             count = np.diff(np.append(first, len(pairs)))
-            several = pairs[first, 1] != pairs[first + count - 1, 1]
             key = pairs[first, 0]
-            # 40 bits of the anchor within its part, 32 of the context, and what this task knows already.
-            out = np.empty(len(first), np.dtype([("a", "<u4"), ("b", "u1"), ("c", "<u4"), ("f", "u1")]))
-            out["a"], out["b"] = (key >> np.uint64(24)) & np.uint64(0xFFFFFFFF), (key >> np.uint64(16)) & np.uint64(0xFF)
-            out["c"], out["f"] = pairs[first, 1] >> np.uint64(32), (count > 1) + 2 * several
-            part = (key >> np.uint64(56)).astype(np.int64)
-            cut = np.searchsorted(part, np.arange(parts + 1))
+            out = np.empty(len(first), _ENTRY)
+            out["a"] = (key >> (rest - np.uint64(32))) & np.uint64(0xFFFFFFFF)
+            out["b"] = (key >> (rest - np.uint64(40))) & np.uint64(0xFF)
+            out["c"] = pairs[first, 1] >> np.uint64(32)
+            out["f"] = _code(count) | (128 * (pairs[first, 1] != pairs[first + count - 1, 1])).astype(np.uint8)
+            part = (key >> rest).astype(np.int64)
+            cut = np.searchsorted(part, np.arange((1 << part_bits) + 1))
             filled = np.flatnonzero(np.diff(cut))
             return pa.RecordBatch.from_arrays([pa.array(filled.astype(np.int32)), pa.array([out[cut[p]: cut[p + 1]].tobytes() for p in filled], pa.binary())], ["part", "data"])
 
@@ -116,155 +136,240 @@ def _noted(docs: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
             yield send()
 
     def note(frame):
-        out = np.concatenate([np.frombuffer(d, np.dtype([("a", "<u4"), ("b", "u1"), ("c", "<u4"), ("f", "u1")])) for d in frame["data"]])
+        out = np.concatenate([np.frombuffer(d, _ENTRY) for d in frame["data"]])
         key = (out["a"].astype(np.uint64) << np.uint64(8)) | out["b"]
         order = np.lexsort((out["c"], key))
         key, context, flag = key[order], out["c"][order], out["f"][order]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        count = np.diff(np.append(first, len(key)))
-        flags = np.bitwise_or.reduceat(flag, first)
-        mixed = (context[first] != context[first + count - 1]) | (flags & 2 > 0)
-        twice = (count > 1) | (flags > 0)
-        slot = (key[first] >> np.uint64(40 - (bits - 8))).astype(np.int64)
+        last = np.append(first[1:], len(key)) - 1
+        count = np.add.reduceat(_decode(flag & 127), first)
+        mixed = (context[first] != context[last]) | (np.bitwise_or.reduceat(flag, first) > 127)
+        slot = (key[first] >> np.uint64(40 - (bits - part_bits))).astype(np.int64)
         tables = []
-        for which in (twice & ~mixed, mixed):
-            table = np.zeros(1 << (bits - 8), bool)
+        for which in ((count > 1) & ~mixed, mixed, count > often):
+            table = np.zeros(1 << (bits - part_bits), bool)
             table[slot[which]] = True
             tables.append(np.packbits(table).tobytes())
-        return pd.DataFrame([(int(frame["part"].iloc[0]), *tables)], columns=["part", "one", "several"])
+        return pd.DataFrame([(int(frame["part"].iloc[0]), *tables)], columns=["part", "one", "several", "often"])
 
     sent = docs.select("text").mapInArrow(collect, "part int, data binary")
-    found = sent.groupBy("part").applyInPandas(note, "part int, one binary, several binary")
-    width = 1 << (bits - 11)
-    one, several = np.zeros(width * parts, np.uint8), np.zeros(width * parts, np.uint8)
-    for row in found.toLocalIterator():  # 256 rows of a fixed size
+    found = sent.groupBy("part").applyInPandas(note, "part int, one binary, several binary, often binary")
+    width = 1 << (bits - part_bits - 3)
+    tables = [np.zeros(width << part_bits, np.uint8) for _ in range(3)]
+    for row in found.toLocalIterator():  # 2 ** bits bits in each column, whatever the input
         at = row["part"] * width
-        one[at: at + width] = np.frombuffer(row["one"], np.uint8)
-        several[at: at + width] = np.frombuffer(row["several"], np.uint8)
-    return one, several
+        for table, name in zip(tables, ("one", "several", "often")):
+            table[at: at + width] = np.frombuffer(row[name], np.uint8)
+    return tables
 
 
-def _met(docs: DataFrame, tables: tuple[np.ndarray, np.ndarray], bits: int) -> DataFrame:
-    """``doc_id, row, low, high, key, anchor, context``: noted anchors; ``context`` holds the bytes where contexts differ."""
-    shared = docs.sparkSession.sparkContext.broadcast(tables)
-    names = ["doc_id", "row", "low", "high", "key", "anchor", "context"]
+def _noted_anchors(batch: pa.RecordBatch, tables: list[np.ndarray], bits: int, often: bool):
+    """Per piece the noted anchors that are (or are not) met often: ``doc, mark, place, key, anchor, sides`` as arrays.
 
-    def apply(batches):
-        one, several = shared.value
-        for batch in batches:
-            ids, rows = batch.column("doc_id").cast(pa.int64()), batch.column("row")
-            for first, _, data, offsets in pieces(batch):
-                text, _, low, high, value, context = anchors(data, offsets)
-                slot = (value >> np.uint64(64 - bits)).astype(np.int64)
-                byte, bit = slot >> 3, (128 >> (slot & 7)).astype(np.uint8)
-                differs = (several[byte] & bit) > 0
-                take = np.flatnonzero(differs | ((one[byte] & bit) > 0))
-                text, low, high, value, context, differs = (x[take] for x in (text, low, high, value, context, differs))
-                raw = data.tobytes()
-                bodies = [raw[a:b] if d else None for a, b, d in zip(low.tolist(), high.tolist(), differs.tolist())]
-                base = offsets[text]
-                at = pa.array(first + text)
-                yield pa.RecordBatch.from_arrays([ids.take(at), rows.take(at), pa.array((low - base).astype(np.int32)), pa.array((high - base).astype(np.int32)),
-                                                  pa.array(context.view(np.int64)), pa.array(value.view(np.int64)), pa.array(bodies, pa.binary())], names=names)
-
-    rows = docs.where("doc_id is not null").select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
-    return rows.mapInArrow(apply, "doc_id long, row long, low int, high int, key long, anchor long, context binary")
-
-
-def equal_strings(contexts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``context number, offset, group`` of every string of ``length`` bytes: equal strings share a group number.
-
-    From the suffix array of the concatenation (symbols are bytes + 2, contexts end with 1, the whole with 0).
+    ``sides`` is None for an anchor with one context, else the bytes before and after the anchor and the number before.
+    """
+    ids, marks = batch.column("doc_id").cast(pa.int64()).to_numpy(), batch.column("mark").to_numpy()
+    for first, _, data, offsets in pieces(batch):
+        text, position, low, high, value, context = anchors(data, offsets)
+        slot = (value >> np.uint64(64 - bits)).astype(np.int64)
+        one, several, hot = ((t[slot >> 3] & (128 >> (slot & 7)).astype(np.uint8)) > 0 for t in tables)
+        take = np.flatnonzero((one | several) & (hot == often))
+        text, position, low, high, value, context = (x[take] for x in (text, position, low, high, value, context))
+        raw = data.tobytes()
+        sides = [(raw[a:p] + raw[p + ANCHOR: b], p - a) if d else None
+                 for a, p, b, d in zip(low.tolist(), position.tolist(), high.tolist(), several[take].tolist())]
+        yield ids[first + text], marks[first + text], position - offsets[text], context, value, sides
+
+
+def equal_strings(contexts: list[tuple[int, bytes, int]], length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``context number, offset, group`` of every string around the anchors: equal strings share a group number.
+
+    A context is ``anchor number, bytes on both sides, bytes before``. In the concatenation an anchor is one symbol (257 and
+    up), a byte is its value + 1 and a border is 0; the last symbol is -1. A string of ``length`` bytes around the anchor is
+    ``length - anchor + 1`` symbols, offset 0 the one that starts ``length - anchor`` bytes before the anchor.
     """
     symbols: list[int] = []
-    starts = []
-    for body in contexts:
+    starts, middle = [], []
+    for number, body, left in contexts:
         starts.append(len(symbols))
-        symbols.extend(map((2).__add__, body))
-        symbols.append(1)
-    symbols.append(0)
+        symbols.extend(map((1).__add__, body[:left]))
+        middle.append(len(symbols))
+        symbols.append(257 + number)
+        symbols.extend(map((1).__add__, body[left:]))
+        symbols.append(0)
+    symbols.append(-1)
+    reach = length - anchor
+    text, starts, middle = np.array(symbols, np.int32), np.array(starts), np.array(middle)
     order = np.array(suffix_array(symbols), np.int64)
-    text = np.array(symbols, np.int16)
-    starts = np.array(starts)
     owner = np.searchsorted(starts, order, side="right") - 1
-    sizes = np.array([len(c) for c in contexts])
-    full = order + length <= starts[owner] + sizes[owner]
+    stops = np.append(starts[1:], len(symbols) - 1) - 1
+    full = (order <= middle[owner]) & (order + reach >= middle[owner]) & (order + reach < stops[owner])
     order, owner = order[full], owner[full]
-    rows = np.lib.stride_tricks.sliding_window_view(text, length)[order]
-    differs = np.ones(len(order), bool)
-    differs[1:] = (rows[1:] != rows[:-1]).any(1)
-    return owner, order - starts[owner], np.cumsum(differs) - 1
+    if not len(order):
+        return owner, order, order
+    rows = np.lib.stride_tricks.sliding_window_view(text, reach + 1)[order]
+    differs = np.concatenate([[False], (rows[1:] != rows[:-1]).any(1)])
+    return owner, order - (middle[owner] - reach), np.cumsum(differs)
+
+
+def _masks(anchor: np.ndarray, sides: list[tuple[bytes, int]], first: np.ndarray) -> np.ndarray:
+    """Per context the offsets, as bits, whose string a context with an earlier first document has. Anchors come together."""
+    mask = np.zeros(len(anchor), np.int64)
+    start = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+    stop = np.append(start[1:], len(anchor))
+    several = np.flatnonzero(stop - start > 1)
+    at = 0
+    while at < len(several):
+        rows: list[int] = []
+        contexts = []
+        while at < len(several) and len(rows) < _TOGETHER:
+            g = several[at]
+            rows.extend(range(start[g], stop[g]))
+            contexts.extend((at, *sides[r]) for r in range(start[g], stop[g]))
+            at += 1
+        numbers = np.array(rows)
+        base = contexts[0][0]
+        owner, offset, group = equal_strings([(n - base, *rest) for n, *rest in contexts])
+        least = np.full(group.max(initial=-1) + 1, np.iinfo(np.int64).max)
+        np.minimum.at(least, group, first[numbers[owner]])
+        early = least[group] < first[numbers[owner]]
+        np.bitwise_or.at(mask, numbers[owner[early]], np.int64(1) << offset[early])
+    return mask
 
 
-def _decided(contexts: DataFrame) -> DataFrame:
-    """``key, first_doc, mask``: offsets whose string an earlier document than the context's first one has, as bits.
+_SPAN = "doc_id long, mark short, place int, mask int"
 
-    ``contexts``: ``key, anchor, context, first_doc``, one row per context.
-    """
-    sizes = contexts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    known = stored(contexts.join(sizes, "anchor").withColumn("blocks", F.ceil(F.col("n") / _BLOCK).cast("int"))
-                   .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")), "repeat-contexts")
-    tasks = max(1, known.count() // _TOGETHER)
+
+def _gathered(docs: DataFrame, tables, bits: int, part_bits: int) -> DataFrame:
+    """``doc_id, mark, place, mask``: anchors whose strings an earlier document has (mask -1: all of them)."""
+
+    def deal(batches):
+        held: list[tuple] = []
+        size = 0
+
+        def send():
+            doc, mark, place, key, anchor = (np.concatenate([h[i] for h in held]) for i in range(5))
+            sides = [x for h in held for x in h[5]]
+            differs = np.array([x is not None for x in sides], bool)
+            part = (np.where(differs, anchor, key) >> np.uint64(64 - part_bits)).astype(np.int64)
+            order = np.lexsort((key, part))
+            cut = np.searchsorted(part[order], np.arange((1 << part_bits) + 1))
+            blobs, filled = [], np.flatnonzero(np.diff(cut))
+            for p in filled:
+                rows = order[cut[p]: cut[p + 1]]
+                plain, mixed = rows[~differs[rows]], rows[differs[rows]]
+                # A context is sent once with its bytes; its other occurrences have its key only.
+                new = mixed[np.unique(key[mixed], return_index=True)[1]]
+                blobs.append(pickle.dumps((
+                    [x[plain] for x in (key, doc, mark, place)], [x[mixed] for x in (key, doc, mark, place)],
+                    (key[new], anchor[new], [sides[r] for r in new]))))
+            return pa.RecordBatch.from_arrays([pa.array(filled.astype(np.int32)), pa.array(blobs, pa.binary())], ["part", "data"])
+
+        for batch in batches:
+            for found in _noted_anchors(batch, shared.value, bits, False):
+                held.append((found[0], found[1], found[2].astype(np.int32), *found[3:]))
+                size += len(found[0])
+                if size >= _HELD // 2:
+                    yield send()
+                    held, size = [], 0
+        if size:
+            yield send()
+
+    def solve(frame):
+        blobs = [pickle.loads(d) for d in frame["data"]]
+        out = []
+        key, doc, mark, place = (np.concatenate([b[0][i] for b in blobs]) for i in range(4))
+        if len(key):
+            order = np.lexsort((doc, key))
+            key, doc, mark, place = key[order], doc[order], mark[order], place[order]
+            start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            late = doc > np.repeat(doc[start], np.diff(np.append(start, len(key))))
+            out.append(pd.DataFrame({"doc_id": doc[late], "mark": mark[late], "place": place[late], "mask": -1}))
+        key, doc, mark, place = (np.concatenate([b[1][i] for b in blobs]) for i in range(4))
+        if len(key):
+            sent_key, sent_anchor = (np.concatenate([b[2][i] for b in blobs]) for i in range(2))
+            sides = [x for b in blobs for x in b[2][2]]
+            known, at = np.unique(sent_key, return_index=True)
+            first = np.full(len(known), np.iinfo(np.int64).max)
+            number = np.searchsorted(known, key)
+            np.minimum.at(first, number, doc)
+            order = np.argsort(sent_anchor[at], kind="stable")
+            mask = np.empty(len(known), np.int64)
+            mask[order] = _masks(sent_anchor[at][order], [sides[r] for r in at[order]], first[order])
+            mask = np.where(doc > first[number], -1, mask[number])
+            out.append(pd.DataFrame({"doc_id": doc, "mark": mark, "place": place, "mask": mask})[mask != 0])
+        return pd.concat(out).astype({"mask": "int32"}) if out else pd.DataFrame({c: [] for c in ("doc_id", "mark", "place", "mask")})
+
+    shared = docs.sparkSession.sparkContext.broadcast(tables)
+    return docs.mapInArrow(deal, "part int, data binary").groupBy("part").applyInPandas(solve, _SPAN)
+
+
+def _frequent(docs: DataFrame, tables, bits: int, block: int) -> DataFrame:
+    """The same for anchors met very often, which no task gathers."""
+    shared = docs.sparkSession.sparkContext.broadcast(tables)
+    names = ["doc_id", "mark", "place", "key", "anchor", "sides", "before"]
+
+    def emit(batches):
+        for batch in batches:
+            for doc, mark, place, key, anchor, sides in _noted_anchors(batch, shared.value, bits, True):
+                yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(mark), pa.array(place.astype(np.int32)), pa.array(key.view(np.int64)), pa.array(anchor.view(np.int64)),
+                                                  pa.array([s and s[0] for s in sides], pa.binary()), pa.array([s and s[1] for s in sides], pa.int32())], names=names)
+
+    met = stored(docs.mapInArrow(emit, "doc_id long, mark short, place int, key long, anchor long, sides binary, before int"), "repeat-frequent")
+    contexts = stored(met.groupBy("key").agg(F.min("doc_id").alias("first_doc"), F.min("anchor").alias("anchor"), F.first("sides").alias("sides"), F.first("before").alias("before")), "repeat-contexts")
+    mixed = contexts.where("sides is not null")
+    sizes = mixed.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    known = mixed.join(sizes, "anchor").withColumn("block", F.pmod(F.xxhash64("key"), F.ceil(F.col("n") / block)))
+    dealt = known.groupBy("anchor", "block")
 
     def solve(frame):
         first = frame["first_doc"].to_numpy()
-        split = frame["blocks"].to_numpy() > 1
-        owner, offset, group = equal_strings(frame["context"].tolist())
+        bodies = list(zip(frame["sides"], frame["before"]))
+        owner, offset, group = equal_strings([(0, *b) for b in bodies])
         least = np.full(group.max(initial=-1) + 1, np.iinfo(np.int64).max)
         np.minimum.at(least, group, first[owner])
-        earlier = least[group] < first[owner]
-        mask = np.zeros(len(frame), np.int64)
-        np.bitwise_or.at(mask, owner[earlier], np.int64(1) << offset[earlier])
-        whole = pd.DataFrame({"key": frame["key"], "first_doc": first, "mask": mask, "offset": -1, "string": None, "least": 0})
-        use = split[owner]
-        if not use.any():
-            return whole
-        keys, bodies = frame["key"].to_numpy(), frame["context"].tolist()
-        more = pd.DataFrame({"key": keys[owner[use]], "first_doc": first[owner[use]], "mask": 0, "offset": offset[use],
-                             "string": [bodies[o][p: p + LENGTH] for o, p in zip(owner[use], offset[use])], "least": least[group[use]]})
-        return pd.concat([whole, more])
-
-    dealt = known.withColumn("task", F.pmod(F.xxhash64("anchor", "block"), F.lit(tasks))).select("task", "key", "context", "first_doc", "blocks")
-    solved = stored(dealt.groupBy("task").applyInPandas(solve, "key long, first_doc long, mask long, offset int, string binary, least long"), "repeat-solved")
-    strings = solved.where("offset >= 0")
-    over = stored(strings.groupBy("string").agg(F.min("least").alias("least_all")), "repeat-strings")
-    late = strings.join(over, "string").where("least_all < first_doc").select("key", "first_doc", F.expr("shiftleft(1L, offset)").alias("mask"))
-    masks = solved.where("offset < 0").select("key", "first_doc", "mask").union(late)
-    return masks.groupBy("key").agg(F.min("first_doc").alias("first_doc"), F.bit_or("mask").alias("mask"))
-
-
-def covered(docs: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """``row, low, high``: spans (bytes, end exclusive, overlapping) that an earlier document has."""
+        reach = LENGTH - ANCHOR
+        string = [bodies[o][0][bodies[o][1] - reach + p:][:reach] + bytes([p]) for o, p in zip(owner, offset)]
+        return pd.DataFrame({"anchor": frame["anchor"].iloc[0], "string": string, "key": frame["key"].to_numpy()[owner], "first_doc": first[owner], "offset": offset, "least": least[group]})
+
+    strings = stored(dealt.applyInPandas(solve, "anchor long, string binary, key long, first_doc long, offset int, least long"), "repeat-strings")
+    # One row per block and string goes into the aggregate; the strings themselves are compared, not hashes of them.
+    over = stored(strings.groupBy("anchor", "string").agg(F.min("least").alias("over")), "repeat-over")
+    masks = (strings.join(over, ["anchor", "string"]).where("over < first_doc").groupBy("key").agg(F.bit_or(F.expr("shiftleft(1, offset)")).alias("mask")))
+    decided = stored(contexts.select("key", "first_doc").join(masks, "key", "left"), "repeat-decided")
+    mask = F.when(F.col("doc_id") > F.col("first_doc"), F.lit(-1)).otherwise(F.coalesce("mask", F.lit(0)))
+    return met.select("doc_id", "mark", "place", "key").join(decided, "key").select("doc_id", "mark", "place", mask.alias("mask")).where("mask <> 0")
+
+
+def covered(docs: DataFrame, bits: int = FILTER_BITS, often: int = OFTEN, block: int = _BLOCK) -> DataFrame:
+    """``doc_id, mark, spans``: per document with a loss the anchors and offsets whose strings an earlier document has."""
     prepare(docs.sparkSession)
-    met = stored(_met(docs, _noted(docs, bits), bits), "repeat-anchors")
-    whole = met.where("context is null").select("key", "doc_id", "row", "low", "high")
-    first = whole.groupBy("key").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).where("first_doc < last_doc")
-    plain = whole.join(first, "key").where("doc_id > first_doc").select("row", "low", "high")
-    # Contexts are told apart by a hash of their bytes and place: one row per context from here on.
-    open_rows = met.where("context is not null")
-    contexts = open_rows.groupBy("key").agg(F.min("anchor").alias("anchor"), F.min("doc_id").alias("first_doc"), F.first("context").alias("context"))
-    decided = stored(_decided(contexts), "repeat-decided")
-    alone = contexts.select("key", "first_doc").join(decided.select("key"), "key", "left_anti").select("key", "first_doc", F.lit(0).cast("long").alias("mask"))
-    rows = open_rows.select("key", "doc_id", "row", "low", "high").join(stored(decided.select("key", "first_doc", "mask").union(alone), "repeat-masks"), "key")
-    later = rows.where("doc_id > first_doc").select("row", "low", "high")
-    own = (rows.where("doc_id = first_doc and mask <> 0").withColumn("offset", F.explode(F.sequence(F.lit(0), F.lit(LENGTH - ANCHOR))))
-           .where(F.expr("shiftright(mask, offset) & 1 = 1")).select("row", (F.col("low") + F.col("offset")).alias("low"), (F.col("low") + F.col("offset") + LENGTH).alias("high")))
-    return plain.union(later).union(own)
-
-
-def remove(docs: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    rows = docs.where("doc_id is not null and text is not null").select("doc_id", _mark().alias("mark"), "text")
+    part_bits = _parts(docs)
+    tables = _noted(rows, bits, part_bits, often)
+    found = _gathered(rows, tables, bits, part_bits)
+    if tables[2].any():
+        found = found.union(_frequent(rows, tables, bits, block))
+    return found.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("place", "mask")).alias("spans"))
+
+
+def _mark():
+    """Tells rows with one ``doc_id`` and different texts apart."""
+    return F.pmod(F.xxhash64("text"), F.lit(1 << 15)).cast("short")
+
+
+def remove(docs: DataFrame, bits: int = FILTER_BITS, often: int = OFTEN, block: int = _BLOCK) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_bytes`` of every row; ``kept_bytes`` is null where nothing goes."""
-    spans = stored(covered(docs, bits).groupBy("row").agg(F.collect_set(F.struct("low", "high")).alias("spans")), "repeat-spans")
-    hit = spans.select(bucket_of(F.col("row")).alias("_bucket")).distinct()
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), text.alias("text"))
-    rows = rows.withColumn("_bucket", bucket_of(F.col("row")))
+    spans = stored(covered(docs, bits, often, block), "repeat-spans")
+    hit = spans.select(bucket_of(F.col("doc_id")).alias("_bucket")).distinct()
+    rows = docs.select("doc_id", _mark().alias("mark"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    rows = rows.withColumn("_bucket", bucket_of(F.col("doc_id")))
 
     def untouched(df: DataFrame) -> DataFrame:
         return df.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
                          F.sha2("text", 256).alias("kept_sha256"), F.lit(None).cast("binary").alias("kept_bytes"))
 
-    doubt = rows.join(F.broadcast(hit), "_bucket", "left_semi").join(spans, "row", "left")
+    doubt = rows.join(F.broadcast(hit), "_bucket", "left_semi").join(spans, ["doc_id", "mark"], "left")
 
     def cut(batches):
         for batch in batches:
@@ -272,9 +377,17 @@ def remove(docs: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
                 raw = text.encode()
                 edge = np.zeros(len(raw) + 1, np.int32)
+                reach = LENGTH - ANCHOR
                 for span in spans:
-                    edge[span["low"]] += 1
-                    edge[span["high"]] -= 1
+                    low, high = max(0, span["place"] - reach), min(len(raw), span["place"] + LENGTH)
+                    if span["mask"] == -1:
+                        edge[low] += 1
+                        edge[high] -= 1
+                    else:
+                        for o in range(reach + 1):
+                            if span["mask"] >> o & 1:
+                                edge[span["place"] - reach + o] += 1
+                                edge[span["place"] - reach + o + LENGTH] -= 1
                 gone = np.cumsum(edge[:-1]) > 0
                 kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
                 runs = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if len(raw) else 0

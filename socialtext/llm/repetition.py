@@ -62,16 +62,32 @@ def suffix_array(word: np.ndarray, text: np.ndarray) -> np.ndarray:
 
 
 def common_words(order: np.ndarray, word: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """Words that each suffix shares with the one before it in the array (0 across texts), all suffixes step by step together."""
+    """Words that each suffix shares with the one before it in the array, 0 across texts.
+
+    The first words are compared one by one, all suffixes together; what still agrees then is measured by halving steps on
+    hashes of word runs, so that long repeats cost the logarithm of their length.
+    """
     last = np.searchsorted(text, text, side="right")
     shared = np.zeros(len(order), np.int64)
     at = np.arange(1, len(order))
-    while len(at):
+    at = at[text[order[at]] == text[order[at - 1]]]
+    for _ in range(LEAST_WORDS):
         a, b = order[at] + shared[at], order[at - 1] + shared[at]
-        ok = (text[order[at]] == text[order[at - 1]]) & (a < last[order[at]]) & (b < last[order[at - 1]])
+        ok = (a < last[order[at]]) & (b < last[order[at - 1]])
         ok[ok] = word[a[ok]] == word[b[ok]]
         at = at[ok]
         shared[at] += 1
+    if len(at):
+        runs = Spans(word)
+        most = np.minimum(last[order[at]] - order[at], last[order[at - 1]] - order[at - 1])
+        step = 1 << int(most.max()).bit_length()
+        while step:
+            longer = shared[at] + step
+            may = longer <= most
+            a, b, n = order[at][may], order[at - 1][may], longer[may]
+            same = runs.hash(a, a + n) == runs.hash(b, b + n)
+            shared[at[may][same]] += step
+            step >>= 1
     return shared
 
 
