@@ -1,7 +1,7 @@
 """Removes passages of ``LENGTH`` bytes and more that an earlier document has, found with suffix arrays.
 
 A byte goes when a string of 50 bytes that covers it also starts in a document with a smaller ``doc_id``; strings are judged
-on the input. Every such string contains an anchor: a string of 32 bytes whose hash is the least of its window of 19
+on the input. Every such string contains an anchor: a string of 28 bytes whose hash is the least of its window of 23
 positions, chosen alike wherever the string occurs. Around an anchor lie all strings that it stands for, its context.
 
 1. Every task sends, once per anchor, a hash of the anchor and of its context. Anchors met in several places are noted in
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import pickle
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -34,17 +35,17 @@ from socialtext.llm.tables import bucket_of, prepare, stored
 from socialtext.session import estimated_bytes
 
 LENGTH = 50
-ANCHOR = 32
+ANCHOR = 28
 FILTER_BITS = 26
-#: Entries of the first scan: 40 bits of the anchor within its part, 32 of the context, the count and whether contexts differ.
-_ENTRY = np.dtype([("a", "<u4"), ("b", "u1"), ("c", "<u4"), ("f", "u1")])
 #: Anchors that a task holds before it sends them on.
 _HELD = 1 << 20
 #: Contexts whose suffix array is built at once (more, if one anchor has more), and the most of one anchor in a block.
 _TOGETHER = 3000
 _BLOCK = 1500
 #: Occurrences beyond which an anchor is not gathered in one task.
-OFTEN = 3000
+OFTEN = 20_000
+#: Buckets of the broadcast filter for documents with a loss: at most so many numbers.
+_BUCKETS = 1 << 18
 #: Bytes of input (as stored) for each part that is gathered in a task.
 _PART_BYTES = 2 << 20
 
@@ -86,6 +87,18 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, anchor:
     return text, position, low, high, values[position], context
 
 
+def _pack(values: np.ndarray, ordered: bool = False) -> bytes:
+    """The bytes of the values plane by plane (of their differences, if ordered), which lets equal high bytes compress."""
+    values = np.diff(values, prepend=values.dtype.type(0)) if ordered else np.ascontiguousarray(values)
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def _unpack(data: bytes, kind, ordered: bool = False) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    values = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+    return np.cumsum(values, dtype=kind) if ordered else values
+
+
 def _code(count: np.ndarray) -> np.ndarray:
     """A count in seven bits: exact below 64, then eight steps per doubling."""
     return np.where(count < 64, count, 64 + np.minimum(63, 8 * np.log2(np.maximum(count, 64) / 64))).astype(np.uint8)
@@ -114,15 +127,14 @@ def _noted(docs: DataFrame, bits: int, part_bits: int, often: int) -> list[np.nd
             first = np.flatnonzero(np.concatenate([[True], pairs[1:, 0] != pairs[:-1, 0]]))
             count = np.diff(np.append(first, len(pairs)))
             key = pairs[first, 0]
-            out = np.empty(len(first), _ENTRY)
-            out["a"] = (key >> (rest - np.uint64(32))) & np.uint64(0xFFFFFFFF)
-            out["b"] = (key >> (rest - np.uint64(40))) & np.uint64(0xFF)
-            out["c"] = pairs[first, 1] >> np.uint64(32)
-            out["f"] = _code(count) | (128 * (pairs[first, 1] != pairs[first + count - 1, 1])).astype(np.uint8)
+            # Within its part: 32 bits of the anchor, 32 of the context, the count and whether contexts differ.
+            near = ((key >> (rest - np.uint64(32))) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            around = (pairs[first, 1] >> np.uint64(32)).astype(np.uint32)
+            flag = _code(count) | (128 * (pairs[first, 1] != pairs[first + count - 1, 1])).astype(np.uint8)
             part = (key >> rest).astype(np.int64)
             cut = np.searchsorted(part, np.arange((1 << part_bits) + 1))
             filled = np.flatnonzero(np.diff(cut))
-            return pa.RecordBatch.from_arrays([pa.array(filled.astype(np.int32)), pa.array([out[cut[p]: cut[p + 1]].tobytes() for p in filled], pa.binary())], ["part", "data"])
+            return pa.RecordBatch.from_arrays([pa.array(filled.astype(np.int32)), pa.array([pickle.dumps((_pack(near[x], True), _pack(around[x]), flag[x].tobytes())) for x in (slice(cut[p], cut[p + 1]) for p in filled)], pa.binary())], ["part", "data"])
 
         for batch in batches:
             for _, _, data, offsets in pieces(batch):
@@ -136,15 +148,17 @@ def _noted(docs: DataFrame, bits: int, part_bits: int, often: int) -> list[np.nd
             yield send()
 
     def note(frame):
-        out = np.concatenate([np.frombuffer(d, _ENTRY) for d in frame["data"]])
-        key = (out["a"].astype(np.uint64) << np.uint64(8)) | out["b"]
-        order = np.lexsort((out["c"], key))
-        key, context, flag = key[order], out["c"][order], out["f"][order]
+        blobs = [pickle.loads(d) for d in frame["data"]]
+        key = np.concatenate([_unpack(b[0], np.uint32, True) for b in blobs])
+        context = np.concatenate([_unpack(b[1], np.uint32) for b in blobs])
+        flag = np.concatenate([np.frombuffer(b[2], np.uint8) for b in blobs])
+        order = np.lexsort((context, key))
+        key, context, flag = key[order], context[order], flag[order]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         last = np.append(first[1:], len(key)) - 1
         count = np.add.reduceat(_decode(flag & 127), first)
         mixed = (context[first] != context[last]) | (np.bitwise_or.reduceat(flag, first) > 127)
-        slot = (key[first] >> np.uint64(40 - (bits - part_bits))).astype(np.int64)
+        slot = (key[first] >> np.uint32(32 - (bits - part_bits))).astype(np.int64)
         tables = []
         for which in ((count > 1) & ~mixed, mixed, count > often):
             table = np.zeros(1 << (bits - part_bits), bool)
@@ -156,7 +170,7 @@ def _noted(docs: DataFrame, bits: int, part_bits: int, often: int) -> list[np.nd
     found = sent.groupBy("part").applyInPandas(note, "part int, one binary, several binary, often binary")
     width = 1 << (bits - part_bits - 3)
     tables = [np.zeros(width << part_bits, np.uint8) for _ in range(3)]
-    for row in found.toLocalIterator():  # 2 ** bits bits in each column, whatever the input
+    for row in found.collect():  # 2 ** bits bits in each column, whatever the input
         at = row["part"] * width
         for table, name in zip(tables, ("one", "several", "often")):
             table[at: at + width] = np.frombuffer(row[name], np.uint8)
@@ -212,6 +226,31 @@ def equal_strings(contexts: list[tuple[int, bytes, int]], length: int = LENGTH,
     return owner, order - (middle[owner] - reach), np.cumsum(differs)
 
 
+def _shortened(sides: list[tuple[bytes, int]], length: int = LENGTH, anchor: int = ANCHOR) -> list[tuple[bytes, int] | None]:
+    """The contexts of one anchor without the bytes that no other context of it can share; None if no string is left.
+
+    If the k bytes before the anchor are unique among the contexts, no common string has more than k - 1 of them; the same
+    holds after the anchor. This shortens the input of the suffix array and changes none of its common strings.
+    """
+    reach = length - anchor
+    left, right = [before for _, before in sides], [len(body) - before for body, before in sides]
+    open_left = open_right = range(len(sides))
+    for k in (1, 2, 3, 5, 8, 12):
+        cuts = {r: sides[r][0][max(0, sides[r][1] - k): sides[r][1]] for r in open_left}
+        seen = Counter(cuts.values())
+        for r, cut in cuts.items():
+            if seen[cut] == 1:
+                left[r] = min(left[r], k - 1)
+        open_left = [r for r, cut in cuts.items() if seen[cut] > 1]
+        cuts = {r: sides[r][0][sides[r][1]: sides[r][1] + k] for r in open_right}
+        seen = Counter(cuts.values())
+        for r, cut in cuts.items():
+            if seen[cut] == 1:
+                right[r] = min(right[r], k - 1)
+        open_right = [r for r, cut in cuts.items() if seen[cut] > 1]
+    return [(body[before - a: before + b], a) if a + b >= reach else None for (body, before), a, b in zip(sides, left, right)]
+
+
 def _masks(anchor: np.ndarray, sides: list[tuple[bytes, int]], first: np.ndarray) -> np.ndarray:
     """Per context the offsets, as bits, whose string a context with an earlier first document has. Anchors come together."""
     mask = np.zeros(len(anchor), np.int64)
@@ -224,9 +263,12 @@ def _masks(anchor: np.ndarray, sides: list[tuple[bytes, int]], first: np.ndarray
         contexts = []
         while at < len(several) and len(rows) < _TOGETHER:
             g = several[at]
-            rows.extend(range(start[g], stop[g]))
-            contexts.extend((at, *sides[r]) for r in range(start[g], stop[g]))
+            short = _shortened(sides[start[g]: stop[g]])
+            rows.extend(start[g] + i for i, x in enumerate(short) if x)
+            contexts.extend((at, *x) for x in short if x)
             at += 1
+        if not rows:
+            continue
         numbers = np.array(rows)
         base = contexts[0][0]
         owner, offset, group = equal_strings([(n - base, *rest) for n, *rest in contexts])
@@ -261,8 +303,8 @@ def _gathered(docs: DataFrame, tables, bits: int, part_bits: int) -> DataFrame:
                 # A context is sent once with its bytes; its other occurrences have its key only.
                 new = mixed[np.unique(key[mixed], return_index=True)[1]]
                 blobs.append(pickle.dumps((
-                    [x[plain] for x in (key, doc, mark, place)], [x[mixed] for x in (key, doc, mark, place)],
-                    (key[new], anchor[new], [sides[r] for r in new]))))
+                    *([_pack(key[x], True), *[_pack(y[x]) for y in (doc, mark, place)]] for x in (plain, mixed)),
+                    [_pack(key[new], True), _pack(anchor[new]), bytes(sides[r][1] for r in new), bytes(len(sides[r][0]) for r in new), b"".join(sides[r][0] for r in new)])))
             return pa.RecordBatch.from_arrays([pa.array(filled.astype(np.int32)), pa.array(blobs, pa.binary())], ["part", "data"])
 
         for batch in batches:
@@ -278,17 +320,21 @@ def _gathered(docs: DataFrame, tables, bits: int, part_bits: int) -> DataFrame:
     def solve(frame):
         blobs = [pickle.loads(d) for d in frame["data"]]
         out = []
-        key, doc, mark, place = (np.concatenate([b[0][i] for b in blobs]) for i in range(4))
+        kinds = (np.uint64, np.int64, np.int16, np.int32)
+        key, doc, mark, place = (np.concatenate([_unpack(b[0][i], kinds[i], i == 0) for b in blobs]) for i in range(4))
         if len(key):
             order = np.lexsort((doc, key))
             key, doc, mark, place = key[order], doc[order], mark[order], place[order]
             start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             late = doc > np.repeat(doc[start], np.diff(np.append(start, len(key))))
             out.append(pd.DataFrame({"doc_id": doc[late], "mark": mark[late], "place": place[late], "mask": -1}))
-        key, doc, mark, place = (np.concatenate([b[1][i] for b in blobs]) for i in range(4))
+        key, doc, mark, place = (np.concatenate([_unpack(b[1][i], kinds[i], i == 0) for b in blobs]) for i in range(4))
         if len(key):
-            sent_key, sent_anchor = (np.concatenate([b[2][i] for b in blobs]) for i in range(2))
-            sides = [x for b in blobs for x in b[2][2]]
+            sent_key, sent_anchor = (np.concatenate([_unpack(b[2][i], np.uint64, i == 0) for b in blobs]) for i in range(2))
+            sides = []
+            for _, _, before, sizes, bodies in (b[2] for b in blobs):
+                ends = np.cumsum(np.frombuffer(sizes, np.uint8), dtype=np.int64).tolist()
+                sides.extend((bodies[e - n: e], left) for e, n, left in zip(ends, sizes, before))
             known, at = np.unique(sent_key, return_index=True)
             first = np.full(len(known), np.iinfo(np.int64).max)
             number = np.searchsorted(known, key)
@@ -361,9 +407,9 @@ def _mark():
 def remove(docs: DataFrame, bits: int = FILTER_BITS, often: int = OFTEN, block: int = _BLOCK) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_bytes`` of every row; ``kept_bytes`` is null where nothing goes."""
     spans = stored(covered(docs, bits, often, block), "repeat-spans")
-    hit = spans.select(bucket_of(F.col("doc_id")).alias("_bucket")).distinct()
+    hit = spans.select(bucket_of(F.col("doc_id"), buckets=_BUCKETS).alias("_bucket")).distinct()
     rows = docs.select("doc_id", _mark().alias("mark"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = rows.withColumn("_bucket", bucket_of(F.col("doc_id")))
+    rows = rows.withColumn("_bucket", bucket_of(F.col("doc_id"), buckets=_BUCKETS))
 
     def untouched(df: DataFrame) -> DataFrame:
         return df.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
