@@ -1,7 +1,7 @@
 """Removes passages of ``LENGTH`` bytes and more that an earlier document has, found with suffix arrays.
 
 A byte goes when a string of 50 bytes that covers it also starts in a document with a smaller ``doc_id``; strings are judged
-on the input. Every such string contains an anchor: a string of 28 bytes whose hash is the least of its window of 23
+on the input. Every such string contains an anchor: a string of 32 bytes whose hash is the least of its window of 19
 positions, chosen alike wherever the string occurs. Around an anchor lie all strings that it stands for, its context.
 
 1. Every task sends, once per anchor, a hash of the anchor and of its context. Anchors met in several places are noted in
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import pickle
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -35,7 +36,7 @@ from socialtext.llm.tables import bucket_of, prepare, stored
 from socialtext.session import estimated_bytes
 
 LENGTH = 50
-ANCHOR = 28
+ANCHOR = 32
 FILTER_BITS = 26
 #: Anchors that a task holds before it sends them on.
 _HELD = 1 << 20
@@ -304,7 +305,7 @@ def _gathered(docs: DataFrame, tables, bits: int, part_bits: int) -> DataFrame:
                 new = mixed[np.unique(key[mixed], return_index=True)[1]]
                 blobs.append(pickle.dumps((
                     *([_pack(key[x], True), *[_pack(y[x]) for y in (doc, mark, place)]] for x in (plain, mixed)),
-                    [_pack(key[new], True), _pack(anchor[new]), bytes(sides[r][1] for r in new), bytes(len(sides[r][0]) for r in new), b"".join(sides[r][0] for r in new)])))
+                    [_pack(key[new], True), _pack(anchor[new]), bytes(sides[r][1] for r in new), bytes(len(sides[r][0]) for r in new), zlib.compress(b"".join(sides[r][0] for r in new), 1)])))
             return pa.RecordBatch.from_arrays([pa.array(filled.astype(np.int32)), pa.array(blobs, pa.binary())], ["part", "data"])
 
         for batch in batches:
@@ -334,6 +335,7 @@ def _gathered(docs: DataFrame, tables, bits: int, part_bits: int) -> DataFrame:
             sides = []
             for _, _, before, sizes, bodies in (b[2] for b in blobs):
                 ends = np.cumsum(np.frombuffer(sizes, np.uint8), dtype=np.int64).tolist()
+                bodies = zlib.decompress(bodies)
                 sides.extend((bodies[e - n: e], left) for e, n, left in zip(ends, sizes, before))
             known, at = np.unique(sent_key, return_index=True)
             first = np.full(len(known), np.iinfo(np.int64).max)

@@ -27,14 +27,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from socialtext.llm.numeric import Spans, lower, mix, pieces, words
 from socialtext.llm.tables import components, prepare, probable, stored
 
-SKETCH_BITS = 21
+SKETCH_BITS = 22
 _SLICES = 64
 #: Largest number of prefix matches asked for.
 MOST_MATCHES = 4
 #: Cost of verifying a candidate, in posting entries.
 VERIFY_COST = 30.0
 #: Longer posting lists go through pivots.
-LONG_LIST = 48
+LONG_LIST = 64
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,6 +65,14 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndar
     return text[new], value[new]
 
 
+def _pack(counts: np.ndarray) -> bytes:
+    return zlib.compress(counts.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+
+
 def _sets_and_counts(docs: DataFrame, width: int, bits: int) -> DataFrame:
     """Per row ``doc_id, n, h1, h2`` (a hash of the set), and per task its shingle counts in slices."""
 
@@ -85,7 +93,7 @@ def _sets_and_counts(docs: DataFrame, width: int, bits: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, rows).cast(pa.int64()), pa.array(n.astype(np.int32)), pa.array(sums[0]),
                                                   pa.array(sums[1]), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names=names)
         if counts.any():
-            parts = [zlib.compress(p.tobytes(), 1) for p in np.split(counts, _SLICES)]
+            parts = [_pack(p) for p in np.split(counts, _SLICES)]
             yield pa.RecordBatch.from_arrays([pa.nulls(_SLICES, pa.int64()), pa.nulls(_SLICES, pa.int32()), pa.nulls(_SLICES, pa.int64()), pa.nulls(_SLICES, pa.int64()),
                                               pa.array(np.arange(_SLICES, dtype=np.int32)), pa.array(parts, pa.binary())], names=names)
 
@@ -98,15 +106,15 @@ def _frequency_classes(sketch: DataFrame, bits: int) -> np.ndarray:
     def add(frame):
         import pandas as pd
 
-        total = sum(np.frombuffer(zlib.decompress(c), np.uint32).astype(np.uint64) for c in frame["counts"])
-        return pd.DataFrame([(int(frame["slice"].iloc[0]), zlib.compress(np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1))], columns=["slice", "counts"])
+        total = sum(_unpack(c).astype(np.uint64) for c in frame["counts"])
+        return pd.DataFrame([(int(frame["slice"].iloc[0]), _pack(np.minimum(total, 0xFFFFFFFF).astype(np.uint32)))], columns=["slice", "counts"])
 
     part = sketch.withColumn("_part", F.pmod(F.xxhash64("counts"), F.lit(32))).groupBy("slice", "_part").applyInPandas(add, "slice int, counts binary")
     rows = part.groupBy("slice").applyInPandas(add, "slice int, counts binary").collect()  # at most 2 ** bits counters
     counts = np.zeros(1 << bits, np.float64)
     step = (1 << bits) // _SLICES
     for row in rows:
-        counts[row["slice"] * step: (row["slice"] + 1) * step] = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
+        counts[row["slice"] * step: (row["slice"] + 1) * step] = _unpack(row["counts"])
     noise = 3 * counts.mean() + 8
     return np.where(counts > noise, 1 + np.floor(np.log2(np.maximum(counts / noise, 1))), 0).astype(np.uint8)
 
@@ -183,21 +191,22 @@ def join(docs: DataFrame, width: int = 3, percent: int = 90, bits: int = SKETCH_
     spare = F.col("n") - least_common(F.col("n"), percent)
     reads = [F.sum(F.when(F.col("pos") < spare + l, F.col("df") - 1).otherwise(0)).alias(f"r{l}") for l in range(1, MOST_MATCHES + 1)]
     costs = F.array(*[F.struct((F.col(f"r{l}") * (1 + VERIFY_COST / l)).alias("cost"), F.lit(l).alias("l")) for l in range(1, MOST_MATCHES + 1)])
-    per = (entries.groupBy("doc_id", "n").agg(*reads, F.min("pos").alias("first"), F.max("df").alias("most"))
-           .select("doc_id", F.array_min(costs)["l"].alias("l"), "first", (F.col("most") > LONG_LIST).alias("crowded")))
+    per = (entries.groupBy("doc_id", "n").agg(*reads, F.min("pos").alias("first"), F.count_if(F.col("df") > LONG_LIST).alias("crowd"))
+           .select("doc_id", F.array_min(costs)["l"].alias("l"), "first", "crowd"))
     entries = stored(entries.join(per, "doc_id").where(F.col("pos") < spare + F.col("l"))
-                     .select("token", "df", F.struct("doc_id", "n", "first", "l", "crowded").alias("x")), "similar-postings")
+                     .select("token", "df", F.struct("doc_id", "n", "first", "l", "crowd").alias("x")), "similar-postings")
 
     short = entries.where(F.col("df") <= LONG_LIST)
     pairs = (short.join(short.select("token", F.col("x").alias("y")), "token").where((F.col("x.doc_id") < F.col("y.doc_id")) & _fits(percent))
              .groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
-             .agg(F.count("*").alias("shared"), F.first(F.least("x.l", "y.l")).alias("least"), F.first(F.col("x.crowded") & F.col("y.crowded")).alias("more"))
-             .where(F.col("more") | (F.col("shared") >= F.col("least"))).select("a", "b"))
+             .agg(F.count("*").alias("shared"), F.first(F.least("x.l", "y.l")).alias("least"), F.first(F.least("x.crowd", "y.crowd")).alias("more"))
+             # Matches in long lists are not counted here, so as many as both could have there are granted.
+             .where(F.col("shared") + F.col("more") >= F.col("least")).select("a", "b"))
     pairs = stored(pairs, "similar-pairs")
     long = entries.where(F.col("df") > LONG_LIST)
     needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).union(long.select("x.doc_id")).distinct()
     needed = stored(needed, "similar-needed")
-    sets = stored(_whole_sets(probable(docs, needed, "doc_id"), width).join(needed, "doc_id", "left_semi"), "similar-whole")
+    sets = stored(_whole_sets(probable(docs, needed, "doc_id", 1 << 18), width).join(needed, "doc_id", "left_semi"), "similar-whole")
     links = stored(_verified(pairs, sets, percent), "similar-links")
     if long.limit(1).count():
         links = _through_pivots(long, links, sets, percent)
