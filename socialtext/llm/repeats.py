@@ -33,7 +33,6 @@ from pyspark.sql import DataFrame, functions as F
 from socialtext.llm.numeric import Spans, mix, pieces
 from socialtext.llm.suffixes import suffix_array
 from socialtext.llm.tables import bucket_of, prepare, stored
-from socialtext.session import estimated_bytes
 
 LENGTH = 50
 ANCHOR = 32
@@ -47,8 +46,8 @@ _BLOCK = 1500
 OFTEN = 20_000
 #: Buckets of the broadcast filter for documents with a loss: at most so many numbers.
 _BUCKETS = 1 << 18
-#: Bytes of input (as stored) for each part that is gathered in a task.
-_PART_BYTES = 2 << 20
+#: Bytes of text for each part that is gathered in a task.
+_PART_BYTES = 4 << 20
 
 
 def _slide(values: np.ndarray, width: int, best) -> np.ndarray:
@@ -109,9 +108,10 @@ def _decode(code: np.ndarray) -> np.ndarray:
     return np.where(code < 64, code, 64 * np.exp2((code.astype(float) - 64) / 8))
 
 
-def _parts(docs: DataFrame) -> int:
+def _parts(docs: DataFrame, bits: int) -> int:
     """Bits of the number of parts: a part stays small in its task, however large the input."""
-    return min(18, max(8, (estimated_bytes(docs.select("text")) // _PART_BYTES).bit_length()))
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return min(18, bits - 4, max(8, (size // _PART_BYTES).bit_length()))
 
 
 def _noted(docs: DataFrame, bits: int, part_bits: int, often: int) -> list[np.ndarray]:
@@ -393,7 +393,7 @@ def covered(docs: DataFrame, bits: int = FILTER_BITS, often: int = OFTEN, block:
     """``doc_id, mark, spans``: per document with a loss the anchors and offsets whose strings an earlier document has."""
     prepare(docs.sparkSession)
     rows = docs.where("doc_id is not null and text is not null").select("doc_id", _mark().alias("mark"), "text")
-    part_bits = _parts(docs)
+    part_bits = _parts(rows, bits)
     tables = _noted(rows, bits, part_bits, often)
     found = _gathered(rows, tables, bits, part_bits)
     if tables[2].any():

@@ -20,16 +20,21 @@ _LANES = 1024
 def _round(blocks: DataFrame, quota: int, number: int) -> DataFrame:
     seen = blocks.groupBy("key", "shard").agg(F.sum("rows").alias("near"))
     best = seen.groupBy("key").agg(F.max(F.struct("near", (-F.col("shard")).alias("minus"))).alias("best"))
-    asks = (blocks.join(best, "key").join(seen, ["key", "shard"])
-            .withColumn("want", F.when(F.col("best.near") > F.col("near"), -F.col("best.minus")))
+    # A row's own shard holds itself, so an even number of neighbours elsewhere is reason enough; the least shard decides.
+    asks = (blocks.join(best, "key").withColumn("want", F.when(F.col("best.minus") != -F.col("shard"), -F.col("best.minus")))
             .withColumn("lane", F.pmod(F.xxhash64("key", "first", F.lit(number)), F.lit(_LANES))))
-    # An asking block that leaves frees its rows only for the next round, so a quota is never passed.
     load = asks.groupBy("shard").agg(F.sum("rows").alias("load")).withColumnRenamed("shard", "want")
-    sums = asks.where("want is not null").groupBy("want", "lane").agg(F.sum("rows").alias("asked"))
-    upto = Window.partitionBy("want").orderBy("lane").rowsBetween(Window.unboundedPreceding, 0)
-    admitted = (sums.withColumn("asked", F.sum("asked").over(upto)).join(load, "want", "left")
-                .where(F.col("asked") + F.coalesce("load", F.lit(0)) <= quota).select("want", "lane", F.lit(True).alias("in")))
-    return (asks.join(F.broadcast(admitted), ["want", "lane"], "left")
+    sums = asks.where("want is not null").groupBy("shard", "want", "lane").agg(F.sum("rows").alias("asked"))
+    # Admitted: what the free room takes, and what two shards exchange. What an uneven exchange leaves over is evened out at the end.
+    room = Window.partitionBy("want").orderBy("lane", "shard").rowsBetween(Window.unboundedPreceding, 0)
+    swap = Window.partitionBy("shard", "want")
+    upto = swap.orderBy("lane").rowsBetween(Window.unboundedPreceding, 0)
+    sums = sums.withColumn("taken", F.sum("asked").over(room)).withColumn("out", F.sum("asked").over(upto)).withColumn("both", F.sum("asked").over(swap))
+    back = sums.select(F.col("shard").alias("want"), F.col("want").alias("shard"), F.col("both").alias("back")).distinct()
+    admitted = (sums.join(load, "want", "left").join(back, ["shard", "want"], "left")
+                .where((F.col("taken") + F.coalesce("load", F.lit(0)) <= quota) | (F.col("out") <= F.coalesce(F.least("both", "back"), F.lit(0))))
+                .select("shard", "want", "lane", F.lit(True).alias("in")))
+    return (asks.join(F.broadcast(admitted), ["shard", "want", "lane"], "left")
             .select("key", "first", "rows", F.when(F.col("in"), F.col("want")).otherwise(F.col("shard")).cast("int").alias("shard")))
 
 

@@ -5,7 +5,7 @@ are aligned one after the other: equal labels are matched in order, what only on
 the same label become a repeated group, and texts that differ become slots. The wrapper of a host is built from all its
 pages: partial wrappers within partitions first, then their alignment, so a host with a third of all pages is no hot task.
 A text that the wrapper holds as a constant at its place is template and left out, unless the wrapper has no slot at all
-(a host that shows one article only) or has met fewer than ``LEAST_PAGES`` pages.
+(a host that shows one article only) or has met fewer than ``LEAST_PAGES`` pages (inside an article ``LEAST_PAGES_INSIDE``).
 
 Null and empty pages and pages without main text give an empty text; a null address is a host of its own; repeated rows get
 equal results; only ``page_id, url, html`` are read; an empty table gives an empty result.
@@ -25,6 +25,9 @@ from socialtext.llm.tables import prepare, stored
 
 #: Pages that must agree on a text before it counts as template.
 LEAST_PAGES = 4
+#: The same inside an article or main part, where a text is content unless many pages agree.
+LEAST_PAGES_INSIDE = 20
+_INSIDE = re.compile(r"/(article|main|[a-z]+\.main)(/|\Z)")
 
 _TOKEN = re.compile(r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -44,6 +47,7 @@ cookie cookies consent gdpr notice notices notification notifications alert aler
 share sharing social related recommended recommendations sidebar widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs pagination
 pager masthead topbar toolbar footer header comment comments commentlist respond disqus replies reply skip hidden""".split())
 EXCLUDED_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tablist".split())
+REPEATED = set("# p li dt dd tr td th br option h2 h3 h4".split())
 MAIN_NAMES = set("content article post entry story main".split())
 
 
@@ -145,7 +149,8 @@ def _wrapper(node: Node) -> Node:
 def _fold(node: Node) -> None:
     kept: list[Node] = []
     for child in node.children:
-        if kept and kept[-1].label == child.label:
+        if kept and kept[-1].label == child.label and (
+                child.label in REPEATED or [c.label for c in kept[-1].children] == [c.label for c in child.children]):
             kept[-1] = align(kept[-1], child)
             kept[-1].repeated = True
         else:
@@ -209,7 +214,9 @@ def template(wrapper: Node, pages: int) -> list[str]:
     found: set[str] = set()
     slots = [0]
     _constants(wrapper, "", found, slots)
-    return sorted(found) if slots[0] and pages >= LEAST_PAGES else []
+    if not slots[0] or pages < LEAST_PAGES:
+        return []
+    return sorted(x for x in found if pages >= LEAST_PAGES_INSIDE or not _INSIDE.search(x.partition("\x00")[0]))
 
 
 def main_text(page: str, constants: frozenset[str]) -> str:
