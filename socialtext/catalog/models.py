@@ -190,7 +190,7 @@ def c_v(spark, sf):
 
 def _fit_small(spark, sf, k=5):
     docs = words(spark, sf, "lang").persist()
-    return docs, topics.fit_topics(docs, k=k, passes=1, subsample=0.2, min_df=3, vocab_size=5000)
+    return docs, topics.fit_topics(docs, k=k, passes=5, min_df=3)
 
 
 @query("lda_topics")
@@ -284,5 +284,5 @@ def document_vectors(spark, sf):
 
 @query("svd_reduction")
 def svd_reduction(spark, sf):
-    _, vectors = features.count_vectors(words(spark, sf), vocab_size=2000, min_df=5)
+    _, vectors = features.count_vectors(words(spark, sf), min_df=5)
     return features.reduce_dimensions(vectors, "doc_id", k=10).select("doc_id", F.size("reduced").alias("dims"))

@@ -149,9 +149,9 @@ def segment_terms(spark, sf):
     """Neighbouring words glued to hashtags and cut again with the word ranks of the corpus."""
     docs = words(spark, sf)
     glued = docs.withColumn("glued", F.array_join(F.transform(
-        F.filter(F.sequence(F.lit(1), F.greatest(F.size("tokens") - 1, F.lit(1))), lambda i: (i % 2 == 1) & (i < F.size("tokens"))),
-        lambda i: F.concat(F.lit("#"), F.element_at("tokens", i), F.element_at("tokens", i + 1))), " "))
-    ranks = vocab.corpus_words(docs, size=50_000)
+        F.filter(F.sequence(F.lit(1), F.greatest(F.size("tokens"), F.lit(1))), lambda i: (i % 2 == 1) & (i <= F.size("tokens"))),
+        lambda i: F.concat(F.lit("#"), F.element_at("tokens", i), F.coalesce(F.get("tokens", i), F.lit("")))), " "))
+    ranks = vocab.corpus_words(docs)
     out = tokenizer.tokenize(glued.select("doc_id", "glued"), "glued", words=ranks, hashtags="split", normalize=False)
     return arrays.exploded(out, "tokens", "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 

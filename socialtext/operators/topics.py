@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from socialtext.functions.arrays import argmax, exploded
 from socialtext.operators.coherence import coherence
-from socialtext.operators.features import count_vectors
+from socialtext.operators.features import ALL_TERMS, count_vectors
 
 
-def fit_topics(df: DataFrame, tokens_col: str = "tokens", *, k: int = 100, passes: int = 1, subsample: float = 0.05,
-               learn_alpha: bool = True, binary: bool = True, min_df: float = 1.0, vocab_size: int = 1 << 18,
+def fit_topics(df: DataFrame, tokens_col: str = "tokens", *, k: int = 100, passes: int = 1, subsample: float = 1.0,
+               learn_alpha: bool = True, binary: bool = True, min_df: float = 1.0, vocab_size: int = ALL_TERMS,
                seed: int = 24) -> PipelineModel:
-    """Vocabulary and online LDA. ``passes`` over the data are ``passes / subsample`` mini-batches."""
+    """Vocabulary and online LDA. Every pass reads every document; with ``subsample`` below 1 it is ``1 / subsample`` random mini-batches."""
     counter, vectors = count_vectors(df, tokens_col, min_df=min_df, vocab_size=vocab_size, binary=binary)
     lda = LDA(k=k, maxIter=max(1, round(passes / subsample)), optimizer="online", subsamplingRate=subsample,
               optimizeDocConcentration=learn_alpha, seed=seed, featuresCol="features", topicDistributionCol="topics")

@@ -63,6 +63,6 @@ def run_days(spark: SparkSession, in_root: str, out_root: str, schema: T.StructT
             write_day(geo_posts(read_day(spark, f"{in_root}/{day}", schema), **filters), f"{out_root}/{day}")
             log.append((day, "done", spark.read.text(f"{out_root}/{day}").count(), None))
         except Exception as error:
-            log.append((day, "failed", 0, str(error)[:500]))
+            log.append((day, "failed", 0, str(error)))
     table = spark.createDataFrame(log, "day string, status string, n long, message string")
     return running_total(table)

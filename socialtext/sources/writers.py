@@ -12,10 +12,11 @@ def write_by_date(df: DataFrame, path: str, ts_col: str = "created", mode: str =
     """Parquet folders ``tw_year=/tw_month=/tw_day=``.
 
     No shuffle by day first: that would send a hot day to one task. Each task writes its own
-    part of every day it holds; Spark sorts by the partition columns inside the task.
+    part of every day it holds; Spark sorts by the partition columns inside the task. Overwriting
+    replaces the days that ``df`` holds and leaves all others.
     """
     dated = df if "tw_day" in df.columns else with_date_parts(df, ts_col)
-    dated.write.mode(mode).partitionBy("tw_year", "tw_month", "tw_day").parquet(path)
+    dated.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("tw_year", "tw_month", "tw_day").parquet(path)
 
 
 def write_daily_json(df: DataFrame, path: str, ts_col: str, mode: str = "append") -> None:
