@@ -67,28 +67,39 @@ def fit_rates(members: DataFrame, weights: dict[str, float] = WEIGHTS, rounds: i
     """The rate as an expression of ``n_tokens, posterior``. Every round is one aggregate over all documents; only sums per
     domain reach the driver.
 
-    The squared residual is measured in the scale of the domains (inverse Gram matrix of the expected tokens), in which a
-    step of 1 is safe. A rate after t rounds is a nested expression of its own row, so nothing is joined or shuffled.
+    The squared residual is measured in the scale of the domains: inverse Gram matrix of the expected tokens, taken over the
+    rows whose rate is still above zero, for only they can follow the gradient. The step is halved while the residual grows.
+    A rate after t rounds is a nested expression of its own row, so nothing is joined or shuffled.
     """
     k = len(DOMAINS)
     part = [F.col("n_tokens") * F.col("posterior")[i] for i in range(k)]
-    first = members.agg(*[F.sum(part[i]).alias(f"t{i}") for i in range(k)], *[F.sum(part[i] * part[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(k)]).first()
-    tokens = np.array([first[f"t{i}"] or 0.0 for i in range(k)])
-    if not tokens.any():
-        return F.lit(1.0)
-    gram = np.array([[first[f"g{i}_{j}"] or 0.0 for j in range(k)] for i in range(k)])
-    scale = np.linalg.pinv(gram, rcond=1e-12, hermitian=True)
+
+    def totals(rate: Column) -> tuple[np.ndarray, np.ndarray]:
+        """Expected tokens per domain, and the Gram matrix of the rows with a positive rate."""
+        open_part = [F.when(F.col("rate") > 0, p) for p in part]
+        row = (members.select("n_tokens", "posterior", rate.alias("rate"))
+               .agg(*[F.sum(part[i] * F.col("rate")) for i in range(k)], *[F.sum(open_part[i] * part[j]) for i in range(k) for j in range(k)]).first())
+        values = np.array([x or 0.0 for x in row])
+        return values[:k], values[k:].reshape(k, k)
+
+    rate, step, worst = F.lit(1.0), 1.0, np.inf
+    got, gram = totals(rate)
+    if not got.any():
+        return rate
+    every = gram
     share = np.array([weights[d] for d in DOMAINS])
-    target = share * max(tokens[i] / share[i] for i, d in enumerate(DOMAINS) if d in CLEAN)
-    rate, got = F.lit(1.0), tokens
+    target = share * max(got[i] / share[i] for i, d in enumerate(DOMAINS) if d in CLEAN)
     for _ in range(rounds):
-        pull = scale @ (got - target)
-        step = sum((part[i] * F.lit(float(pull[i])) for i in range(1, k)), part[0] * F.lit(float(pull[0])))
-        rate = F.greatest(F.lit(0.0), rate - step)
-        row = members.select("n_tokens", "posterior", rate.alias("rate")).agg(*[F.sum(part[i] * F.col("rate")).alias(f"t{i}") for i in range(k)]).first()
-        got = np.array([row[f"t{i}"] for i in range(k)])
-        if np.abs(got - target).max() <= tolerance * target.sum():
+        scale = np.linalg.pinv(gram if gram.any() else every, rcond=1e-12, hermitian=True)
+        pull = step * (scale @ (got - target))
+        move = sum((part[i] * F.lit(float(pull[i])) for i in range(1, k)), part[0] * F.lit(float(pull[0])))
+        rate = F.greatest(F.lit(0.0), rate - move)
+        got, gram = totals(rate)
+        left = np.abs(got - target).max()
+        if left <= tolerance * target.sum():
             break
+        step = step / 2 if left > worst else min(1.0, 2 * step)
+        worst = left
     return rate
 
 

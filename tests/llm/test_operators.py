@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from socialtext.llm import exact_dedup, language_id, mixing, pieces, repeats, repetition, secrets, sharding, similar, suffixes, wrappers
@@ -151,6 +152,16 @@ def test_mixing(spark, docs, nothing, table):
     assert mixing.mix(docs, labels.limit(0)).count() == docs.count() and mixing.mix(nothing, labels).count() == 0
 
 
+def test_rates_meet_the_targets_when_many_rows_fall_to_zero(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(n), [float(x) for x in p]) for n, p in zip(rng.integers(0, 400, 3000), rng.dirichlet([0.6, 0.2, 0.3], 3000))]
+    members = spark.createDataFrame(rows, "n_tokens long, posterior array<double>")
+    got = members.withColumn("rate", mixing.fit_rates(members)).collect()
+    tokens = [sum(r["rate"] * r["n_tokens"] * r["posterior"][k] for r in got) for k in range(3)]
+    assert any(r["rate"] == 0 for r in got) and all(r["rate"] >= 0 for r in got)
+    assert all(abs(tokens[k] / sum(tokens) - mixing.WEIGHTS[d]) < 1e-5 for k, d in enumerate(mixing.DOMAINS))
+
+
 def test_repetition(docs, texts, nothing):
     got = {r["doc_id"]: r for r in repetition.assess(docs).collect()}
     for i, t in texts:
