@@ -35,7 +35,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their rate says; clean ones stay at least once, toxic ones mostly go."""
+    """Documents as often as their rate says: toxic ones mostly go, clean ones mostly stay at least once.
+
+    Memberships are soft and copies are drawn by a hash, so a clean document that looks partly toxic can go.
+    """
     return mixing.mixed_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
