@@ -12,7 +12,8 @@ and only pairs between different components are still compared. So a large group
 the pivots, and no link is lost, because a pair is left out only when it is connected already.
 
 The frequency estimate counts all shingles of all texts in a table of fixed size (``2 ** SKETCH_BITS`` counters, broadcast
-as one byte each); it sets the order only, never the result. Rows with one ``doc_id`` are one node; a null ``doc_id`` has no
+as two bytes each). A counter is never below the frequency of its shingles, so shingles of low counters are surely rare, however
+full the table is. The estimate sets the order only, never the result. Rows with one ``doc_id`` are one node; a null ``doc_id`` has no
 component and links nothing; null and empty texts have an empty set and link nothing. Other columns are not read.
 """
 
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from socialtext.llm.numeric import Spans, lower, mix, pieces, words
 from socialtext.llm.tables import components, prepare, probable, stored
 
-SKETCH_BITS = 22
+SKETCH_BITS = 23
 _SLICES = 64
 #: Largest number of prefix matches asked for.
 MOST_MATCHES = 4
@@ -101,7 +102,7 @@ def _sets_and_counts(docs: DataFrame, width: int, bits: int) -> DataFrame:
 
 
 def _frequency_classes(sketch: DataFrame, bits: int) -> np.ndarray:
-    """One byte per counter: 0 for what lies within the noise of the table, then a class per doubling."""
+    """Two bytes per counter: four times its square root, which keeps half a standard deviation apart at any count."""
 
     def add(frame):
         import pandas as pd
@@ -111,12 +112,12 @@ def _frequency_classes(sketch: DataFrame, bits: int) -> np.ndarray:
 
     part = sketch.withColumn("_part", F.pmod(F.xxhash64("counts"), F.lit(32))).groupBy("slice", "_part").applyInPandas(add, "slice int, counts binary")
     rows = part.groupBy("slice").applyInPandas(add, "slice int, counts binary").collect()  # at most 2 ** bits counters
-    counts = np.zeros(1 << bits, np.float64)
+    counts = np.zeros(1 << bits, np.float32)
     step = (1 << bits) // _SLICES
     for row in rows:
         counts[row["slice"] * step: (row["slice"] + 1) * step] = _unpack(row["counts"])
-    noise = 3 * counts.mean() + 8
-    return np.where(counts > noise, 1 + np.floor(np.log2(np.maximum(counts / noise, 1))), 0).astype(np.uint8)
+    np.sqrt(counts, out=counts)
+    return np.minimum(4 * counts, 65535).astype(np.uint16)
 
 
 def least_common(n: Column, percent: int) -> Column:
