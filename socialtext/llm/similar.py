@@ -217,7 +217,8 @@ def join(docs: DataFrame, width: int = 3, percent: int = 90, bits: int = SKETCH_
 def _through_pivots(long: DataFrame, links: DataFrame, sets: DataFrame, percent: int, rounds: int = 2) -> DataFrame:
     x = F.col("x")
     for number in range(rounds):
-        order = F.struct(x["first"].alias("first"), F.xxhash64(x["doc_id"], F.col("token"), F.lit(number)).alias("mix"))
+        # One order for all lists: the lists of a group of near copies get few different pivots, so few different pairs.
+        order = F.struct(x["first"].alias("first"), F.xxhash64(x["doc_id"], F.lit(number)).alias("mix"))
         pivots = long.groupBy("token").agg(F.min_by("x", order).alias("y"))
         pairs = (long.join(pivots, "token").where((x["doc_id"] != F.col("y.doc_id")) & _fits(percent))
                  .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct())
