@@ -46,6 +46,8 @@ EPIDEMIC_PATTERN = (
 # Marks a token that still has to be cut into words, and separates the parts of a looked-up value.
 SPLIT_MARK = "\ue000"
 PART_MARK = "\ue001"
+# Marks a word of the text that no rule replaced and that is still to be stemmed.
+STEM_MARK = "\ue002"
 
 WORD = r"[\p{L}\p{M}\p{N}_]"
 URL = r"(?:https?://|www\.)\S*[^\s.,:;\"'!?)\]}>…]"
@@ -306,6 +308,8 @@ def token_value(token: Column, options: TokenizerOptions, looked_up: Column | No
     for _, pattern, replacement in o.extra_patterns or ():
         constant(token.rlike(pattern), replacement)
 
+    if o.stem:
+        value = F.when(is_alpha(token), F.concat(F.lit(STEM_MARK), value)).otherwise(value)
     chain = None
     for condition, replacement in reversed(rules):
         chain = F.when(condition, replacement) if chain is None else chain.when(condition, replacement)
