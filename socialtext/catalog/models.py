@@ -284,5 +284,11 @@ def document_vectors(spark, sf):
 
 @query("svd_reduction")
 def svd_reduction(spark, sf):
+    """Share of the squared length of each document that ten dimensions keep."""
+    def squared(values):
+        return F.aggregate(values, F.lit(0.0), lambda a, x: a + x * x)
+
     _, vectors = features.count_vectors(words(spark, sf), min_df=5)
-    return features.reduce_dimensions(vectors, "doc_id", k=10).select("doc_id", F.size("reduced").alias("dims"))
+    whole = vectors.select("doc_id", squared(F.unwrap_udt("features")["values"]).alias("whole"))
+    reduced = features.reduce_dimensions(vectors, "doc_id", k=10).select("doc_id", squared(F.col("reduced")).alias("kept"))
+    return reduced.join(whole, "doc_id").select("doc_id", F.round(F.try_divide("kept", "whole"), 6).alias("kept_share"))
