@@ -34,7 +34,7 @@ def build_session(app_name: str = "socialtext", master: str | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster; a local one only where none is named."""
+    """The shared checkpoint folder named by the cluster; a local one only in local mode, where none is named."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -42,6 +42,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(named)
         return named
     if not sc.getCheckpointDir():
+        if sc.master.partition("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="socialtext-checkpoint-"))
     return sc.getCheckpointDir()
 
