@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from socialtext.llm import exact_dedup, language_id, mixing, pieces, repeats, repetition, secrets, sharding, similar, suffixes, wrappers
+from socialtext.llm.tables import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, row string, _bucket int"
@@ -109,6 +110,14 @@ def test_long_lists_go_through_pivots(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in got} == part
 
 
+def test_components_of_a_long_chain(spark):
+    order = list(range(500))
+    random.Random(1).shuffle(order)
+    links = spark.createDataFrame([*zip(order, order[1:]), (600, 700), (700, 650)], "a long, b long")
+    got = {r["node"]: r["component"] for r in components(links).collect()}
+    assert got == {**dict.fromkeys(order, 0), 600: 600, 650: 600, 700: 600}
+
+
 def test_secrets(docs, texts, nothing):
     assert secrets.trigram_query("[0-9a-f]{24,}") is None
     assert frozenset({"aki", "kia"}) in secrets.trigram_query("AKIA[A-Z0-9]{16,}")
