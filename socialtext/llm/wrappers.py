@@ -4,8 +4,10 @@ A page is a tree of the elements that no rule of HTML excludes (menus, forms, sc
 are aligned one after the other: equal labels are matched in order, what only one side has becomes optional, neighbours with
 the same label become a repeated group, and texts that differ become slots. The wrapper of a host is built from all its
 pages: partial wrappers within partitions first, then their alignment, so a host with a third of all pages is no hot task.
-A text that the wrapper holds as a constant at its place is template and left out, unless the wrapper has no slot at all
-(a host that shows one article only) or has met fewer than ``LEAST_PAGES`` pages (inside an article ``LEAST_PAGES_INSIDE``).
+A wrapper counts the pages of each node and of each text, so one odd page changes no wrapper: a text that at least ``SHARE``
+percent of the pages with its parent have at its place is template and left out, unless the wrapper has no slot at all
+(a host that shows one article only) or fewer than ``LEAST_PAGES`` pages (inside an article ``LEAST_PAGES_INSIDE``) agree on it.
+Pages without any text are not aligned.
 
 Null and empty pages and pages without main text give an empty text; a null address is a host of its own; repeated rows get
 equal results; only ``page_id, url, html`` are read; an empty table gives an empty result.
@@ -27,6 +29,10 @@ from socialtext.llm.tables import prepare, stored
 LEAST_PAGES = 4
 #: The same inside an article or main part, where a text is content unless many pages agree.
 LEAST_PAGES_INSIDE = 20
+#: Percent of the pages with its parent that must have a node or text of the template.
+SHARE = 90
+#: Texts counted at one place; with more, the rarest give way, and a count falls short by at most a quarter of the other texts.
+KEPT_TEXTS = 4
 _INSIDE = re.compile(r"/(article|main|[a-z]+\.main)(/|\Z)")
 
 _TOKEN = re.compile(r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<", re.S)
@@ -52,12 +58,16 @@ MAIN_NAMES = set("content article post entry story main".split())
 
 
 class Node:
-    """``label`` is the element (``#`` for a text); a text holds its string or None once it is a slot."""
+    """``label`` is the element (``#`` for a text); a text holds its string or None once it is a slot.
 
-    __slots__ = ("label", "children", "text", "optional", "repeated", "inline")
+    ``pages`` counts the pages that have the node, ``texts`` those of its most frequent strings.
+    """
+
+    __slots__ = ("label", "children", "text", "optional", "repeated", "inline", "pages", "texts")
 
     def __init__(self, label, text=None):
         self.label, self.text, self.children, self.optional, self.repeated, self.inline = label, text, [], False, False, False
+        self.pages, self.texts = 1, {}
 
 
 def _excluded(tag: str, attributes: str, inside_article: bool) -> bool:
@@ -139,6 +149,7 @@ def _wrapper(node: Node) -> Node:
             if not text:
                 continue
             new = Node("#", text)
+            new.texts[text] = 1
         else:
             new = _wrapper(child)
         out.children.append(new)
@@ -151,22 +162,39 @@ def _fold(node: Node) -> None:
     for child in node.children:
         if kept and kept[-1].label == child.label and (
                 child.label in REPEATED or [c.label for c in kept[-1].children] == [c.label for c in child.children]):
-            kept[-1] = align(kept[-1], child)
+            kept[-1] = align(kept[-1], child, node.pages)
             kept[-1].repeated = True
         else:
             kept.append(child)
     node.children = kept
 
 
-def align(a: Node, b: Node) -> Node:
-    """The wrapper that both sides match."""
+def _counted(a: dict[str, int], b: dict[str, int], neighbours: bool) -> dict[str, int]:
+    """Pages per text; what differs between neighbours of one page is no text of the template."""
+    if neighbours:
+        return {t: max(n, b[t]) for t, n in a.items() if t in b}
+    total = dict(a)
+    for t, n in b.items():
+        total[t] = total.get(t, 0) + n
+    if len(total) > KEPT_TEXTS:
+        cut = sorted(total.values(), reverse=True)[KEPT_TEXTS]
+        total = {t: n - cut for t, n in total.items() if n > cut}
+    return total
+
+
+def align(a: Node, b: Node, most: int | None = None) -> Node:
+    """The wrapper that both sides match. ``most`` is given for neighbours: the pages of their parent."""
     out = Node(a.label, a.text if a.text == b.text else None)
+    out.pages = a.pages + b.pages if most is None else min(most, a.pages + b.pages)
+    if a.label == "#":
+        out.texts = _counted(a.texts, b.texts, most is not None)
+    most = None if most is None else out.pages
     out.optional, out.repeated = a.optional or b.optional, a.repeated or b.repeated
     if not a.children and not b.children:
         return out
     left, right = a.children, b.children
     if [x.label for x in left] == [x.label for x in right]:
-        out.children = [align(x, y) for x, y in zip(left, right)]
+        out.children = [align(x, y, most) for x, y in zip(left, right)]
         return out
     n, m = len(left), len(right)
     best = [[0] * (m + 1) for _ in range(n + 1)]
@@ -176,7 +204,7 @@ def align(a: Node, b: Node) -> Node:
     i = j = 0
     while i < n or j < m:
         if i < n and j < m and left[i].label == right[j].label:
-            out.children.append(align(left[i], right[j]))
+            out.children.append(align(left[i], right[j], most))
             i, j = i + 1, j + 1
         elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
             left[i].optional = True
@@ -196,27 +224,29 @@ def expression(node: Node) -> str:
     return f"({inner})" + ("*" if node.repeated and node.optional else "+" if node.repeated else "?") if node.optional or node.repeated else inner
 
 
-def _constants(node: Node, path: str, found: set[str], slots: list[int]) -> None:
+def _constants(node: Node, path: str, found: dict[str, int], slots: list[int]) -> None:
     for child in node.children:
+        usual, rare = 100 * child.pages >= SHARE * node.pages, 100 * child.pages <= (100 - SHARE) * node.pages
         if child.label == "#":
-            if child.text is None:
-                slots[0] += 1
-            elif not child.optional:
-                found.add(f"{path}\x00{child.text}")
-        elif not child.optional:
+            agreed = {t: n for t, n in child.texts.items() if 100 * n >= SHARE * node.pages}
+            for text, n in agreed.items():
+                key = f"{path}\x00{text}"
+                found[key] = max(n, found.get(key, 0))
+            slots[0] += not agreed and not rare
+        elif usual:
             _constants(child, f"{path}/{child.label}", found, slots)
         else:
-            slots[0] += 1
+            slots[0] += not rare
 
 
-def template(wrapper: Node, pages: int) -> list[str]:
+def template(wrapper: Node) -> list[str]:
     """Constants of the wrapper with their path; none if the wrapper cannot tell template from text."""
-    found: set[str] = set()
+    found: dict[str, int] = {}
     slots = [0]
     _constants(wrapper, "", found, slots)
-    if not slots[0] or pages < LEAST_PAGES:
+    if not slots[0]:
         return []
-    return sorted(x for x in found if pages >= LEAST_PAGES_INSIDE or not _INSIDE.search(x.partition("\x00")[0]))
+    return sorted(x for x, n in found.items() if n >= (LEAST_PAGES_INSIDE if _INSIDE.search(x.partition("\x00")[0]) else LEAST_PAGES))
 
 
 def main_text(page: str, constants: frozenset[str]) -> str:
@@ -267,15 +297,15 @@ def _host(url):
 
 def _dump(node: Node) -> bytes:
     def plain(x):
-        return x.label, x.text, x.optional, x.repeated, [plain(c) for c in x.children]
+        return x.label, x.text, x.optional, x.repeated, x.pages, x.texts, [plain(c) for c in x.children]
     return pickle.dumps(plain(node))
 
 
 def _load(data: bytes) -> Node:
     def build(x):
         node = Node(x[0], x[1])
-        node.optional, node.repeated = x[2], x[3]
-        node.children = [build(c) for c in x[4]]
+        node.optional, node.repeated, node.pages, node.texts = x[2:6]
+        node.children = [build(c) for c in x[6]]
         return node
     return build(pickle.loads(data))
 
@@ -285,22 +315,23 @@ def infer(pages: DataFrame) -> DataFrame:
     prepare(pages.sparkSession)
 
     def partial(frames):
-        found: dict[str, tuple[Node, int]] = {}
+        found: dict[str, Node] = {}
         for frame in frames:
             for host, page in zip(frame["host"], frame["html"]):
-                one = _wrapper(parse(page or ""))
-                known = found.get(host)
-                found[host] = (align(known[0], one), known[1] + 1) if known else (one, 1)
+                tree = parse(page or "")
+                if _has_text(tree):
+                    one = _wrapper(tree)
+                    found[host] = align(found[host], one) if host in found else one
             if len(found) > 2000:  # many hosts: hand on what there is
-                yield pd.DataFrame([(h, _dump(w), n) for h, (w, n) in found.items()], columns=["host", "wrapper", "pages"])
+                yield pd.DataFrame([(h, _dump(w)) for h, w in found.items()], columns=["host", "wrapper"])
                 found = {}
-        yield pd.DataFrame([(h, _dump(w), n) for h, (w, n) in found.items()], columns=["host", "wrapper", "pages"])
+        yield pd.DataFrame([(h, _dump(w)) for h, w in found.items()], columns=["host", "wrapper"])
 
     def whole(frame):
         wrapper = reduce(align, map(_load, frame["wrapper"]))
-        return pd.DataFrame([(frame["host"].iloc[0], template(wrapper, int(frame["pages"].sum())))], columns=["host", "constants"])
+        return pd.DataFrame([(frame["host"].iloc[0], template(wrapper))], columns=["host", "constants"])
 
-    partials = pages.select(_host(F.col("url")).alias("host"), "html").mapInPandas(partial, "host string, wrapper binary, pages long")
+    partials = pages.select(_host(F.col("url")).alias("host"), "html").mapInPandas(partial, "host string, wrapper binary")
     return partials.groupBy("host").applyInPandas(whole, "host string, constants array<string>")
 
 

@@ -224,3 +224,13 @@ def test_wrappers(spark):
     assert wrappers.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
     one, two = (wrappers._wrapper(wrappers.parse(h)) for h in ("<ul><li>a<li>b</ul><p>x</p>", "<ul><li>c</ul><h2>t</h2><p>x</p>"))
     assert wrappers.expression(wrappers.align(one, two)) == "<root><ul>(<li>#slot</>)+</>(<h2>'t'</>)?<p>'x'</></>"
+
+
+def test_wrapper_outlives_odd_pages(spark):
+    page = "<body><div>Site name</div><div><p>Text {n} of the page</p></div><h4>All rights</h4></body>"
+    rows = [(i, f"http://big.example/{i}", page.replace("{n}", str(i))) for i in range(28)]
+    odd = [(28, "http://big.example/28", None), (29, "http://big.example/29", "<body><div>Site name</div><div><p>Text 29")]
+    one = [(100 + i, f"http://one.example/{i}", "<body><div>The only text</div>" + "<p>Error</p>" * (i == 29)) for i in range(30)]
+    got = {r["page_id"]: r["text"] for r in wrappers.extract(spark.createDataFrame([*rows, *odd, *one], "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Text {i} of the page" for i in range(28)) and (got[28], got[29]) == ("", "Text 29")
+    assert all(got[100 + i].startswith("The only text") for i in range(30))
