@@ -52,6 +52,11 @@ EXCLUDED_NAMES = set("""ad ads advert adverts advertisement advertising advertor
 cookie cookies consent gdpr notice notices notification notifications alert alerts popup modal overlay newsletter subscribe subscription signup login
 share sharing social related recommended recommendations sidebar widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs pagination
 pager masthead topbar toolbar footer header comment comments commentlist respond disqus replies reply skip hidden""".split())
+#: Word parts that a class or id may have beside an excluded name (`site-footer`, `related-posts`) and still name the same block.
+BESIDE_NAMES = set("""site page global top bottom left right primary secondary desktop mobile sticky inner outer wrapper wrap container holder box block bar
+area section panel list links link items item buttons button icons posts stories slot unit post entry article""".split())
+#: Names that text of an article has for other reasons.
+FORGIVEN_INSIDE = set("header hidden notice notices alert alerts".split())
 EXCLUDED_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tablist".split())
 REPEATED = set("# p li dt dd tr td th br option h2 h3 h4".split())
 MAIN_NAMES = set("content article post entry story main".split())
@@ -70,28 +75,55 @@ class Node:
         self.pages, self.texts = 1, {}
 
 
-def _excluded(tag: str, attributes: str, inside_article: bool) -> bool:
+def _named(names: str, inside_article: bool) -> bool:
+    """One of the names is an excluded one as a whole, or made of excluded names, words of ``BESIDE_NAMES`` and numbers only."""
+    for name in names.split():
+        parts = [p.lower() for p in _NAME_PART.findall(name)]
+        hit = ({name.lower()} | set(parts)) & EXCLUDED_NAMES
+        if inside_article:
+            hit -= FORGIVEN_INSIDE
+        if hit and (name.lower() in hit or all(p in EXCLUDED_NAMES or p in BESIDE_NAMES or p.isdigit() for p in parts)):
+            return True
+    return False
+
+
+def _excluded(tag: str, attributes: str, inside_article: bool) -> str:
+    """Why an element is left out: ``rule``, ``name`` (of its class or id), or nothing."""
     if tag in EXCLUDED or tag == "header" and not inside_article:
-        return True
-    if not attributes.strip() or tag in ("html", "body", "article", "main"):
-        found = dict((m[1].lower(), (m[2] or "").strip("\"'")) for m in _ATTRIBUTE.finditer(attributes)) if attributes.strip() else {}
-        return tag == "article" and bool({p.lower() for p in _NAME_PART.findall(found.get("class", "") + " " + found.get("id", ""))} & {"comment", "comments", "related", "ad", "promo", "sponsored"})
+        return "rule"
+    if not attributes.strip():
+        return ""
     found = dict((m[1].lower(), (m[2] or "").strip("\"'")) for m in _ATTRIBUTE.finditer(attributes))
-    names = {p.lower() for p in _NAME_PART.findall(found.get("class", "") + " " + found.get("id", ""))}
-    if inside_article:
-        names -= {"header", "hidden"}
-    return bool(names & EXCLUDED_NAMES or found.get("role", "").lower() in EXCLUDED_ROLES or "hidden" in found
-                or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", ""), re.I))
+    names = found.get("class", "") + " " + found.get("id", "")
+    if tag in ("html", "body", "article", "main"):
+        return "rule" if tag == "article" and {p.lower() for p in _NAME_PART.findall(names)} & {"comment", "comments", "related", "ad", "promo", "sponsored"} else ""
+    if (found.get("role", "").lower() in EXCLUDED_ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true"
+            or re.search(r"display\s*:\s*none", found.get("style", ""), re.I)):
+        return "rule"
+    return "name" if _named(names, inside_article) else ""
+
 
+def _main_label(tag: str, attributes: str) -> str:
+    if tag in ("article", "main") or not attributes:
+        return tag
+    names = {p.lower() for a in _ATTRIBUTE.finditer(attributes) if a[1].lower() in ("class", "id", "role") for p in _NAME_PART.findall(a[2] or "")}
+    return f"{tag}.main" if tag in ("div", "section", "td") and names & MAIN_NAMES or "main" in names else tag
 
-def parse(page: str) -> Node:
-    """The tree of a page without excluded elements."""
+
+def parse(page: str, allowed: frozenset[int] = frozenset()) -> Node:
+    """The tree of a page without excluded elements.
+
+    Where all articles and main parts of a page lie in elements that were excluded by their names, these elements stay
+    (``allowed`` has their places in the page) and the page is read again.
+    """
+    outside, around = False, set()
+    why, place = "", 0  # of the excluded element around, if there is one
     root = Node("root")
     stack: list[tuple[str, Node | None]] = [("root", root)]  # an excluded element has no node
     at, n = 0, len(page)
     while at < n:
         m = _TOKEN.match(page, at)
-        at = m.end()
+        begin, at = at, m.end()
         tag = m[2] or m[5]
         node = stack[-1][1]
         if not tag:
@@ -122,13 +154,19 @@ def parse(page: str) -> Node:
                     break
         node = stack[-1][1]
         child = None
-        if node is not None and not _excluded(tag, attributes, any(t in ("article", "main") for t, _ in stack)):
-            child = Node(tag)
-            child.inline = tag in INLINE
-            names = {p.lower() for a in _ATTRIBUTE.finditer(attributes) if a[1].lower() in ("class", "id", "role") for p in _NAME_PART.findall(a[2] or "")} if attributes else set()
-            if tag in ("div", "section", "td") and names & MAIN_NAMES or "main" in names:
-                child.label = f"{tag}.main"
-            node.children.append(child)
+        inside_article = any(t in ("article", "main") for t, _ in stack)
+        if node is not None:
+            why, place = _excluded(tag, attributes, inside_article), begin
+            if not why or why == "name" and begin in allowed:
+                child = Node(tag)
+                child.inline = tag in INLINE
+                child.label = _main_label(tag, attributes)
+                outside = outside or child.label in ("article", "main") or child.label.endswith(".main")
+                node.children.append(child)
+        elif not outside:
+            label = _main_label(tag, attributes) if why == "name" else ""
+            if (label in ("article", "main") or label.endswith(".main")) and not _excluded(tag, attributes, False):
+                around.add(place)
         if tag in RAW:
             end = re.compile(f"</{tag}", re.I).search(page, at)
             if end is None:
@@ -137,7 +175,7 @@ def parse(page: str) -> Node:
             at = page.find(">", end.end()) + 1 or n
         elif tag not in VOID and not attributes.endswith("/"):
             stack.append((tag, child))
-    return root
+    return root if outside or not around else parse(page, allowed | around)
 
 
 def _wrapper(node: Node) -> Node:

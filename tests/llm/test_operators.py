@@ -234,3 +234,17 @@ def test_wrapper_outlives_odd_pages(spark):
     got = {r["page_id"]: r["text"] for r in wrappers.extract(spark.createDataFrame([*rows, *odd, *one], "page_id long, url string, html string")).collect()}
     assert all(got[i] == f"Text {i} of the page" for i in range(28)) and (got[28], got[29]) == ("", "Text 29")
     assert all(got[100 + i].startswith("The only text") for i in range(30))
+
+
+@pytest.mark.parametrize("html, text", [
+    ('<div class="layout with-sidebar"><article><p>One</p></article><div class="sidebar">S</div></div>', "One"),
+    ('<div class="page no-header"><p>One</p><div id="site-footer">F</div><div class="relatedPosts">R</div></div>', "One"),
+    ('<div id="post-and-comments"><p>One</p><div class="cookie-notice">C</div></div>', "One"),
+    ('<section class="social-policy"><p>One</p></section>', "One"),
+    ('<div class="overlay"><div class="sidebar"><article><p>One</p></article></div></div><div class="ads">A</div>', "One"),
+    ('<article><p class="notice">One</p><div class="related-work">two</div><div class="comments">C</div></article>', "One two"),
+    ('<article><p>One</p></article><div class="related"><article>Teaser</article></div>', "One"),
+    ('<p>One</p><div id="comments"><article class="comment-body">C</article></div>', "One"),
+])
+def test_names_that_only_mention_a_part(html, text):
+    assert wrappers.main_text(f"<body>{html}</body>", frozenset()) == text
