@@ -2,8 +2,8 @@
 
 Words become numbers, and the suffixes of all texts of a piece are sorted by prefix doubling over words (1, 2, 4, ...
 words), where only suffixes that still tie are sorted again. The longest-common-prefix intervals of the finished array give
-the maximal repeated substrings; their spans are united. A text fails when the united spans cover more than ``COVERED`` of
-its word characters or one repeat is longer than ``LONGEST`` of its words.
+the maximal repeated substrings; the spans of those of ``LEAST_WORDS`` words or more are united. A text fails when the united spans cover more than ``COVERED`` of
+its word characters or one repeat is longer than ``LONGEST`` of its words. The base rule has its own window of ``WINDOW`` words.
 
 Words are ``[^\\x20\\x09-\\x0D]+``; null counts as a text without words, which fails the base rule. Texts never share
 suffixes. Repeated rows get equal results; only ``doc_id`` and ``text`` are read; an empty table gives an empty result.
@@ -19,7 +19,9 @@ from socialtext.llm.numeric import Spans, pieces, words
 from socialtext.llm.tables import prepare
 
 #: Repeats of fewer words than this are part of ordinary language.
-LEAST_WORDS = 8
+LEAST_WORDS = 3
+#: Words of the window of the base rule.
+WINDOW = 8
 #: Largest part of the word characters inside repeats of a text that stays.
 COVERED = 0.30
 #: Largest part of the words that one repeat may have.
@@ -71,7 +73,7 @@ def common_words(order: np.ndarray, word: np.ndarray, text: np.ndarray) -> np.nd
     shared = np.zeros(len(order), np.int64)
     at = np.arange(1, len(order))
     at = at[text[order[at]] == text[order[at - 1]]]
-    for _ in range(LEAST_WORDS):
+    for _ in range(WINDOW):
         a, b = order[at] + shared[at], order[at - 1] + shared[at]
         ok = (a < last[order[at]]) & (b < last[order[at - 1]])
         ok[ok] = word[a[ok]] == word[b[ok]]
@@ -118,7 +120,7 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
         np.add.at(edge, begin + length[begin], -1)
         return np.cumsum(edge)[:-1] > 0
 
-    eight = cover(np.where(longest >= 8, 8, 0))
+    eight = cover(np.where(longest >= WINDOW, WINDOW, 0))
     out["n_repeat_words"] = np.bincount(text[eight], minlength=n)
     united = cover(np.where(longest >= LEAST_WORDS, longest, 0))
     out["covered"] = np.bincount(text[united], chars[united], n) / np.maximum(out["word_chars"], 1)

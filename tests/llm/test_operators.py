@@ -185,6 +185,19 @@ def test_repetition(docs, texts, nothing):
     assert repetition.assess(nothing).count() == 0
 
 
+def test_short_templates_count_as_repeats(spark):
+    pick = random.Random(4)
+    rows = [(0, " ".join(f"buy our very cheap red shoes today {n}" for n in range(200))), (1, " ".join(f"one{n}" for n in range(60)))]
+    rows += [(i, " ".join(pick.choices("abcdefghijklmno", k=60) + [f"own{n}" for n in range(80)])) for i in range(2, 30)]
+    got = {r["doc_id"]: r for r in repetition.assess(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        words = t.split()
+        windows = [tuple(words[k: k + 3]) for k in range(len(words) - 2)]
+        marked = {k + j for k, w in enumerate(windows) if windows.count(w) > 1 for j in range(3)}
+        assert got[i]["covered"] == pytest.approx(sum(len(words[k]) for k in marked) / sum(map(len, words)))
+    assert (got[0]["n_repeat_words"], got[0]["longest_repeat"], got[0]["base_failed"], got[0]["kept"]) == (0, 7, False, False) and got[1]["kept"]
+
+
 def test_language(spark, table, nothing):
     docs = table("documents")
     found = language_id.identify(docs, train_rows=20).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
