@@ -152,8 +152,7 @@ def segment_terms(spark, sf):
         F.filter(F.sequence(F.lit(1), F.greatest(F.size("tokens"), F.lit(1))), lambda i: (i % 2 == 1) & (i <= F.size("tokens"))),
         lambda i: F.concat(F.lit("#"), F.element_at("tokens", i), F.coalesce(F.get("tokens", i), F.lit("")))), " "))
     ranks = vocab.corpus_words(docs)
-    out = tokenizer.tokenize(glued.select("doc_id", "glued"), "glued", words=ranks, hashtags="split", normalize=False)
-    return arrays.exploded(out, "tokens", "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return tokenizer.split_term_counts(glued, "glued", ranks, hashtags="split", normalize=False)
 
 
 @query("stem_vocab")

@@ -1,5 +1,8 @@
 """Nothing is lost: rows without a group, other days of a table, rare words."""
 
+from collections import Counter
+
+from socialtext.operators import tokenizer
 from socialtext.operators.evaluate import stratified_folds
 from socialtext.operators.sampling import random_per_group
 from socialtext.operators.vocab import corpus_words
@@ -25,3 +28,14 @@ def test_every_word_gets_a_rank(spark):
     df = spark.createDataFrame([(["a", "b", "a", "c", "b", "a", "7"],)], "tokens array<string>")
     ranks = {r["word"]: r["rank"] for r in corpus_words(df).collect()}
     assert ranks == {"a": 0, "b": 1, "c": 2}
+
+
+def test_hashtags_are_cut_with_a_word_list_of_any_size(spark, monkeypatch):
+    texts = ["#savetheocean now", "#savetheocean #bigcity", "#xyzbig #a1b #", "plain the", None]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    words = spark.createDataFrame([(w, i) for i, w in enumerate("the a big save city ocean citybig he oceans sav".split())], "word string, rank long")
+    whole = tokenizer.tokenize(df, "text", words=words, hashtags="split", normalize=False).collect()
+    monkeypatch.setattr(tokenizer, "MAX_WORDS", 3)
+    got = tokenizer.split_term_counts(df, "text", words, hashtags="split", normalize=False).collect()
+    assert {r["term"]: r["n"] for r in got} == Counter(t for r in whole for t in r["tokens"]) and len(got) == len({r["term"] for r in got})
+    assert {"save", "the", "ocean", "city"} <= {r["term"] for r in got}
