@@ -191,7 +191,9 @@ def join(docs: DataFrame, width: int = 3, percent: int = 90, bits: int = SKETCH_
     # The l of each text, and the first position that it can share with anyone.
     spare = F.col("n") - least_common(F.col("n"), percent)
     reads = [F.sum(F.when(F.col("pos") < spare + l, F.col("df") - 1).otherwise(0)).alias(f"r{l}") for l in range(1, MOST_MATCHES + 1)]
-    costs = F.array(*[F.struct((F.col(f"r{l}") * (1 + VERIFY_COST / l)).alias("cost"), F.lit(l).alias("l")) for l in range(1, MOST_MATCHES + 1)])
+    # No text asks for more matches than it has in common with any partner: a small set may have fewer than MOST_MATCHES.
+    costs = F.array(*[F.struct(F.when(least_common(F.col("n"), percent) >= l, F.col(f"r{l}") * (1 + VERIFY_COST / l)).otherwise(float("inf")).alias("cost"), F.lit(l).alias("l"))
+                      for l in range(1, MOST_MATCHES + 1)])
     per = (entries.groupBy("doc_id", "n").agg(*reads, F.min("pos").alias("first"), F.count_if(F.col("df") > LONG_LIST).alias("crowd"))
            .select("doc_id", F.array_min(costs)["l"].alias("l"), "first", "crowd"))
     entries = stored(entries.join(per, "doc_id").where(F.col("pos") < spare + F.col("l"))

@@ -110,6 +110,19 @@ def test_long_lists_go_through_pivots(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in got} == part
 
 
+def test_small_sets_link_at_a_low_limit(spark):
+    rows, want = [], {}
+    for n in range(1, 6):
+        for m in range(n, 6):
+            for common in range(n + 1):
+                at = len(rows)
+                names = [f"p{at}w{k}" for k in range(n + m - common)]
+                rows += [(at, " ".join(names[:n])), (at + 1, " ".join(names[n - common:]))]
+                want |= {at: at, at + 1: at if 100 * common >= 50 * (n + m - common) else at + 1}
+    got = similar.grouped(spark.createDataFrame(rows, "doc_id long, text string"), 1, 50).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
 def test_components_of_a_long_chain(spark):
     order = list(range(500))
     random.Random(1).shuffle(order)
