@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from socialtext.llm import exact_dedup, language_id, mixing, pieces, repeats, repetition, secrets, sharding, similar, wrappers
+from socialtext.llm import (audit, exact_dedup, importance, language_id, mixing, multiset, pieces, repeats, repetition, secrets,
+                            sharding, similar, wrappers)
 
 
 def _docs(spark: SparkSession, folder: str) -> DataFrame:
@@ -57,8 +58,22 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return similar.grouped(_docs(spark, folder))
 
 
+def op11_target_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(_docs(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+def op12_multiset_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return multiset.fingerprints(_docs(spark, folder))
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.audit(audit.labelled_masks(_docs(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_mix_sources, op3_exact_dedup, op4_html_extract, op5_quality_repetition, op6_shard_links, op7_secret_scan, op8_sentencepiece, op9_language_id, op10_jaccard_join)
+    f.__name__: f for f in (
+        op1_suffix_dedup, op2_mix_sources, op3_exact_dedup, op4_html_extract, op5_quality_repetition, op6_shard_links, op7_secret_scan,
+        op8_sentencepiece, op9_language_id, op10_jaccard_join, op11_target_resampling, op12_multiset_fingerprints, op13_filter_audit)
 }
 
 ORACLE: dict[str, str] = {
@@ -68,4 +83,7 @@ ORACLE: dict[str, str] = {
  first_value(doc_id) OVER (PARTITION BY norm ORDER BY chars DESC, doc_id) AS keep_id FROM n)
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha256 FROM r""",
     "op7_secret_scan": secrets.oracle(),
+    "op11_target_resampling": importance.oracle(),
+    "op12_multiset_fingerprints": multiset.oracle(),
+    "op13_filter_audit": audit.oracle(),
 }
