@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from socialtext.catalog.registry import query, table
 from socialtext.catalog.texts import WORDS_SQL, words
+from socialtext.functions.arrays import counted
 from socialtext.operators import (
-    classify, coherence, counts, evaluate, features, hierarchy, joins, reshape, topics, vocab)
-from socialtext.session import spread
+    classify, coherence, counts, evaluate, features, hierarchy, joins, reshape, svd, topics, vocab)
+from socialtext.session import spread, stored
 
 DIMS = 64
 _LIST = ", ".join(f"avg(embedding[{i + 1}]::DOUBLE)" for i in range(DIMS))
@@ -188,37 +189,130 @@ def c_v(spark, sf):
     return coherence.coherence(docs, top, "c_v").withColumn("value", F.round("value", 6))
 
 
-def _fit_small(spark, sf, k=5):
-    docs = words(spark, sf, "lang").persist()
-    return docs, topics.fit_topics(docs, k=k, passes=5, min_df=3)
+TOPICS, PASSES, INNER, ETA = 5, 5, 5, 1 / 5
+_NOISE = "-ln((('0x' || substr(md5('{j}|24|' || w), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296) * df AS w{j}"
 
 
-@query("lda_topics")
+def _each(pattern: str, sep: str = ", ") -> str:
+    """``pattern`` once per topic, with its number for ``{j}``."""
+    return sep.join(pattern.replace("{j}", str(j)) for j in range(TOPICS))
+
+
+def _shares_sql(out: str, entries: str, phi: str, inner: int) -> str:
+    """CTEs of the topic shares ``{out}_1 …`` of each document, and the split of each entry in the last step."""
+    parts, start = [], f"(SELECT DISTINCT doc_id, {_each(f'{1 / TOPICS}::DOUBLE AS t{{j}}')} FROM {entries})"
+    for i in range(1, inner + 1):
+        before = start if i == 1 else f"{out}_{i - 1}"
+        parts.append(f"""{out}_{i}s AS MATERIALIZED (SELECT doc_id, w, {_each('t{j} * p{j} / (' + _each('t{j} * p{j}', ' + ') + ') AS g{j}')}
+            FROM {entries} JOIN {phi} USING (w) JOIN {before} USING (doc_id)),
+          {out}_{i} AS MATERIALIZED (SELECT doc_id, {_each(f'(sum(g{{j}}) + {1 / TOPICS}) / (count(*) + 1.0::DOUBLE) AS t{{j}}')} FROM {out}_{i}s GROUP BY doc_id)""")
+    return ",\n".join(parts)
+
+
+def _phi_sql(out: str, weights: str) -> str:
+    each = _each(f"(w{{j}} + {ETA}) / (sum(w{{j}}) OVER () + count(*) OVER () * {ETA}) AS p{{j}}")
+    return f"{out} AS MATERIALIZED (SELECT w, {each} FROM {weights})"
+
+
+def _lda_sql(passes: int = PASSES, inner: int = INNER, least: int = 3) -> str:
+    """CTEs of the same passes in SQL: entries ``x``, word probabilities ``phi``, topic shares ``shares`` (t0, t1, …)."""
+    parts = [f"d AS (SELECT doc_id, {WORDS_SQL} AS ws FROM documents)", "e AS (SELECT DISTINCT doc_id, unnest(ws) AS w FROM d)",
+             f"f AS (SELECT w, count(*) AS df FROM e GROUP BY w HAVING count(*) >= {least})", "x AS MATERIALIZED (SELECT doc_id, w FROM e JOIN f USING (w))",
+             f"w0 AS MATERIALIZED (SELECT w, {_each(_NOISE)} FROM f)"]
+    for p in range(passes):
+        parts += [_phi_sql(f"p{p}", f"w{p}"), _shares_sql(f"q{p}", "x", f"p{p}", inner),
+                  f"w{p + 1} AS MATERIALIZED (SELECT w, {_each('sum(g{j}) AS w{j}')} FROM q{p}_{inner}s GROUP BY w)"]
+    parts += [_phi_sql("phi", f"w{passes}"), _shares_sql("r", "x", "phi", inner),
+              f"shares AS (SELECT d.doc_id, ws, {_each(f'coalesce(t{{j}}, {1 / TOPICS}) AS t{{j}}')} FROM d LEFT JOIN r_{inner} USING (doc_id))"]
+    return "WITH " + ",\n".join(parts)
+
+
+def _fit_small(spark, sf):
+    """The words of all documents and a model of them. They are written once, as every pass reads them."""
+    docs = stored(words(spark, sf), "topic-words")
+    return docs, topics.fit_topics(docs, k=TOPICS, passes=PASSES, inner=INNER, min_df=3, learn_alpha=False)
+
+
+def _slices(docs):
+    """Five slices of the document numbers."""
+    total = docs.agg(F.max("doc_id") + 1).scalar()
+    return docs.withColumn("slice", F.floor(F.col("doc_id") * 5 / total).cast("int"))
+
+
+_SLICE_SQL = "CAST(floor(doc_id * 5 / (SELECT max(doc_id) + 1 FROM documents)) AS INTEGER) AS slice"
+
+
+@query("lda_topics", f"""{_lda_sql()}
+    SELECT doc_id, CAST(list_position([{_each('t{j}')}], greatest({_each('t{j}')})) - 1 AS INTEGER) AS topic,
+           round(greatest({_each('t{j}')}), 6) AS share FROM shares""")
 def lda_topics(spark, sf):
     docs, model = _fit_small(spark, sf)
-    return topics.topic_shares(model, docs, "doc_id").select("doc_id", "topic", F.array_max("shares").alias("share"))
+    return topics.topic_shares(model, docs, "doc_id").select("doc_id", "topic", F.round(F.array_max("shares"), 6).alias("share"))
 
 
-@query("lda_top_words")
+@query("lda_top_words", f"""{_lda_sql()},
+    long AS ({_each("SELECT {j} AS topic, w AS word, p{j} AS p FROM phi", " UNION ALL ")}),
+    best AS (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY p DESC, word) - 1 AS rank FROM long)
+    SELECT CAST(topic AS INTEGER) AS topic, CAST(rank AS INTEGER) AS rank, word, round(p, 6) AS weight FROM best WHERE rank < 10""")
 def lda_top_words(spark, sf):
-    return topics.top_words(_fit_small(spark, sf)[1], 10)
+    return topics.top_words(_fit_small(spark, sf)[1], 10).withColumn("weight", F.round("weight", 6))
 
 
-@query("slice_topics")
+@query("slice_topics", f"""{_lda_sql()},
+    m AS (SELECT {_SLICE_SQL}, {_each('avg(t{j}) AS t{j}')} FROM shares GROUP BY slice)
+    {_each("SELECT slice, CAST({j} AS INTEGER) AS topic, round(t{j}, 6) AS share FROM m", " UNION ALL ")}""")
 def slice_topics(spark, sf):
     """Mean topic shares in five slices of the document numbers."""
     docs, model = _fit_small(spark, sf)
-    total = docs.agg(F.max("doc_id") + 1).scalar()
-    sliced = docs.withColumn("slice", F.floor(F.col("doc_id") * 5 / total).cast("int"))
-    return topics.slice_topics(model, sliced, "slice")
+    return topics.slice_topics(model, _slices(docs), "slice").withColumn("share", F.round("share", 6))
 
 
-@query("slice_drift")
+@query("slice_drift", f"""{_lda_sql()},
+    m AS (SELECT slice, w, {_each('sum(t{j}) AS m{j}')} FROM (SELECT {_SLICE_SQL}, {_each('t{j}')}, unnest(ws) AS w FROM shares) GROUP BY slice, w),
+    long AS ({_each("SELECT slice, {j} AS topic, w, m{j} AS m FROM m", " UNION ALL ")}),
+    v AS (SELECT slice, topic, w, m / sum(m) OVER (PARTITION BY slice, topic) AS v FROM long),
+    n AS (SELECT slice, topic, sum(v * v) AS n FROM v GROUP BY slice, topic),
+    dots AS (SELECT a.slice, a.topic, sum(a.v * b.v) AS s FROM v a JOIN v b ON a.slice = b.slice + 1 AND a.topic = b.topic AND a.w = b.w GROUP BY a.slice, a.topic)
+    SELECT a.slice, CAST(a.topic AS INTEGER) AS topic, round(coalesce(s, 0) / sqrt(a.n * b.n), 6) AS similarity
+    FROM n a JOIN n b ON a.slice = b.slice + 1 AND a.topic = b.topic LEFT JOIN dots ON dots.slice = a.slice AND dots.topic = a.topic""")
 def slice_drift(spark, sf):
     docs, model = _fit_small(spark, sf)
-    total = docs.agg(F.max("doc_id") + 1).scalar()
-    sliced = docs.withColumn("slice", F.floor(F.col("doc_id") * 5 / total).cast("int"))
-    return topics.slice_drift(topics.slice_topic_words(model, sliced, "slice"), "slice")
+    words_of = topics.slice_topic_words(model, _slices(docs), "slice")
+    return topics.slice_drift(words_of, "slice").withColumn("similarity", F.round("similarity", 6))
+
+
+def _chain_sql(passes: int = 2, inner: int = 3, least: int = 2, decay: float = 0.5) -> str:
+    """Slice by slice: the weights of a slice start the next one and stay in it with half their size."""
+    parts = [f"d AS (SELECT {_SLICE_SQL}, doc_id, {WORDS_SQL} AS ws FROM documents)", "e AS (SELECT DISTINCT slice, doc_id, unnest(ws) AS w FROM d)"]
+    for c in range(5):
+        parts += [f"f{c} AS (SELECT w, count(*) AS df FROM e WHERE slice = {c} GROUP BY w HAVING count(*) >= {least})",
+                  f"n{c} AS (SELECT w, {_each(_NOISE)} FROM f{c})"]
+        if c:
+            parts.append(f"w{c}_0 AS MATERIALIZED (SELECT w, {_each('coalesce(o.w{j}, n.w{j}) AS w{j}')} FROM n{c} n FULL JOIN w{c - 1}_{passes} o USING (w))")
+        else:
+            parts.append("w0_0 AS MATERIALIZED (SELECT * FROM n0)")
+        parts.append(f"x{c} AS MATERIALIZED (SELECT doc_id, w FROM e JOIN w{c}_0 USING (w) WHERE slice = {c})")
+        for p in range(passes):
+            sums = f"(SELECT w, {_each('sum(g{j}) AS s{j}')} FROM q{c}_{p}_{inner}s GROUP BY w)"
+            prior = f"LEFT JOIN (SELECT w, {_each('w{j} AS o{j}')} FROM w{c - 1}_{passes}) o USING (w)" if c else ""
+            old = f" + {decay} * coalesce(o{{j}}, 0)" if c else ""
+            parts += [_phi_sql(f"p{c}_{p}", f"w{c}_{p}"), _shares_sql(f"q{c}_{p}", f"x{c}", f"p{c}_{p}", inner),
+                      f"w{c}_{p + 1} AS MATERIALIZED (SELECT w, {_each(f'coalesce(s{{j}}, 0){old} AS w{{j}}')} FROM w{c}_{p} LEFT JOIN {sums} s USING (w) {prior})"]
+        parts += [_phi_sql(f"phi{c}", f"w{c}_{passes}")]
+    return "WITH " + ",\n".join(parts)
+
+
+@query("chained_topics", _chain_sql() + ", long AS (" + " UNION ALL ".join(
+    _each(f"SELECT {c} AS slice, {{j}} AS topic, w AS word, p{{j}} AS p FROM phi{c}", " UNION ALL ") for c in range(5)) + """),
+    n AS (SELECT slice, topic, sum(p * p) AS n FROM long GROUP BY slice, topic),
+    dots AS (SELECT a.slice, a.topic, sum(a.p * b.p) AS s FROM long a JOIN long b ON a.slice = b.slice + 1 AND a.topic = b.topic AND a.word = b.word GROUP BY a.slice, a.topic)
+    SELECT CAST(a.slice AS INTEGER) AS slice, CAST(a.topic AS INTEGER) AS topic, round(s / sqrt(a.n * b.n), 6) AS similarity
+    FROM n a JOIN n b ON a.slice = b.slice + 1 AND a.topic = b.topic JOIN dots ON dots.slice = a.slice AND dots.topic = a.topic""")
+def chained_topics(spark, sf):
+    """How far the words of each topic move from slice to slice, when every slice starts from the one before."""
+    docs = _slices(stored(words(spark, sf), "topic-words"))
+    models = topics.chained_slices(docs, "slice", k=TOPICS, passes=2, inner=3, min_df=2, learn_alpha=False)
+    return topics.slice_drift(topics.chained_words(models), "slice").withColumn("similarity", F.round("similarity", 6))
 
 
 def _labelled(spark, sf):
@@ -282,13 +376,32 @@ def document_vectors(spark, sf):
         "lang", F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)).alias("length"))
 
 
+def _squared(values):
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x * x)
+
+
 @query("svd_reduction")
 def svd_reduction(spark, sf):
-    """Share of the squared length of each document that ten dimensions keep."""
-    def squared(values):
-        return F.aggregate(values, F.lit(0.0), lambda a, x: a + x * x)
-
-    _, vectors = features.count_vectors(words(spark, sf), min_df=5)
-    whole = vectors.select("doc_id", squared(F.unwrap_udt("features")["values"]).alias("whole"))
-    reduced = features.reduce_dimensions(vectors, "doc_id", k=10).select("doc_id", squared(F.col("reduced")).alias("kept"))
-    return reduced.join(whole, "doc_id").select("doc_id", F.round(F.try_divide("kept", "whole"), 6).alias("kept_share"))
+    """Share of the squared length of the term counts of each document that ten dimensions keep."""
+    docs = stored(words(spark, sf).select("doc_id", counted(F.col("tokens")).alias("terms")), "svd-words")
+    terms, values = F.col("terms.term"), F.col("terms.tf").cast("array<double>")
+    reduced = svd.project(svd.truncated_svd(docs, terms, values, k=10), docs, "doc_id", terms, values)
+    whole = docs.select("doc_id", _squared(values).alias("whole"))
+    return (whole.join(reduced.select("doc_id", _squared(F.col("reduced")).alias("kept")), "doc_id")
+            .select("doc_id", F.round(F.try_divide("kept", "whole"), 6).alias("kept_share")))
+
+
+@query("svd_moments", f"""
+    WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+    g AS (SELECT a.i, b.i AS j, sum(a.x * b.x) AS g FROM e a JOIN e b USING (vec_id) GROUP BY a.i, b.i),
+    p AS (SELECT sum(g) FILTER (i = j) AS p1, sum(g * g) AS p2 FROM g),
+    c AS (SELECT sum(a.g * b.g * c.g) AS p3 FROM g a JOIN g b ON a.j = b.i JOIN g c ON b.j = c.i AND c.j = a.i)
+    SELECT round(p1, 6) AS squares, round(p2 / p1 ** 2, 9) AS fourth_powers, round(p3 / p1 ** 3, 9) AS sixth_powers FROM p, c""")
+def svd_moments(spark, sf):
+    """Power sums of all singular values of the vectors: they fix the values, and SQL has them without a decomposition."""
+    rows = spread(table(spark, sf, "embeddings"))
+    places = F.sequence(F.lit(1), F.lit(DIMS))
+    found = svd.truncated_svd(rows, F.when(F.size("embedding") == DIMS, places), F.col("embedding"), k=DIMS)
+    p1, p2, p3 = (sum(v ** n for v in found.values) for n in (2, 4, 6))
+    return spark.createDataFrame([(round(p1, 6), round(p2 / p1 ** 2, 9), round(p3 / p1 ** 3, 9))],
+                                 "squares double, fourth_powers double, sixth_powers double")

@@ -1,69 +1,277 @@
-"""Topic models on Spark's LDA: topics, shares, time slices, sweeps."""
+"""Topic models whose term table stays on the executors: topics, shares, chained time slices, sweeps.
+
+The model is a table ``term, weights`` (expected counts of the term per topic); documents lie in blocks (see ``blocks``). In a pass
+every block gets the weights of the terms that it holds, estimates the topic shares of its documents and sends one row per term
+back; the sums of these rows are the next table. Only numbers per topic reach the driver, so
+the vocabulary has no bound. Estimates are expectation-maximization with pseudo-counts ``alpha`` (topics in a document) and ``eta``
+(terms in a topic).
+"""
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizerModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+import json
+import math
+from dataclasses import dataclass, replace
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from socialtext.functions.arrays import argmax, exploded
+from socialtext.functions.arrays import argmax, counted, exploded
+from socialtext.operators import blocks
 from socialtext.operators.coherence import coherence
-from socialtext.operators.features import ALL_TERMS, count_vectors
+from socialtext.session import stored
+
+#: Entries (document, term) of a block, and of the part of a block that is worked on at once.
+BLOCK_ENTRIES, CHUNK_ENTRIES = 1 << 19, 1 << 15
+_RESERVED = ("_terms", "_values", "_block")
+
+
+@dataclass(frozen=True)
+class TopicModel:
+    """``terms`` is the table; the rest are numbers per topic or settings. ``log_perplexities`` has one value per pass."""
+
+    terms: DataFrame
+    alpha: tuple[float, ...]
+    eta: float
+    n_terms: int
+    totals: tuple[float, ...]
+    inner: int
+    binary: bool
+    log_perplexities: tuple[float, ...] = ()
+
+    @property
+    def k(self) -> int:
+        return len(self.alpha)
+
+
+def _digamma(x: np.ndarray) -> np.ndarray:
+    """Recurrence up to 6, then the asymptotic series."""
+    x, out = np.array(x, float), np.zeros(np.shape(x))
+    for _ in range(6):
+        small = x < 6
+        out -= np.where(small, 1 / x, 0.0)
+        x = np.where(small, x + 1, x)
+    y = 1 / (x * x)
+    return out + np.log(x) - 0.5 / x - y * (1 / 12 - y * (1 / 120 - y * (1 / 252 - y / 240)))
+
+
+def _shares(p: np.ndarray, n: np.ndarray, starts: np.ndarray, doc: np.ndarray, alpha: np.ndarray, inner: int):
+    """Topic shares of each document by ``inner`` steps from equal shares; the last step also gives the split of each entry."""
+    size = np.add.reduceat(n, starts)[:, None]
+    theta = np.full((len(starts), len(alpha)), 1 / len(alpha))
+    for _ in range(inner):
+        split = p * theta[doc]
+        likely = split.sum(axis=1)
+        split *= (n / likely)[:, None]
+        held = np.add.reduceat(split, starts)
+        theta = (held + alpha) / (size + alpha.sum())
+    return theta, split, likely, held
+
+
+def _weights(right: pa.Table, model: dict) -> np.ndarray:
+    """Probability of each term of the block under each topic."""
+    return (blocks.weights(right, len(model["alpha"])) + model["eta"]) / (np.array(model["totals"]) + model["n_terms"] * model["eta"])
+
+
+def _estimate(model: dict):
+    """Of one block: sums per term, and a row without a term with the log-likelihood and the sums that belong to no term."""
+    alpha, k = np.array(model["alpha"]), len(model["alpha"])
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.table({"term": pa.array([], pa.string()), "sums": pa.array([], pa.list_(pa.float64()))})
+        terms = pa.concat_arrays(right.column("term").chunks)
+        phi = _weights(right, model)
+        place, n, doc = blocks.entries(left, terms)
+        sums, stats = np.zeros((len(terms), k)), np.zeros(2 * k + 3)
+        for at, _, local, starts in blocks.chunks(doc):
+            _, split, likely, held = _shares(phi[place[at]], n[at], starts, local, alpha, model["inner"])
+            for j in range(k):
+                sums[:, j] += np.bincount(place[at], weights=split[:, j], minlength=len(terms))
+            stats[0] += float(n[at] @ np.log(likely))
+            stats[1] += n[at].sum()
+            stats[2] += (_digamma(held.sum(axis=1) + alpha.sum()) - _digamma(alpha.sum())).sum()
+            stats[3: 3 + k] += (_digamma(held + alpha) - _digamma(alpha)).sum(axis=0)
+        stats[3 + k:] = sums.sum(axis=0)
+        offsets = np.append(np.arange(len(terms) + 1) * k, len(terms) * k + len(stats))
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.append(sums.ravel(), stats)))
+        return pa.table({"term": pa.concat_arrays([terms, pa.array([None], terms.type)]), "sums": lists})
+
+    return run
+
+
+def _settings(model: TopicModel) -> dict:
+    return {c: getattr(model, c) for c in ("alpha", "eta", "n_terms", "totals", "inner")}
+
+
+def _documents(df: DataFrame, tokens_col: str, binary: bool, keep: list[str], seed: int) -> DataFrame:
+    """``_terms`` (distinct, per document), ``_values`` unless binary, a stored random number, and the columns to keep."""
+    found = F.coalesce(F.col(tokens_col), F.array().cast("array<string>"))
+    at = F.rand(seed).alias("_u")
+    if binary:
+        return df.select(*keep, F.array_distinct(F.array_compact(found)).alias("_terms"), at)
+    pairs = df.select(*keep, F.coalesce(counted(F.array_compact(found)), F.array().cast("array<struct<term:string,tf:bigint>>")).alias("_c"), at)
+    return pairs.select(*keep, F.col("_c.term").alias("_terms"), F.col("_c.tf").alias("_values"), "_u")
+
+
+def _sums(docs: DataFrame, needs: DataFrame, model: TopicModel) -> DataFrame:
+    """One pass: ``term, sums``; the sums of all blocks, and one row without a term."""
+    columns = [c for c in docs.columns if c in (blocks.TERMS, blocks.VALUES, blocks.BLOCK)]
+    parts = blocks.per_block(docs.select(*columns), needs, model.terms, _estimate(_settings(model)), "term string, sums array<double>")
+    return blocks.summed(parts, "term", 2 * model.k + 3, "sums")
+
+
+def _start(df_terms: DataFrame, k: int, seed: int) -> DataFrame:
+    """Document frequency times exponential noise from a hash of topic, seed and term: the same start in every run."""
+    def noise(topic: int) -> Column:
+        h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{topic}|{seed}|"), F.col("term"))), 1, 8), 16, 10).cast("double")
+        return -F.ln((h + 0.5) / F.lit(4294967296.0)) * F.col("df")
+
+    return df_terms.select("term", F.array(*[noise(j) for j in range(k)]).alias("weights"))
+
+
+def _totals(terms: DataFrame, k: int) -> tuple[float, ...]:
+    """Sums per topic: ``k`` numbers."""
+    row = terms.agg(*[F.coalesce(F.sum(F.col("weights")[i]), F.lit(0.0)).alias(f"_{i}") for i in range(k)]).first()
+    return tuple(float(x) for x in row)
+
+
+def _learned(alpha: tuple[float, ...], stats: list[float], k: int) -> tuple[float, ...]:
+    """One fixed-point step of the Dirichlet pseudo-counts."""
+    return tuple(max(a * s / stats[2], 1e-6) if stats[2] > 0 else a for a, s in zip(alpha, stats[3: 3 + k]))
 
 
 def fit_topics(df: DataFrame, tokens_col: str = "tokens", *, k: int = 100, passes: int = 1, subsample: float = 1.0,
-               learn_alpha: bool = True, binary: bool = True, min_df: float = 1.0, vocab_size: int = ALL_TERMS,
-               seed: int = 24) -> PipelineModel:
-    """Vocabulary and online LDA. Every pass reads every document; with ``subsample`` below 1 it is ``1 / subsample`` random mini-batches."""
-    counter, vectors = count_vectors(df, tokens_col, min_df=min_df, vocab_size=vocab_size, binary=binary)
-    lda = LDA(k=k, maxIter=max(1, round(passes / subsample)), optimizer="online", subsamplingRate=subsample,
-              optimizeDocConcentration=learn_alpha, seed=seed, featuresCol="features", topicDistributionCol="topics")
-    return PipelineModel([counter, lda.fit(vectors)])
-
-
-def vocabulary(model: PipelineModel) -> list[str]:
-    stage: CountVectorizerModel = model.stages[0]
-    return stage.vocabulary
-
-
-def top_words(model: PipelineModel, n: int = 20) -> DataFrame:
-    """``topic, rank, word, weight``: ``k · n`` rows of the model."""
-    words = vocabulary(model)
-    spark_words = F.array(*[F.lit(w) for w in words]) if len(words) <= 1000 else None
-    topics = model.stages[1].describeTopics(n)
-    rows = topics.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "_t"))
-    if spark_words is not None:
-        word = F.get(spark_words, F.col("_t.termIndices"))
-        return rows.select("topic", "rank", word.alias("word"), F.col("_t.termWeights").alias("weight"))
-    names = topics.sparkSession.createDataFrame(
-        [(int(r["i"]), words[r["i"]]) for r in rows.select(F.col("_t.termIndices").alias("i")).distinct().collect()],
-        "i int, word string")
-    return (rows.withColumn("i", F.col("_t.termIndices")).join(names, "i")
-            .select("topic", "rank", "word", F.col("_t.termWeights").alias("weight")))
-
-
-def topic_shares(model: PipelineModel, df: DataFrame, id_col: str, *extra: str) -> DataFrame:
-    """``id, shares, topic``: share of every topic and the strongest one."""
-    out = model.transform(df).withColumn("shares", vector_to_array("topics"))
-    return out.select(id_col, *extra, "shares", argmax(F.col("shares")).alias("topic"))
-
-
-def slice_topics(model: PipelineModel, df: DataFrame, slice_col: str, tokens_col: str = "tokens") -> DataFrame:
-    """``slice, topic, share``: mean topic share per time slice.
-
-    One model is fitted on all slices; this is not a chained state-space model.
+               learn_alpha: bool = True, binary: bool = True, min_df: float = 1.0, alpha: float | None = None,
+               eta: float | None = None, inner: int = 5, seed: int = 24, start: TopicModel | None = None,
+               decay: float = 0.0) -> TopicModel:
+    """A model of ``k`` topics. Every pass reads every document.
+
+    With ``subsample`` below 1 a pass is ``1 / subsample`` steps, each over its own share of the blocks, whose sums are mixed into
+    the table with weight ``(1 + step) ** -0.5``. ``min_df`` is a number of documents, or a share of them below 1. ``alpha`` and
+    ``eta`` are 1 / k if not given. With ``start``, its word weights, times ``decay``, stay in the table as a prior and its topics
+    are the first estimate. Documents without tokens count as nothing; an empty table gives a model without terms.
     """
-    shares = model.transform(df).select(slice_col, F.posexplode(vector_to_array("topics")).alias("topic", "share"))
-    return shares.groupBy(slice_col, "topic").agg(F.avg("share").alias("share"))
+    if k < 1 or passes < 1 or inner < 1 or not 0 < subsample <= 1 or not 0 <= decay <= 1:
+        raise ValueError("k, passes and inner are at least 1, subsample lies in (0, 1], decay in [0, 1]")
+    docs = stored(_documents(df, tokens_col, binary, [], seed), "topics-documents")
+    counts = stored(exploded(docs, "_terms", "term").groupBy("term").agg(F.count(F.lit(1)).alias("df")), "topics-terms")
+    size = counts.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+    least = min_df if min_df >= 1 else min_df * docs.count()
+    known = counts.where(F.col("df") >= least)
+    if start is not None:
+        if start.k != k:
+            raise ValueError("the earlier model must have as many topics")
+        prior = start.terms.select("term", F.transform("weights", lambda w: w * decay).alias("_prior"))
+        fresh = _start(known, k, seed).join(start.terms.select("term", F.col("weights").alias("_old")), "term", "full")
+        terms = stored(fresh.select("term", F.coalesce("_old", "weights").alias("weights")), "topics-start")
+        if decay == 0:
+            terms = terms.join(known.select("term"), "term", "left_semi")
+    else:
+        prior, terms = None, _start(known, k, seed)
+    terms = stored(terms, "topics-start")
+    model = TopicModel(terms, (alpha or 1 / k,) * k, eta or 1 / k, terms.count(), _totals(terms, k), inner, binary)
+    docs = stored(blocks.dealt(docs, size), "topics-blocks")
+    needs = stored(blocks.needed(docs, terms), "topics-needs")
+    batches = max(1, round(1 / subsample))
+    for step in range(passes * batches):
+        if batches == 1:
+            found = _sums(docs, needs, model)
+        else:
+            def now(block):
+                return F.pmod(F.col(block), F.lit(batches)) == step % batches
+
+            found = _sums(docs.where(now("_block")), needs.where(now("_of")), model)
+        found = stored(found, "topics-sums")
+        stats = found.where("term is null").select("sums").first()
+        if stats is None:  # nothing to learn from in this share
+            continue
+        stats, rate = list(stats["sums"]), 1.0 if batches == 1 else (1 + step) ** -0.5
+        sums = found.where("term is not null").select("term", F.slice("sums", 1, k).alias("sums"))
+        model = replace(_updated(model, sums, stats, prior, start, decay, rate, batches),
+                        alpha=_learned(model.alpha, stats, k) if learn_alpha else model.alpha,
+                        log_perplexities=(*model.log_perplexities, -stats[0] / stats[1]))
+    return model
+
+
+def _updated(model: TopicModel, sums: DataFrame, stats: list[float], prior: DataFrame | None, start: TopicModel | None,
+             decay: float, rate: float, batches: int) -> TopicModel:
+    """The table after a step: ``(1 - rate) · old + rate · (batches · sums + prior)``."""
+    k = model.k
+    if rate == 1.0 and batches == 1 and (prior is None or decay == 0):
+        return replace(model, terms=sums.select("term", F.col("sums").alias("weights")), totals=tuple(stats[3 + k: 3 + 2 * k]))
+    zero = F.array_repeat(F.lit(0.0), k)
+    joined = model.terms.join(sums, "term", "left")
+    new = F.transform(F.coalesce("sums", zero), lambda s: s * batches)
+    if prior is not None and decay > 0:
+        joined = joined.join(prior, "term", "left")
+        new = F.zip_with(new, F.coalesce("_prior", zero), lambda s, p: s + p)
+    terms = stored(joined.select("term", F.zip_with("weights", new, lambda w, s: w * (1 - rate) + s * rate).alias("weights")), "topics-terms")
+    return replace(model, terms=terms, totals=_totals(terms, k))
+
+
+def probabilities(model: TopicModel) -> DataFrame:
+    """``topic, word, weight``: the probability of every word in every topic."""
+    totals = F.array(*[F.lit(t + model.n_terms * model.eta) for t in model.totals])
+    rows = model.terms.select(F.col("term").alias("word"), F.posexplode("weights").alias("topic", "_w"))
+    return rows.select("topic", "word", ((F.col("_w") + model.eta) / F.get(totals, F.col("topic"))).alias("weight"))
+
+
+def top_words(model: TopicModel, n: int = 20) -> DataFrame:
+    """``topic, rank, word, weight``: ranks are cut in every task before the ``n`` best per topic meet."""
+    best = Window.partitionBy("topic").orderBy(F.desc("weight"), "word")
+    return (probabilities(model).withColumn("rank", F.row_number().over(best) - 1).where(F.col("rank") < n)
+            .select("topic", "rank", "word", "weight"))
+
+
+def _share_rows(model: dict, schema: T.StructType):
+    alpha = np.array(model["alpha"])
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        theta = np.tile(alpha / alpha.sum(), (left.num_rows, 1))
+        if left.num_rows and right.num_rows:
+            phi = _weights(right, model)
+            place, n, doc = blocks.entries(left, pa.concat_arrays(right.column("term").chunks))
+            for at, here, local, starts in blocks.chunks(doc):
+                theta[here] = _shares(phi[place[at]], n[at], starts, local, alpha, model["inner"])[0]
+        return pa.table([*[left.column(c) for c in schema.names[:-1]], blocks.lists_of(theta)], names=schema.names)
+
+    return run
+
+
+def topic_shares(model: TopicModel, df: DataFrame, id_col: str, *extra: str, tokens_col: str = "tokens") -> DataFrame:
+    """``id, shares, topic``: share of every topic and the strongest one. Without a known term: the shares of ``alpha``."""
+    keep = list(dict.fromkeys((id_col, *extra)))
+    docs = stored(_documents(df, tokens_col, model.binary, keep, 0), "topics-new")
+    docs = blocks.dealt(docs, blocks.entry_count(docs))
+    schema = T.StructType([*[df.schema[c] for c in keep], T.StructField("shares", T.ArrayType(T.DoubleType()))])
+    out = blocks.per_block(docs, blocks.needed(docs, model.terms), model.terms, _share_rows(_settings(model), schema), schema)
+    return out.select(*keep, "shares", argmax(F.col("shares")).alias("topic"))
 
 
-def slice_topic_words(model: PipelineModel, df: DataFrame, slice_col: str, tokens_col: str = "tokens") -> DataFrame:
+def log_perplexity(model: TopicModel, df: DataFrame, tokens_col: str = "tokens") -> float:
+    """Minus the mean log-likelihood of the known tokens, from shares estimated on the same tokens."""
+    docs = stored(_documents(df, tokens_col, model.binary, [], 0), "topics-new")
+    docs = stored(blocks.dealt(docs, blocks.entry_count(docs)), "topics-new")
+    stats = _sums(docs, blocks.needed(docs, model.terms), model).where("term is null").first()
+    return math.nan if stats is None else -stats["sums"][0] / stats["sums"][1]
+
+
+# ---- time slices ---------------------------------------------------------------------------
+
+def slice_topics(model: TopicModel, df: DataFrame, slice_col: str, tokens_col: str = "tokens") -> DataFrame:
+    """``slice, topic, share``: mean topic share per time slice under one model of all slices."""
+    shares = topic_shares(model, df, slice_col, tokens_col=tokens_col)
+    means = shares.groupBy(slice_col).agg(F.array(*[F.avg(F.col("shares")[i]) for i in range(model.k)]).alias("_m"))
+    return means.select(slice_col, F.posexplode("_m").alias("topic", "share"))
+
+
+def slice_topic_words(model: TopicModel, df: DataFrame, slice_col: str, tokens_col: str = "tokens") -> DataFrame:
     """``slice, topic, word, weight``: topic words estimated anew in every slice from ``Σ p(topic | doc) · tf``."""
-    docs = model.transform(df).select(slice_col, vector_to_array("topics").alias("shares"), tokens_col)
+    docs = topic_shares(model, df, slice_col, tokens_col, tokens_col=tokens_col)
     words = exploded(docs, tokens_col, "word", slice_col, "shares")
-    k = model.stages[1].getK()
+    k = model.k
     # One partial sum per topic and word: the shares array is summed place by place, not exploded per token.
     sums = words.groupBy(slice_col, "word").agg(*[F.sum(F.col("shares")[i]).alias(f"_{i}") for i in range(k)])
     long = sums.select(slice_col, "word", F.posexplode(F.array(*[F.col(f"_{i}") for i in range(k)])).alias("topic", "mass"))
@@ -72,6 +280,29 @@ def slice_topic_words(model: PipelineModel, df: DataFrame, slice_col: str, token
             .select(slice_col, "topic", "word", (F.col("mass") / F.col("_total")).alias("weight")))
 
 
+def chained_slices(df: DataFrame, slice_col: str, tokens_col: str = "tokens", *, decay: float = 0.5, **fit) -> dict:
+    """A model per slice, in the order of the slices.
+
+    The word weights of a slice, times ``decay``, are the prior of the next one, so a topic keeps its number and its words move as
+    far as the new documents carry them. With ``decay`` 0 only the first estimate is handed on. The slices (days, months) are
+    counted ones; one job after the other fits them, each over all its documents.
+    """
+    models, last = {}, None
+    for value in [r[0] for r in df.select(slice_col).where(F.col(slice_col).isNotNull()).distinct().orderBy(slice_col).collect()]:
+        last = fit_topics(df.where(F.col(slice_col) == value), tokens_col, start=last, decay=decay if last else 0.0, **fit)
+        models[value] = last
+    return models
+
+
+def chained_words(models: dict, slice_col: str = "slice") -> DataFrame:
+    """``slice, topic, word, weight`` of chained models; the slice is its number in order."""
+    parts = [probabilities(m).select(F.lit(i).alias(slice_col), "topic", "word", "weight") for i, m in enumerate(models.values())]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
+
+
 def slice_drift(slice_words: DataFrame, slice_col: str) -> DataFrame:
     """``slice, topic, similarity``: cosine of a topic's word weights with those one slice earlier."""
     later = slice_words.select(F.col(slice_col).alias("slice"), "topic", "word", F.col("weight").alias("w1"))
@@ -84,6 +315,8 @@ def slice_drift(slice_words: DataFrame, slice_col: str) -> DataFrame:
         "slice", "topic", (F.coalesce("dot", F.lit(0.0)) / F.sqrt(F.col("a") * F.col("b"))).alias("similarity"))
 
 
+# ---- choice of settings --------------------------------------------------------------------
+
 def sweep(df: DataFrame, ks: list[int], tokens_col: str = "tokens", id_col: str = "doc_id",
           measures: tuple[str, ...] = ("u_mass", "c_v", "c_uci", "c_npmi"), n_words: int = 10, **fit) -> DataFrame:
     """``k, metric, value`` for every number of topics. The token lists are kept between the fits."""
@@ -93,8 +326,7 @@ def sweep(df: DataFrame, ks: list[int], tokens_col: str = "tokens", id_col: str
     try:
         for k in ks:
             model = fit_topics(kept, tokens_col, k=k, **fit)
-            vectors = model.stages[0].transform(kept)
-            rows.append((k, "log_perplexity", float(model.stages[1].logPerplexity(vectors))))
+            rows.append((k, "log_perplexity", log_perplexity(model, kept, tokens_col)))
             words = top_words(model, n_words)
             for name in measures:
                 value = coherence(kept, words, name, tokens_col).agg(F.avg("value")).first()[0]
@@ -116,18 +348,20 @@ def grid_search(df: DataFrame, grid: dict[str, list], fold_col: str, tokens_col:
             params = dict(zip(names, values))
             for fold in folds:
                 model = fit_topics(kept.filter(F.col(fold_col) != fold), tokens_col, **params)
-                held = model.stages[0].transform(kept.filter(F.col(fold_col) == fold))
-                rows.append((str(params), int(fold), -float(model.stages[1].logPerplexity(held))))
+                rows.append((str(params), int(fold), -log_perplexity(model, kept.filter(F.col(fold_col) == fold), tokens_col)))
     finally:
         kept.unpersist()
     return df.sparkSession.createDataFrame(rows, "params string, fold int, value double")
 
 
-def save(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
-
-
-def load(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def save(model: TopicModel, path: str) -> None:
+    """The table as Parquet and the numbers as one JSON row beside it."""
+    model.terms.write.mode("overwrite").parquet(f"{path}/terms")
+    numbers = {c: v for c, v in vars(model).items() if c != "terms"}
+    model.terms.sparkSession.createDataFrame([(json.dumps(numbers),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/numbers")
 
 
+def load(spark: SparkSession, path: str) -> TopicModel:
+    numbers = json.loads(spark.read.text(f"{path}/numbers").first()[0])
+    lists = {c: tuple(v) if isinstance(v, list) else v for c, v in numbers.items()}
+    return TopicModel(spark.read.parquet(f"{path}/terms"), **lists)

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from socialtext.operators.normalize import normalize
 from socialtext.operators.phrases import learn_phrases, merge_phrases
-from socialtext.operators.topics import fit_topics
+from socialtext.operators.topics import TopicModel, fit_topics
 
 # Words of the epidemic corpus that say nothing about the topic.
 EPIDEMIC_STOP_WORDS = ["coronavirus", "virus", "pandemic", "people", "$", "+", "|"]
@@ -30,6 +29,6 @@ def topic_documents(df: DataFrame, id_col: str, tokens_col: str = "tokens", *, l
 
 def fit_topic_model(df: DataFrame, id_col: str, tokens_col: str = "tokens", *, k: int = 100, passes: int = 1,
                     language: str | None = "english", stop_words: list[str] = (), bigrams: bool = False,
-                    **fit) -> tuple[PipelineModel, DataFrame]:
+                    **fit) -> tuple[TopicModel, DataFrame]:
     docs = topic_documents(df, id_col, tokens_col, language=language, stop_words=stop_words, bigrams=bigrams)
     return fit_topics(docs, tokens_col, k=k, passes=passes, **fit), docs

@@ -213,7 +213,7 @@ def two_topics(spark):
 def test_topics(spark, two_topics, tmp_path):
     model, docs = fit_topic_model(two_topics, "doc_id", k=2, passes=20, subsample=0.5, language=None)
     topics.save(model, str(tmp_path / "lda"))
-    shares = topics.topic_shares(topics.load(str(tmp_path / "lda")), docs, "doc_id")
+    shares = topics.topic_shares(topics.load(spark, str(tmp_path / "lda")), docs, "doc_id")
     row = shares.first()
     assert abs(sum(row["shares"]) - 1) < 1e-6
     assert topics.top_words(model, 3).count() == 6
