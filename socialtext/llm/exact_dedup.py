@@ -21,7 +21,7 @@ def normalised(text: Column) -> Column:
 
 
 def refine(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", prefix: int = 64) -> DataFrame:
-    """One row per input row: ``doc_id, keep_id, group_size, kept`` and its keys ``original_chars, _prefix, _whole``.
+    """One row per input row: ``doc_id, keep_id, group_size, kept`` and its keys ``original_chars, _length, _prefix, _whole``.
 
     Lengths and beginnings are narrow numbers. Whole contents are read again only where both agree with another row: a
     bounded broadcast filter thins the scan before the exact join, so texts outside it are not shuffled. Classes are formed
@@ -47,20 +47,23 @@ def refine(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", prefix:
     several = (found.join(classes, ["_group", "_whole"]).withColumn("_number", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
                .select("doc_id", F.col("_keep.doc_id").alias("keep_id"), "group_size",
                        ((F.col("_number") == 1) & F.col("doc_id").eqNullSafe(F.col("_keep.doc_id"))
-                        & (F.col("original_chars") == -F.col("_keep.n"))).alias("kept"), "original_chars", F.col("_group._prefix").alias("_prefix"), "_whole"))
+                        & (F.col("original_chars") == -F.col("_keep.n"))).alias("kept"), "original_chars", F.col("_group._length").alias("_length"), F.col("_group._prefix").alias("_prefix"), "_whole"))
     alone = (keys.withColumn("_group", F.struct("_length", "_prefix")).join(shared, "_group", "left_anti")
              .select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
-                     F.lit(True).alias("kept"), "original_chars", "_prefix", F.lit(None).cast("string").alias("_whole")))
+                     F.lit(True).alias("kept"), "original_chars", "_length", "_prefix", F.lit(None).cast("string").alias("_whole")))
     return alone.union(several)
 
 
 def _same_row(prefix: int = 64) -> tuple[list[Column], Column]:
-    """Keys of a row of the documents, and the test that a verdict belongs to it."""
+    """Keys of a row of the documents, and the test that a verdict belongs to it.
+
+    A verdict without a whole hash is that of a row alone with its length and beginning, so these two tell it from other rows of its id.
+    """
     norm = normalised(F.col("text"))
     keys = [F.col("doc_id").alias("_id"), F.char_length(F.coalesce("text", F.lit(""))).alias("_chars"),
-            F.xxhash64(F.substring(norm, 1, prefix)).alias("_start"), F.sha2(norm, 256).alias("_digest")]
+            F.char_length(norm).alias("_solid"), F.xxhash64(F.substring(norm, 1, prefix)).alias("_start"), F.sha2(norm, 256).alias("_digest")]
     test = (F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("original_chars") == F.col("_chars"))
-            & (F.col("_prefix") == F.col("_start")) & (F.col("_whole").isNull() | (F.col("_whole") == F.col("_digest"))))
+            & (F.col("_length") == F.col("_solid")) & (F.col("_prefix") == F.col("_start")) & (F.col("_whole").isNull() | (F.col("_whole") == F.col("_digest"))))
     return keys, test
 
 

@@ -77,6 +77,18 @@ def test_exact_dedup(docs, texts, nothing):
     assert exact_dedup.with_digest(nothing).count() == 0
 
 
+@pytest.mark.parametrize("same", [1, None])
+def test_exact_dedup_tells_rows_of_one_id_apart(spark, same):
+    rows = [(same, "a" * 64 + "bc"), (same, "a" * 64 + "b "), (2, "z"), (same, "a" * 64 + "xy"), (same, "a" * 64 + "xy"), (3, "a" * 64 + "x y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["text_sha256"], r["group_size"], r["kept"]) for r in exact_dedup.with_digest(df).collect())
+    solid = [t.replace(" ", "") for _, t in rows]
+    want = [(hashlib.sha256(t.encode()).hexdigest(), solid.count(t), t in ("z", "a" * 64 + "bc", "a" * 64 + "b") or (i == 3, raw) == (True, "a" * 64 + "x y"))
+            for t, (i, raw) in zip(solid, rows)]
+    assert got == sorted(want)
+    assert sorted(r["text"] for r in exact_dedup.dedup(df).collect()) == sorted(t for t, w in zip((t for _, t in rows), want) if w[2])
+
+
 def test_similar(docs, texts, nothing):
     for width, percent in ((3, 90), (5, 80)):
         sets = {}
