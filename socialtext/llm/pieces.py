@@ -25,7 +25,7 @@ from socialtext.llm.tables import prepare
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of text whose marked words share one trie.
-GROUP_CHARS = 8 << 20
+GROUP_CHARS = 4 << 20
 _MARKED = re.compile("\n| *[^ \n]+| +")
 
 
@@ -125,11 +125,15 @@ class Encoder:
         flat, offsets = self.words([words[i] for i in order])
         place = np.empty(len(words), np.int64)
         place[order] = np.arange(len(words))
-        used = place[np.concatenate([*codes, np.zeros(0, np.int64)])]
-        lengths = np.diff(offsets)[used]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        ids = flat[np.repeat(offsets[:-1][used] - ends[:-1], lengths) + np.arange(ends[-1])]
-        return pa.ListArray.from_arrays(pa.array(ends[np.cumsum([0, *map(len, codes)])].astype(np.int32)), pa.array(ids))
+        size = np.diff(offsets)
+        ends, ids = [0], []
+        for code in codes:  # text by text, so that the numbers in between stay as small as a text
+            used = place[code]
+            lengths = size[used]
+            upto = np.cumsum(lengths)
+            ids.append(flat[np.repeat(offsets[:-1][used] - upto + lengths, lengths) + np.arange(upto[-1] if len(upto) else 0)])
+            ends.append(ends[-1] + len(ids[-1]))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*ids, np.zeros(0, np.int32)])))
 
 
 def _schema(df: DataFrame, extra: str) -> str:
