@@ -15,12 +15,12 @@ from socialtext.llm.tables import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: The language model, the mixture and the tokens are no SQL; tests/llm holds the stages against brute force.
+#: The language model, the mixture and the tokens are no SQL.
 ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages; those without a letter or a text go."""
+    """Documents in one of the learned languages: those without a letter, and those that no language model makes shorter, go."""
     return language_id.with_language(docs)
 
 

@@ -146,30 +146,36 @@ def learn(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Tree | None:
 
 
 def predict(docs: DataFrame, tree: Tree | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, ``lang_pred, score``. The score is the posterior of the winner with one text in sixteen bytes as evidence."""
+    """``keep`` columns, ``lang_pred, score, shorter``.
+
+    The score is the posterior of the winner with one text in sixteen bytes as evidence. ``shorter`` tells whether the winner codes
+    the text in fewer bits than its plain bytes have, with 64 bits in favour of short texts: where it does not, no language fits.
+    """
     has_letter = F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False)).alias("_letter")
     rows = docs.select(*keep, "text", has_letter)
     if tree is None:
-        return rows.select(*keep, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+        return rows.select(*keep, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(False).alias("shorter"))
     shared = docs.sparkSession.sparkContext.broadcast(tree)
-    names = [*keep, "lang_pred", "score"]
+    names = [*keep, "lang_pred", "score", "shorter"]
 
     def apply(batches):
         tree = shared.value
         names_of = np.array([*tree.languages, "und"], object)
         for batch in batches:
             best, score = np.full(batch.num_rows, len(names_of) - 1), np.zeros(batch.num_rows)
+            shorter = np.zeros(batch.num_rows, bool)
             for first, last, data, offsets in pieces(batch):
                 bits = tree.lengths(data, offsets)
                 gap = bits - bits.min(1, keepdims=True)
                 best[first:last] = bits.argmin(1)
+                shorter[first:last] = bits.min(1) <= 8 * np.diff(offsets) + 64
                 score[first:last] = 1 / np.exp2(-np.minimum(gap / np.maximum(1.0, np.diff(offsets) / 16)[:, None], 500)).sum(1)
             letter = np.array(batch.column("_letter").to_pylist(), bool)
             best[~letter], score[~letter] = len(names_of) - 1, 0.0
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(names_of[best], pa.string()), pa.array(score)], names=names)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(names_of[best], pa.string()), pa.array(score), pa.array(shorter)], names=names)
 
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
-    return rows.mapInArrow(apply, ", ".join([*fields, "lang_pred string", "score double"]))
+    return rows.mapInArrow(apply, ", ".join([*fields, "lang_pred string", "score double", "shorter boolean"]))
 
 
 def identify(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
@@ -180,9 +186,12 @@ def identify(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
 
 
 def with_language(docs: DataFrame, languages: tuple[str, ...] | None = None) -> DataFrame:
-    """The rows of ``docs`` whose text is in a learned language (one of ``languages`` if given), with all their columns."""
+    """The rows of ``docs`` whose text is in a learned language (one of ``languages`` if given), with all their columns.
+
+    Texts without a letter go, and texts that no learned language codes in fewer bits than their bytes have.
+    """
     prepare(docs.sparkSession)
     packed = docs.select(F.struct("*").alias("row"), "doc_id", "text")
     found = predict(packed, learn(docs), ("row",))
     wanted = F.col("lang_pred") != "und" if languages is None else F.col("lang_pred").isin(*languages)
-    return found.where(wanted).select("row.*")
+    return found.where(wanted & F.col("shorter")).select("row.*")
