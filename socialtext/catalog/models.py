@@ -8,7 +8,7 @@ from socialtext.catalog.registry import query, table
 from socialtext.catalog.texts import WORDS_SQL, words
 from socialtext.functions.arrays import counted
 from socialtext.operators import (
-    classify, coherence, counts, evaluate, features, hierarchy, joins, reshape, svd, topics, vocab)
+    classify, coherence, counts, embeddings, evaluate, features, hierarchy, joins, linear, reshape, svd, topics, vocab)
 from socialtext.session import spread, stored
 
 DIMS = 64
@@ -324,7 +324,25 @@ def _predictions(spark, sf, pipeline):
     return classify.TextClassifier(pipeline).fit(docs).predict(docs).select("doc_id", "predicted")
 
 
-@query("nb_classifier")
+def _held_out(spark, sf):
+    """Words of all documents, with those of every fifth document number held out from learning."""
+    docs = stored(words(spark, sf, "lang").withColumnRenamed("lang", "label"), "labelled-words")
+    return docs.where("doc_id % 5 <> 0"), docs.where("doc_id % 5 = 0")
+
+
+@query("nb_classifier", f"""
+    WITH d AS (SELECT doc_id, lang, {WORDS_SQL} AS ws FROM documents),
+    t AS (SELECT doc_id, lang, w, count(*) AS tf FROM (SELECT doc_id, lang, unnest(ws) AS w FROM d) GROUP BY ALL),
+    v AS (SELECT w, ln((1 + (SELECT count(*) FROM d)) / (1.0::DOUBLE + count(*))) + 1 AS idf FROM t GROUP BY w HAVING count(*) >= 2),
+    x AS (SELECT doc_id, lang, w, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id)) AS x FROM t JOIN v USING (w)),
+    s AS (SELECT lang AS label, w, sum(x) AS s FROM x GROUP BY lang, w),
+    c AS (SELECT lang AS label, ln(count(*) + 1) AS prior FROM d GROUP BY lang),
+    m AS (SELECT label, ln(sum(s) + (SELECT count(*) FROM v)) AS mass FROM s GROUP BY label),
+    p AS (SELECT doc_id, label, sum(x * (ln(coalesce(s, 0) + 1) - mass)) AS p
+          FROM x CROSS JOIN c JOIN m USING (label) LEFT JOIN s USING (label, w) GROUP BY doc_id, label)
+    SELECT doc_id, label AS predicted FROM (SELECT d.doc_id, c.label,
+      row_number() OVER (PARTITION BY d.doc_id ORDER BY prior + coalesce(p, 0) DESC, c.label) AS r
+      FROM d CROSS JOIN c LEFT JOIN p ON p.doc_id = d.doc_id AND p.label = c.label) WHERE r = 1""")
 def nb_classifier(spark, sf):
     return _predictions(spark, sf, classify.bow_pipeline(classify.make_classifier("multinomial"), min_df=2))
 
@@ -339,11 +357,42 @@ def hashed_classifier(spark, sf):
     return _predictions(spark, sf, classify.hashed_pipeline(ngrams=2, buckets=1 << 14, max_iter=10))
 
 
+@query("stochastic_linear")
+def stochastic_linear(spark, sf):
+    """Hinge loss with a mixed penalty, learned on four fifths of the documents and applied to the rest."""
+    train, test = _held_out(spark, sf)
+    terms = F.array_distinct("tokens")
+    model = linear.fit_linear(train, F.col("label"), terms, penalty="elasticnet", alpha=1e-3, epochs=5)
+    return linear.predict(model, test, "doc_id", terms).select("doc_id", "predicted")
+
+
+@query("embedding_classifier")
+def embedding_classifier(spark, sf):
+    """Averaged embeddings of words and pairs with a label tree, on held-out documents."""
+    train, test = _held_out(spark, sf)
+    model = embeddings.fit_embeddings(train, dim=16, lr=0.3, epoch=3, loss="hs", wordNgrams=2, minCount=5)
+    return embeddings.predict(model, test, "doc_id").select("doc_id", "predicted")
+
+
+@query("label_code_lengths", """
+    WITH RECURSIVE n AS (SELECT source AS label, count(*) AS n FROM documents WHERE source IS NOT NULL GROUP BY source),
+    tree AS (SELECT 0 AS step, list_sort(list({'n': n, 'labels': [label]})) AS nodes, CAST([] AS VARCHAR[]) AS merged FROM n
+      UNION ALL
+      SELECT step + 1, list_sort(list_append(nodes[3:], {'n': nodes[1].n + nodes[2].n, 'labels': list_sort(list_concat(nodes[1].labels, nodes[2].labels))})),
+             list_concat(nodes[1].labels, nodes[2].labels) FROM tree WHERE len(nodes) > 1)
+    SELECT label, n, (SELECT count(*) FROM tree WHERE list_contains(merged, label)) AS bits FROM n""")
+def label_code_lengths(spark, sf):
+    """Code length of each source in the label tree of the classifier, from the counts of the sources."""
+    counts_of = {r["source"]: r["count"] for r in table(spark, sf, "documents").where("source is not null").groupBy("source").count().collect()}
+    paths = embeddings.huffman(counts_of)
+    return spark.createDataFrame([(c, n, len(paths[c])) for c, n in counts_of.items()], "label string, n long, bits long")
+
+
 @query("similarity_classifier")
 def similarity_classifier(spark, sf):
-    docs = _labelled(spark, sf)
-    model = classify.SimilarityClassifier(dims=16, min_count=5).fit(docs, "doc_id")
-    return model.predict(docs, "doc_id").select("doc_id", "predicted")
+    train, test = _held_out(spark, sf)
+    model = classify.SimilarityClassifier(dims=16, min_count=5, epochs=3).fit(train, "doc_id")
+    return model.predict(test, "doc_id").select("doc_id", "predicted")
 
 
 @query("dense_classifier")

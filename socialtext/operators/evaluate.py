@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from functools import partial
 from itertools import product
 
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from socialtext.operators.classify import default_model
 from socialtext.operators.sampling import hash_place
 
 # Default grids by model.
@@ -162,16 +164,17 @@ def grid_steps(grid: dict) -> list[list[dict]]:
     return steps
 
 
-def tune(df: DataFrame, make_estimator: Callable[..., object], grid: dict | str, *, fold_col: str = "fold",
+def tune(df: DataFrame, make_estimator: Callable[..., object] | None, grid: dict | str, *, fold_col: str = "fold",
          scoring="accuracy", k: int = 3) -> tuple[dict, float, DataFrame]:
     """Best parameters, best value and a table of all trials.
 
-    The best values of a step stay fixed in the next ones. The data is kept between the trials.
+    The best values of a step stay fixed in the next ones. The data is kept between the trials. A grid given by name is the default
+    one of that model; without ``make_estimator`` its own model is tuned.
     """
     if isinstance(grid, str):
         if grid not in DEFAULT_GRIDS:
             raise ValueError(f"no default grid for {grid!r}")
-        grid = DEFAULT_GRIDS[grid]
+        make_estimator, grid = make_estimator or partial(default_model, grid), DEFAULT_GRIDS[grid]
     steps = grid_steps(grid)
     kept = df.persist()
     trials, fixed, best_value = [], {}, None
