@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import functions as F, types as T
 
 from socialtext.catalog.registry import query, table
+from socialtext.catalog.texts import GRAM_SQL
 from socialtext.functions import dates
 from socialtext.operators import counts, filters, joins, merge, reshape, sampling
 from socialtext.session import ensure_checkpoint_dir
@@ -553,3 +554,54 @@ def window_counts_stream(spark, sf):
     from socialtext.streaming.intake import window_counts
     rows = _stream_result(spark, window_counts(_event_stream(spark, sf), "time"), "complete")
     return rows.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "n")
+
+
+def _post_files(spark, sf, folder: str) -> None:
+    """Documents as nested posts in files of JSON arrays of JSON texts; ``lang`` and ``source`` are fields that no schema declares."""
+    docs = table(spark, sf, "documents")
+    entities = F.struct("lang", F.struct(F.col("source").alias("name")).alias("app"))
+    post = F.to_json(F.struct(F.col("doc_id").alias("id"), F.lit("Thu Apr 02 10:00:00 +0000 2020").alias("created_at"), "text",
+                              F.struct((F.col("doc_id") % 97 + 1).alias("id")).alias("user"), entities.alias("entities")))
+    name = F.format_string("streamed_02_04_2020_%02d_00_00", (F.col("doc_id") % 4).cast("int"))
+    lines = docs.select(name.alias("part"), (F.col("doc_id") % 16).alias("line"), post.alias("p")).groupBy("part", "line").agg(F.to_json(F.collect_list("p")).alias("value"))
+    lines.select("part", "value").write.partitionBy("part").text(folder)
+
+
+def _ingested(spark, sf, stream: bool):
+    from socialtext.operators.language import fit_profiles
+    from socialtext.plans.ingest import ingest_batch, stored
+    from socialtext.session import stored as kept
+    from socialtext.streaming.intake import post_stream, start_intake
+    base = f"{ensure_checkpoint_dir(spark)}/intake-{uuid.uuid4().hex}"
+    _post_files(spark, sf, f"{base}/raw")
+    profiles = kept(fit_profiles(table(spark, sf, "documents"), "text", "lang"), "profiles")
+    tables = ("tweet", "entity")
+    for turn in range(2):
+        if stream:
+            posts = post_stream(spark, f"{base}/raw/*", max_files=2, whole=True)
+            start_intake(posts, f"{base}/store", f"{base}/ledger{turn}", tables=tables, profiles=profiles).awaitTermination()
+        else:
+            ingest_batch(readers.read_nested_json(spark, f"{base}/raw", whole=True), f"{base}/store", tables, profiles)
+    tweets, payload = (stored(spark, f"{base}/store/{name}") for name in tables)
+    english = filters.export_filter(tweets, dt.datetime(2020, 1, 1), dt.datetime(2021, 1, 1), "en")
+    return (english.join(payload.select(F.col("tweet_id").alias("id"), "entities"), "id")
+            .select("id", "user_id", F.char_length("full_text").cast("long").alias("chars"), F.get_json_object("entities", "$.lang").alias("lang"),
+                    F.get_json_object("entities", "$.app.name").alias("source")))
+
+
+_INGESTED_SQL = GRAM_SQL + """,
+    b AS (SELECT doc_id, language FROM sc QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, language DESC) = 1)
+    SELECT d.doc_id AS id, d.doc_id % 97 + 1 AS user_id, length(text) AS chars, lang, source FROM documents d JOIN b USING (doc_id)
+    WHERE language = 'en'"""
+
+
+@query("intake_batch", _INGESTED_SQL)
+def intake_batch(spark, sf):
+    """The same files ingested twice, with the language of each post; English ones, with undeclared fields of their records."""
+    return _ingested(spark, sf, stream=False)
+
+
+@query("intake_stream", _INGESTED_SQL)
+def intake_stream(spark, sf):
+    """The same as a stream of files, read twice with two ledgers, as after a lost one."""
+    return _ingested(spark, sf, stream=True)

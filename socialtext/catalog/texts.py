@@ -42,8 +42,12 @@ def _cut_sql(value: str, keep: int) -> str:
     return value
 
 
+# Three equal letters in the token as it was written.
+_RUN = "|".join(f"{x}{{3}}" for x in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+
+
 @query("top_terms_by_lang", f"""
-    WITH t AS (SELECT DISTINCT doc_id, lang, {_cut_sql('lower(tok)', 3)} AS term
+    WITH t AS (SELECT DISTINCT doc_id, lang, CASE WHEN regexp_matches(tok, '{_RUN}') THEN {_cut_sql('lower(tok)', 3)} ELSE lower(tok) END AS term
                FROM (SELECT doc_id, lang, unnest(raw) AS tok FROM ({_SPLIT_SQL}))
                WHERE NOT regexp_matches(tok, '^\\p{{P}}+$') AND lower(tok) NOT IN ({STOPS_SQL})),
     n AS (SELECT lang, term, count(*) AS df FROM t GROUP BY lang, term)
@@ -345,7 +349,7 @@ def phrase_merge(spark, sf):
     return merged.select("doc_id", F.size("tokens").alias("n"), F.array_join("tokens", " ").alias("joined"))
 
 
-_GRAM_SQL = r"""
+GRAM_SQL = r"""
     WITH c AS (SELECT doc_id, lang, ' ' || trim(regexp_replace(lower(text), '[^\p{L}]+', ' ', 'g')) || ' ' AS x FROM documents),
     g AS (SELECT doc_id, lang, substr(x, i, 3) AS gram FROM (
             SELECT doc_id, lang, x, unnest(range(1, length(x) - 1)) AS i FROM c WHERE length(x) >= 3)),
@@ -358,14 +362,14 @@ _GRAM_SQL = r"""
            FROM k CROSS JOIN pen LEFT JOIN s ON s.doc_id = k.doc_id AND s.language = pen.language)"""
 
 
-@query("language_scores", _GRAM_SQL + " SELECT doc_id, language, round(score, 4) AS score FROM sc")
+@query("language_scores", GRAM_SQL + " SELECT doc_id, language, round(score, 4) AS score FROM sc")
 def language_scores(spark, sf):
     docs = documents(spark, sf, "doc_id", "lang", "text")
     scores = language.language_scores(docs, "doc_id", "text", language.fit_profiles(docs, "text", "lang"))
     return scores.withColumn("score", F.round("score", 4))
 
 
-@query("language_guess", _GRAM_SQL + """
+@query("language_guess", GRAM_SQL + """
     SELECT d.doc_id, coalesce(b.language, '00') AS language FROM documents d LEFT JOIN (
       SELECT doc_id, language FROM (SELECT *, row_number() OVER (
         PARTITION BY doc_id ORDER BY round(score, 9) DESC, language DESC) AS rn FROM sc) WHERE rn = 1) b ON b.doc_id = d.doc_id""")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from socialtext.functions.arrays import counted, exploded
-from socialtext.session import BROADCAST_ROWS
+from socialtext.session import BROADCAST_ROWS, sized_broadcast
 
 UNDECIDED = "00"
 
@@ -32,48 +32,53 @@ def fit_profiles(sample: DataFrame, text_col: str, language_col: str) -> DataFra
         F.collect_list(F.struct("language", F.ln(F.col("c") + 1).alias("weight"), "c")).alias("entries"))
 
 
-def _penalties(profiles: DataFrame) -> DataFrame:
-    """``language, penalty`` with ``ln(T + V)``, one row per language."""
+def _languages(profiles: DataFrame) -> list[tuple[str, float]]:
+    """Every language with ``ln(T + V)``: one row per language, in order."""
     total = profiles.select(F.explode("entries").alias("e")).groupBy("e.language").agg(F.sum("e.c").alias("t"))
     distinct = profiles.agg(F.count(F.lit(1)).alias("v")).scalar()
-    return total.select("language", F.ln(F.col("t") + distinct).alias("penalty"))
+    return sorted((r[0], r[1]) for r in total.select("language", F.ln(F.col("t") + distinct)).collect())
 
 
-def language_scores(df: DataFrame, id_col: str, text_col: str, profiles: DataFrame,
-                    max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``id, language, score`` for every text with a known trigram.
+def _is(language: str):
+    return lambda entry: entry["language"] == language
+
 
-    The trigrams of a text are counted inside its row. A profile table that is counted to be small is
-    broadcast, so only texts × languages sums are shuffled. A larger one is joined by shuffle, where AQE
-    splits frequent trigrams.
+def _row_scores(df: DataFrame, id_col: str, text_col: str, profiles: DataFrame, languages: list[tuple[str, float]],
+                max_broadcast_rows: int) -> DataFrame:
+    """``id, scores`` (one per language, in order) for every text with a known trigram.
+
+    The trigrams of a text are counted inside its row. The profile has one number per language and trigram, so one sum per language
+    and text is all that is shuffled, once.
     """
     grams = exploded(df, counted(trigrams(F.col(text_col))), "_g", id_col).select(
         id_col, F.col("_g.term").alias("gram"), "_g.tf")
-    table = profiles.select("gram", "entries").persist()
-    if table.count() <= max_broadcast_rows:
-        hits = grams.join(F.broadcast(table), "gram")
-    else:
-        hits = grams.join(table, "gram")
-    known = F.struct(F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("weight"), F.lit(0).cast("long").alias("c"))
-    parts = hits.select(id_col, "tf", F.explode(F.concat("entries", F.array(known))).alias("e"))
-    sums = parts.groupBy(id_col, "e.language").agg(
-        F.sum(F.col("tf") * F.col("e.weight")).alias("s"), F.sum("tf").alias("tf"))
-    # The row with a null language holds the known trigrams of the text.
-    per_text = sums.groupBy(id_col).agg(
-        F.max(F.when(F.col("language").isNull(), F.col("tf"))).alias("known"),
-        F.collect_list(F.when(F.col("language").isNotNull(), F.struct("language", "s"))).alias("found"))
-    languages = _penalties(table).agg(F.sort_array(F.collect_list(F.struct("language", "penalty")))).scalar()
-    # Every language is scored, also one that shares no trigram with the text.
-    scored = per_text.select(id_col, "known", "found", F.explode(languages).alias("l"))
-    gained = F.aggregate(F.filter("found", lambda x: x["language"] == F.col("l.language")), F.lit(0.0),
-                         lambda acc, x: acc + x["s"])
-    return scored.select(id_col, F.col("l.language").alias("language"),
-                         (gained - F.col("known") * F.col("l.penalty")).alias("score"))
+    weights = [F.coalesce(F.get(F.filter("entries", _is(language)), F.lit(0))["weight"], F.lit(0.0)) for language, _ in languages]
+    table = profiles.select("gram", *[w.alias(f"_w{i}") for i, w in enumerate(weights)])
+    hits = grams.join(sized_broadcast(table, max_broadcast_rows), "gram")
+    sums = hits.groupBy(id_col).agg(F.sum("tf").alias("_known"), *[F.sum(F.col("tf") * F.col(f"_w{i}")).alias(f"_s{i}") for i in range(len(languages))])
+    return sums.select(id_col, F.array(*[F.col(f"_s{i}") - F.col("_known") * penalty for i, (_, penalty) in enumerate(languages)]).cast("array<double>").alias("scores"))
+
+
+def _names(languages: list[tuple[str, float]]) -> Column:
+    return F.array(*[F.lit(language) for language, _ in languages]).cast("array<string>")
+
+
+def language_scores(df: DataFrame, id_col: str, text_col: str, profiles: DataFrame,
+                    max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``id, language, score`` for every text with a known trigram: every language is scored, also one that shares no trigram.
+
+    A profile table that is counted to be small is broadcast; a larger one is joined by shuffle, where AQE splits frequent trigrams.
+    """
+    languages = _languages(profiles)
+    scored = _row_scores(df, id_col, text_col, profiles, languages, max_broadcast_rows)
+    return scored.select(id_col, F.inline(F.arrays_zip(_names(languages).alias("language"), F.col("scores").alias("score"))))
 
 
 def guess_language(df: DataFrame, id_col: str, text_col: str, profiles: DataFrame,
                    out_col: str = "language") -> DataFrame:
-    """Add the language with the highest score; ``"00"`` when no trigram is known."""
-    best = language_scores(df, id_col, text_col, profiles).groupBy(id_col).agg(
-        F.max(F.struct(F.round("score", 9).alias("score"), "language"))["language"].alias(out_col))
-    return df.join(best, id_col, "left").withColumn(out_col, F.coalesce(out_col, F.lit(UNDECIDED)))
+    """Add the language with the highest score (of equal ones the last by name); ``"00"`` when no trigram is known."""
+    languages = _languages(profiles)
+    scored = _row_scores(df, id_col, text_col, profiles, languages, BROADCAST_ROWS)
+    best = F.array_max(F.transform("scores", lambda s, i: F.struct(F.round(s, 9).alias("score"), F.get(_names(languages), i).alias("language"))))
+    found = scored.select(id_col, best["language"].alias(out_col))
+    return df.join(found, id_col, "left").withColumn(out_col, F.coalesce(out_col, F.lit(UNDECIDED)))

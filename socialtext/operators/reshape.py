@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from socialtext.functions.dates import parse_created_at
 from socialtext.schemas import post_schema
+from socialtext.sources.readers import RECORD
 
 
 def _embedded_levels(df: DataFrame, path: str = "", depth: int | None = None) -> list[str]:
@@ -26,11 +27,12 @@ def explode_embedded(df: DataFrame) -> DataFrame:
     """One row per reposted, quoted and own post, in this order; rows without an id are dropped.
 
     The depth is that of the schema. ``level_order`` keeps the order inside a record; other
-    columns (file, position) are carried along.
+    columns (file, position) are carried along. A whole record (VARIANT) becomes that of each post in it.
     """
     fields = [f for f in post_schema(0).names if f in df.columns]
     nested = ("retweeted_status", "quoted_status")
-    extra = [c for c in df.columns if c not in post_schema(0).names and c not in nested]
+    whole = RECORD in df.columns
+    extra = [c for c in df.columns if c not in post_schema(0).names and c not in (*nested, RECORD)]
 
     def row(path: str) -> Column:
         prefix = f"{path}." if path else ""
@@ -50,7 +52,8 @@ def explode_embedded(df: DataFrame) -> DataFrame:
             ) if inner is not None else F.struct(
                 F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("text"),
                 F.lit(None).cast("string").alias("full_text"))).alias(alias))
-        return F.struct(*values, *links)
+        record = [F.try_variant_get(RECORD, f"$.{path}" if path else "$", "variant").alias(RECORD)] if whole else []
+        return F.struct(*values, *links, *record)
 
     posts = F.array(*[row(path) for path in _embedded_levels(df)])
     own = F.col("id").isNotNull()  # a record without id is dropped with everything inside
@@ -109,18 +112,25 @@ def user_rows(posts: DataFrame) -> DataFrame:
         F.nullif(F.col(u + "location"), F.lit("")).alias("located"), *_carried(posts))
 
 
+def _payload(posts: DataFrame, field: str) -> Column:
+    """JSON text of a field: as it came where the whole record is there, else of the declared parts."""
+    if RECORD in posts.columns:
+        return F.nullif(F.to_json(F.try_variant_get(RECORD, f"$.{field}", "variant")), F.lit("null"))
+    return F.to_json(field)
+
+
 def entity_rows(posts: DataFrame) -> DataFrame:
-    return posts.select(F.col("id").alias("tweet_id"), F.to_json("entities").alias("entities"), *_carried(posts))
+    return posts.select(F.col("id").alias("tweet_id"), _payload(posts, "entities").alias("entities"), *_carried(posts))
 
 
 def geo_rows(posts: DataFrame) -> DataFrame:
     return posts.filter(F.col("coordinates").isNotNull()).select(
-        F.col("id").alias("tweet_id"), F.to_json("coordinates").alias("coordinates"), *_carried(posts))
+        F.col("id").alias("tweet_id"), _payload(posts, "coordinates").alias("coordinates"), *_carried(posts))
 
 
 def place_rows(posts: DataFrame) -> DataFrame:
     return posts.filter(F.col("place").isNotNull()).select(
-        F.col("id").alias("tweet_id"), F.to_json("place").alias("places"), *_carried(posts))
+        F.col("id").alias("tweet_id"), _payload(posts, "place").alias("places"), *_carried(posts))
 
 
 def comment_rows(df: DataFrame) -> DataFrame:

@@ -52,7 +52,8 @@ def folders(spark: SparkSession, root: str) -> DataFrame:
 
 
 def run_days(spark: SparkSession, in_root: str, out_root: str, schema: T.StructType | None = None, **filters) -> DataFrame:
-    """Filter every day that has no output yet. A day that fails is logged and the next one goes on.
+    """Filter every day that has no output yet. A day that fails is logged and the next one goes on. Posts are written whole, with
+    the fields that no schema declares.
 
     Returns ``day, status, n, total, message``. Rows are counted in the small output, so no day is computed twice.
     """
@@ -60,7 +61,7 @@ def run_days(spark: SparkSession, in_root: str, out_root: str, schema: T.StructT
     log = []
     for day in todo:
         try:
-            write_day(geo_posts(read_day(spark, f"{in_root}/{day}", schema), **filters), f"{out_root}/{day}")
+            write_day(geo_posts(read_day(spark, f"{in_root}/{day}", schema, whole=True), **filters), f"{out_root}/{day}")
             log.append((day, "done", spark.read.text(f"{out_root}/{day}").count(), None))
         except Exception as error:
             log.append((day, "failed", 0, str(error)))

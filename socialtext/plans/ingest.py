@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from socialtext.operators import merge, reshape
+from socialtext.operators.language import guess_language
 from socialtext.session import BROADCAST_ROWS
 
 # Key and payload rows of each table.
@@ -46,10 +47,12 @@ def new_table_rows(rows: DataFrame, key: str, target: DataFrame | None) -> DataF
     return merge.new_rows(first, known, [key])
 
 
-def ingest_batch(posts: DataFrame, store: str, tables: tuple[str, ...] = ("users", "tweet", "geo")) -> None:
+def ingest_batch(posts: DataFrame, store: str, tables: tuple[str, ...] = ("users", "tweet", "geo"),
+                 profiles: DataFrame | str | None = None) -> None:
     """Append the new users, posts and payload rows of a batch of nested posts.
 
-    Running the same batch again appends nothing: a key that is stored is never stored twice.
+    Running the same batch again appends nothing: a key that is stored is never stored twice. With ``profiles`` (a table of
+    ``language.fit_profiles``, or the path of one, read anew for every batch) new posts get the language of their text.
     """
     spark = posts.sparkSession
     exploded = reshape.explode_embedded(posts).persist()
@@ -57,6 +60,11 @@ def ingest_batch(posts: DataFrame, store: str, tables: tuple[str, ...] = ("users
         for name in tables:
             key, rows_of = TABLES[name]
             path = f"{store}/{name}"
-            new_table_rows(rows_of(exploded), key, stored(spark, path)).write.mode("append").parquet(path)
+            rows = new_table_rows(rows_of(exploded), key, stored(spark, path))
+            if name == "tweet" and profiles is not None:
+                known = spark.read.parquet(profiles) if isinstance(profiles, str) else profiles
+                columns = rows.columns
+                rows = guess_language(rows.drop("language"), key, "full_text", known).select(*columns)
+            rows.write.mode("append").parquet(path)
     finally:
         exploded.unpersist()

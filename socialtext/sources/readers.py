@@ -10,11 +10,25 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from socialtext.schemas import EXPORT_CSV, post_schema
 
 
+#: Name of the VARIANT column that holds a record whole, with the fields that the schema does not declare.
+RECORD = "record"
+
+
+def _whole_lines(spark: SparkSession, paths: str | list[str], schema: T.StructType | None) -> DataFrame:
+    """Declared fields and the whole record of JSON lines; a line that holds an array gives a row per entry."""
+    lines = spark.read.text(paths).where(F.trim("value") != "")
+    many = F.ltrim("value").startswith("[")
+    listed = F.when(many, F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>")).otherwise(F.array(F.try_parse_json("value")))
+    records = lines.select(F.explode(listed).alias(RECORD)).where(F.col(RECORD).isNotNull())
+    return records.select(RECORD, F.from_json(F.to_json(RECORD), schema or post_schema()).alias("_post")).select("_post.*", RECORD)
+
+
 def read_posts(spark: SparkSession, paths: str | list[str] | None = None, *, categories=None, catalog=None,
-               schema: T.StructType | None = None, with_position: bool = False) -> DataFrame:
+               schema: T.StructType | None = None, with_position: bool = False, whole: bool = False) -> DataFrame:
     """Posts from JSON lines or from files that hold one JSON array; gzip is read as it is.
 
-    ``paths`` or ``categories`` (resolved through ``catalog(category, path)``), not both.
+    ``paths`` or ``categories`` (resolved through ``catalog(category, path)``), not both. ``whole`` adds the column ``record`` (VARIANT)
+    with everything that the post holds; a line that is no JSON is dropped then.
     """
     if paths is not None and categories is not None:
         raise ValueError("give paths or categories, not both")
@@ -23,34 +37,37 @@ def read_posts(spark: SparkSession, paths: str | list[str] | None = None, *, cat
             raise ValueError("categories need a catalog")
         from socialtext.sources.categories import files_of
         paths = [r["path"] for r in files_of(catalog, categories).select("path").distinct().collect()]
-    df = spark.read.schema(schema or post_schema()).json(paths)
+    df = _whole_lines(spark, paths, schema) if whole else spark.read.schema(schema or post_schema()).json(paths)
     if with_position:
         df = df.withColumn("source_file", F.input_file_name())
     return df
 
 
-def decode_nested_json(lines: DataFrame, schema: T.StructType | None = None, value: str = "value") -> DataFrame:
+def decode_nested_json(lines: DataFrame, schema: T.StructType | None = None, value: str = "value", whole: bool = False) -> DataFrame:
     """Lines that hold an array of JSON texts: unpack the array, then parse each text.
 
-    Keeps the file and the place of the record in it, which decide who came first.
+    Keeps the file and the place of the record in it, which decide who came first. ``whole`` adds the column ``record`` (VARIANT).
     """
     kept = [c for c in lines.columns if c != value]
     items = lines.select(
         *kept, F.posexplode(F.from_json(F.col(value), "array<string>")).alias("position", "_item"))
+    record = [F.try_parse_json("_item").alias(RECORD)] if whole else []
     return (items.withColumn("_post", F.from_json("_item", schema or post_schema()))
-            .select(*kept, "position", "_post.*"))
+            .select(*kept, "position", "_post.*", *record))
 
 
 def read_nested_json(spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None,
-                     partitions: int | None = None) -> DataFrame:
+                     partitions: int | None = None, whole: bool = False) -> DataFrame:
     """Double-encoded gzip dumps. Gzip does not split: give ``partitions`` to spread a few large files."""
     lines = spark.read.text(paths).withColumn("source_file", F.input_file_name())
     if partitions:
         lines = lines.repartition(partitions)
-    return decode_nested_json(lines, schema)
+    return decode_nested_json(lines, schema, whole=whole)
 
 
-def read_day(spark: SparkSession, folder: str, schema: T.StructType | None = None) -> DataFrame:
+def read_day(spark: SparkSession, folder: str, schema: T.StructType | None = None, whole: bool = False) -> DataFrame:
+    if whole:
+        return _whole_lines(spark, folder, schema)
     return spark.read.schema(schema or post_schema()).json(folder)
 
 

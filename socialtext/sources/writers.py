@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from socialtext.functions.dates import day_folder, month_name, with_date_parts
 from socialtext.operators.filters import export_filter
+from socialtext.sources.readers import RECORD
 
 
 def write_by_date(df: DataFrame, path: str, ts_col: str = "created", mode: str = "append") -> None:
@@ -26,6 +27,10 @@ def write_daily_json(df: DataFrame, path: str, ts_col: str, mode: str = "append"
 
 
 def write_day(df: DataFrame, folder: str) -> None:
+    """Gzip JSON lines. Rows with a whole record are written as that record, with all fields that were read."""
+    if RECORD in df.columns:
+        df.select(F.to_json(RECORD).alias("value")).write.mode("overwrite").option("compression", "gzip").text(folder)
+        return
     df.write.mode("overwrite").option("compression", "gzip").json(folder)
 
 

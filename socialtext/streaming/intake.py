@@ -12,27 +12,31 @@ from socialtext.sources.readers import decode_nested_json
 
 
 def post_stream(spark: SparkSession, folder: str, *, max_files: int = 10, nested: bool = True,
-                schema: T.StructType | None = None) -> DataFrame:
-    """Posts of the files in a folder, ``max_files`` per batch; ``nested`` files hold arrays of JSON texts."""
+                schema: T.StructType | None = None, whole: bool = False) -> DataFrame:
+    """Posts of the files in a folder, ``max_files`` per batch; ``nested`` files hold arrays of JSON texts.
+
+    ``whole`` (nested files only) adds the whole record, so that payload tables keep undeclared fields.
+    """
     reader = spark.readStream.option("maxFilesPerTrigger", max_files)
     schema = schema or post_schema()
     if nested:
         lines = reader.text(folder).withColumn("source_file", F.col("_metadata.file_name"))
-        posts = decode_nested_json(lines, schema)
+        posts = decode_nested_json(lines, schema, whole=whole)
     else:
         posts = reader.schema(schema).json(folder).withColumn("source_file", F.col("_metadata.file_name"))
     return with_file_time(posts, "source_file", STREAM_NAME)
 
 
 def start_intake(posts: DataFrame, store: str, checkpoint: str, *, available_now: bool = True,
-                 interval: str = "1 minute", tables: tuple[str, ...] = ("users", "tweet", "geo")) -> StreamingQuery:
-    """Append every batch to the tables.
+                 interval: str = "1 minute", tables: tuple[str, ...] = ("users", "tweet", "geo"),
+                 profiles: DataFrame | str | None = None) -> StreamingQuery:
+    """Append every batch to the tables, with the language of each post where ``profiles`` are given.
 
     The checkpoint is the ledger of files. A batch that is replayed after a crash meets its own keys in
     the tables and appends nothing twice.
     """
     writer = (posts.writeStream.option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda batch, _: ingest_batch(batch, store, tables)))
+              .foreachBatch(lambda batch, _: ingest_batch(batch, store, tables, profiles)))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
 

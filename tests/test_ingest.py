@@ -1,9 +1,12 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from socialtext.operators import reshape
+from socialtext.operators.filters import export_filter
+from socialtext.operators.language import fit_profiles
 from socialtext.plans.geo_filter import geo_posts, run_days
 from socialtext.plans.ingest import ingest_batch, stored
 from socialtext.plans.tokenize_daily import map_partitions, tokenize_days
@@ -84,6 +87,54 @@ def test_ingest_is_idempotent(spark, dump, tmp_path):
     assert stored(spark, f"{store}/geo").count() == 1 and stored(spark, f"{store}/place").count() == 1
 
 
+EXTRA = {"lang": "en", "source": "<a href='x'>app</a>", "possibly_sensitive": False, "deep": {"list": [1, {"x": None}, "ü"]}}
+
+
+def test_whole_records_pass_through(spark, tmp_path):
+    """Fields that no schema declares come through reader, geo job, writer and payload tables, in batch and as a stream."""
+    entities = {"hashtags": [{"text": "x", "indices": [0, 2]}], "symbols": [{"text": "q"}]}
+    posts = [post(100 + i, 50 + i, geo=POINT, **EXTRA) for i in range(30)]
+    posts += [post(200, 90, geo=POINT, retweeted_status=post(1, 5, entities=entities, **EXTRA), place={**PLACE, "bounding_box": {"type": "Polygon"}}, entities=None)]
+    write_lines(str(tmp_path / "in" / "2020_04_02" / "a.json"), posts[:20])
+    write_array(str(tmp_path / "in" / "2020_04_02" / "b.json.gz"), posts[20:])
+    run_days(spark, str(tmp_path / "in"), str(tmp_path / "out"), filter_users=False)
+    got = {}
+    for r in spark.read.text(str(tmp_path / "out" / "2020_04_02")).collect():
+        one = json.loads(r["value"])
+        got[one["id"]] = one
+    assert got == {p["id"]: p for p in posts}
+    whole = readers.read_posts(spark, str(tmp_path / "in" / "2020_04_02"), whole=True)
+    assert whole.count() == 31 and whole.where("id = 200").first()["place"]["full_name"] == "Here"
+
+    raw = str(tmp_path / "raw")
+    write_nested(f"{raw}/streamed_02_04_2020_10_00_00.json.gz", posts[:3], posts[3:])
+    tables = ("users", "tweet", "entity", "geo", "place")
+    ingest_batch(readers.read_nested_json(spark, raw, whole=True), str(tmp_path / "batch"), tables)
+    start_intake(post_stream(spark, raw, whole=True), str(tmp_path / "stream"), str(tmp_path / "ledger"), tables=tables).awaitTermination()
+    for store in ("batch", "stream"):
+        for _ in range(2):
+            payload = {r["tweet_id"]: r["entities"] for r in stored(spark, str(tmp_path / store / "entity")).collect()}
+            assert json.loads(payload[1]) == entities and payload[200] is None and len(payload) == 32
+            assert json.loads(stored(spark, str(tmp_path / store / "place")).first()["places"])["bounding_box"] == {"type": "Polygon"}
+            ingest_batch(readers.read_nested_json(spark, raw, whole=True), str(tmp_path / store), tables)
+
+
+def test_language_at_intake(spark, tmp_path):
+    words = {"en": "the house and the garden of the old man", "de": "der Garten und das Haus von dem alten Mann"}
+    posts = [post(10 + i, i, text=words["en" if i % 2 else "de"] + f" {i}") for i in range(6)] + [post(20, 1, text="12345")]
+    profiles = fit_profiles(spark.createDataFrame(list(words.items()), "lang string, text string"), "text", "lang")
+    profiles.write.parquet(str(tmp_path / "profiles"))
+    raw = str(tmp_path / "raw")
+    write_nested(f"{raw}/streamed_02_04_2020_10_00_00.json.gz", posts)
+    ingest_batch(readers.read_nested_json(spark, raw), str(tmp_path / "batch"), profiles=profiles)
+    start_intake(post_stream(spark, raw), str(tmp_path / "stream"), str(tmp_path / "ledger"), profiles=str(tmp_path / "profiles")).awaitTermination()
+    for store in ("batch", "stream"):
+        tweets = stored(spark, str(tmp_path / store / "tweet"))
+        assert {r["id"]: r["language"] for r in tweets.collect()} == {**{10 + i: "en" if i % 2 else "de" for i in range(6)}, 20: "00"}
+        english = export_filter(tweets, dt.datetime(2020, 1, 1), dt.datetime(2021, 1, 1), "en")
+        assert sorted(r["id"] for r in english.collect()) == [11, 13, 15]
+
+
 def test_stream_equals_batch(spark, tmp_path):
     raw, store = str(tmp_path / "in"), str(tmp_path / "store")
     write_nested(f"{raw}/streamed_02_04_2020_10_00_00.json.gz", sample()[:3])
@@ -132,7 +183,7 @@ def test_geo_day(spark, tmp_path):
 def test_failed_day_is_logged(spark, tmp_path, monkeypatch):
     from socialtext.plans import geo_filter
     write_lines(str(tmp_path / "in" / "2020_04_02" / "a.json"), [post(1, geo=POINT)])
-    monkeypatch.setattr(geo_filter, "read_day", lambda *a: 1 / 0)
+    monkeypatch.setattr(geo_filter, "read_day", lambda *a, **k: 1 / 0)
     row = run_days(spark, str(tmp_path / "in"), str(tmp_path / "out")).first()
     assert row["status"] == "failed" and "division" in row["message"]
 
