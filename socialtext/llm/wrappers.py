@@ -15,10 +15,13 @@ equal results; only ``page_id, url, html`` are read; an empty table gives an emp
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import pickle
 import re
-from functools import reduce
+import sys
+from collections import Counter
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -33,7 +36,10 @@ LEAST_PAGES_INSIDE = 20
 SHARE = 90
 #: Texts counted at one place; with more, the rarest give way, and a count falls short by at most a quarter of the other texts.
 KEPT_TEXTS = 4
-_INSIDE = re.compile(r"/(article|main|[a-z]+\.main)(/|\Z)")
+#: Children of two nodes that are aligned at once by a full table; longer sides are aligned stretch by stretch.
+STRETCH = 2000
+#: Frames that nested elements may take in a worker; pure Python calls need no more of the C stack for it.
+FRAMES = 1 << 20
 
 _TOKEN = re.compile(r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -119,7 +125,15 @@ def parse(page: str, allowed: frozenset[int] = frozenset()) -> Node:
     outside, around = False, set()
     why, place = "", 0  # of the excluded element around, if there is one
     root = Node("root")
-    stack: list[tuple[str, Node | None]] = [("root", root)]  # an excluded element has no node
+    # An excluded element has no node. The last entry tells whether an article or main part lies around or is this element.
+    stack: list[tuple[str, Node | None, bool]] = [("root", root, False)]
+    opened: Counter[str] = Counter()  # how often each element is on the stack: what is not there need not be sought
+
+    def close(depth: int) -> None:
+        for t, _, _ in stack[depth:]:
+            opened[t] -= 1
+        del stack[depth:]
+
     at, n = 0, len(page)
     while at < n:
         m = _TOKEN.match(page, at)
@@ -137,24 +151,24 @@ def parse(page: str, allowed: frozenset[int] = frozenset()) -> Node:
             continue
         tag, attributes = tag.lower(), m[3] or m[6] or ""
         if m[1] or m[4]:
-            depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d][0] == tag), 0)
+            depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d][0] == tag), 0) if opened[tag] else 0
             if depth:
-                del stack[depth:]
+                close(depth)
             continue
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and opened["p"]:
             depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d][0] == "p" or stack[d][0] not in INLINE), 0)
             if depth and stack[depth][0] == "p":
-                del stack[depth:]
-        if tag in SAME_CLOSES:
+                close(depth)
+        if tag in SAME_CLOSES and any(opened[t] for t in SAME_CLOSES[tag]):
             for d in range(len(stack) - 1, 0, -1):
                 if stack[d][0] in LIST_BORDERS[tag]:
                     break
                 if stack[d][0] in SAME_CLOSES[tag]:
-                    del stack[d:]
+                    close(d)
                     break
         node = stack[-1][1]
         child = None
-        inside_article = any(t in ("article", "main") for t, _ in stack)
+        inside_article = stack[-1][2]
         if node is not None:
             why, place = _excluded(tag, attributes, inside_article), begin
             if not why or why == "name" and begin in allowed:
@@ -174,25 +188,28 @@ def parse(page: str, allowed: frozenset[int] = frozenset()) -> Node:
                 continue
             at = page.find(">", end.end()) + 1 or n
         elif tag not in VOID and not attributes.endswith("/"):
-            stack.append((tag, child))
+            stack.append((tag, child, inside_article or tag in ("article", "main")))
+            opened[tag] += 1
     return root if outside or not around else parse(page, allowed | around)
 
 
 def _wrapper(node: Node) -> Node:
     """A page as the first wrapper: white space normalised, empty texts gone, equal neighbours folded into repeated groups."""
-    out = Node(node.label)
-    for child in node.children:
-        if child.label == "#":
-            text = _BLANKS.sub(" ", entities.unescape(child.text)).strip()
-            if not text:
-                continue
-            new = Node("#", text)
-            new.texts[text] = 1
-        else:
-            new = _wrapper(child)
-        out.children.append(new)
-    _fold(out)
-    return out
+    top = Node(node.label)
+    made = [(node, top)]
+    for old, new in made:  # grows while it is read: parents before their children
+        for child in old.children:
+            if child.label == "#":
+                text = _BLANKS.sub(" ", entities.unescape(child.text)).strip()
+                if text:
+                    new.children.append(Node("#", text))
+                    new.children[-1].texts[text] = 1
+            else:
+                new.children.append(Node(child.label))
+                made.append((child, new.children[-1]))
+    for _, new in reversed(made):
+        _fold(new)
+    return top
 
 
 def _fold(node: Node) -> None:
@@ -234,6 +251,39 @@ def align(a: Node, b: Node, most: int | None = None) -> Node:
     if [x.label for x in left] == [x.label for x in right]:
         out.children = [align(x, y, most) for x, y in zip(left, right)]
         return out
+    for x, y in _matched(left, right):
+        if x is not None and y is not None:
+            out.children.append(align(x, y, most))
+        else:
+            one = x if y is None else y
+            one.optional = True
+            out.children.append(one)
+    _fold(out)
+    return out
+
+
+def _matched(left: list[Node], right: list[Node]):
+    """Both sides in order: pairs of equal labels, and ``None`` beside what only one side has.
+
+    Equal beginnings and ends are matched first. What is left is aligned by its longest common sequence, in stretches of at most
+    ``STRETCH`` children of each side, so that memory stays bounded however many children there are.
+    """
+    n, m = len(left), len(right)
+    head = tail = 0
+    while head < min(n, m) and left[head].label == right[head].label:
+        head += 1
+    while tail < min(n, m) - head and left[n - 1 - tail].label == right[m - 1 - tail].label:
+        tail += 1
+    yield from zip(left[:head], right[:head])
+    middle_left, middle_right = left[head: n - tail], right[head: m - tail]
+    stretches = max(1, -(-max(len(middle_left), len(middle_right)) // STRETCH))
+    for k in range(stretches):
+        yield from _common(middle_left[k * len(middle_left) // stretches: (k + 1) * len(middle_left) // stretches],
+                           middle_right[k * len(middle_right) // stretches: (k + 1) * len(middle_right) // stretches])
+    yield from zip(left[n - tail:], right[m - tail:])
+
+
+def _common(left: list[Node], right: list[Node]):
     n, m = len(left), len(right)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
@@ -242,18 +292,14 @@ def align(a: Node, b: Node, most: int | None = None) -> Node:
     i = j = 0
     while i < n or j < m:
         if i < n and j < m and left[i].label == right[j].label:
-            out.children.append(align(left[i], right[j], most))
+            yield left[i], right[j]
             i, j = i + 1, j + 1
         elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
-            left[i].optional = True
-            out.children.append(left[i])
+            yield left[i], None
             i += 1
         else:
-            right[j].optional = True
-            out.children.append(right[j])
+            yield None, right[j]
             j += 1
-    _fold(out)
-    return out
 
 
 def expression(node: Node) -> str:
@@ -262,71 +308,90 @@ def expression(node: Node) -> str:
     return f"({inner})" + ("*" if node.repeated and node.optional else "+" if node.repeated else "?") if node.optional or node.repeated else inner
 
 
-def _constants(node: Node, path: str, found: dict[str, int], slots: list[int]) -> None:
-    for child in node.children:
-        usual, rare = 100 * child.pages >= SHARE * node.pages, 100 * child.pages <= (100 - SHARE) * node.pages
-        if child.label == "#":
-            agreed = {t: n for t, n in child.texts.items() if 100 * n >= SHARE * node.pages}
-            for text, n in agreed.items():
-                key = f"{path}\x00{text}"
-                found[key] = max(n, found.get(key, 0))
-            slots[0] += not agreed and not rare
-        elif usual:
-            _constants(child, f"{path}/{child.label}", found, slots)
-        else:
-            slots[0] += not rare
+@lru_cache(maxsize=1 << 16)
+def _below(path: str, label: str) -> str:
+    """The path of a child, of one length at any depth: whether it lies in a main part, and a hash of all labels."""
+    inside = path[0] == "1" or label in ("article", "main") or label.endswith(".main")
+    return ("1" if inside else "0") + hashlib.blake2b(f"{path[1:]}/{label}".encode(), digest_size=8).hexdigest()
+
+
+_TOP = "0"
+
+
+def _constants(wrapper: Node) -> tuple[dict[str, int], int]:
+    """Pages per path and text of the template, and how many places are neither template nor rare."""
+    found: dict[str, int] = {}
+    slots, open_nodes = 0, [(wrapper, _TOP)]
+    while open_nodes:
+        node, path = open_nodes.pop()
+        for child in node.children:
+            usual, rare = 100 * child.pages >= SHARE * node.pages, 100 * child.pages <= (100 - SHARE) * node.pages
+            if child.label == "#":
+                agreed = {t: n for t, n in child.texts.items() if 100 * n >= SHARE * node.pages}
+                for text, n in agreed.items():
+                    key = f"{path}\x00{text}"
+                    found[key] = max(n, found.get(key, 0))
+                slots += not agreed and not rare
+            elif usual:
+                open_nodes.append((child, _below(path, child.label)))
+            else:
+                slots += not rare
+    return found, slots
 
 
 def template(wrapper: Node) -> list[str]:
     """Constants of the wrapper with their path; none if the wrapper cannot tell template from text."""
-    found: dict[str, int] = {}
-    slots = [0]
-    _constants(wrapper, "", found, slots)
-    if not slots[0]:
+    found, slots = _constants(wrapper)
+    if not slots:
         return []
-    return sorted(x for x, n in found.items() if n >= (LEAST_PAGES_INSIDE if _INSIDE.search(x.partition("\x00")[0]) else LEAST_PAGES))
+    return sorted(x for x, n in found.items() if n >= (LEAST_PAGES_INSIDE if x[0] == "1" else LEAST_PAGES))
 
 
 def main_text(page: str, constants: frozenset[str]) -> str:
     """Blocks of the main part in page order, white space normalised, joined by one blank."""
     root = parse(page)
     mains: list[tuple[Node, str]] = []
-
-    def search(node: Node, path: str, wanted) -> None:
-        for child in node.children:
-            if wanted(child.label):
-                mains.append((child, f"{path}/{child.label}"))
-            else:
-                search(child, f"{path}/{child.label}", wanted)
-
     for wanted in (lambda x: x == "article", lambda x: x == "main", lambda x: x.endswith(".main")):
-        search(root, "", wanted)
+        todo = [(root, _TOP)]
+        while todo:
+            node, path = todo.pop()
+            if node is not root and wanted(node.label):
+                mains.append((node, path))
+            else:
+                todo += [(c, _below(path, c.label)) for c in reversed(node.children) if c.label != "#"]
         if any(_has_text(node) for node, _ in mains):
             break
         mains.clear()
     parts: list[str] = []
-
-    def walk(node: Node, path: str) -> None:
-        for child in node.children:
-            if child.label == "#":
-                text = entities.unescape(child.text)
+    for top, top_path in mains or [(root, _TOP)]:
+        todo: list[tuple[Node | None, str]] = [(top, top_path)]  # None: the border of a block
+        while todo:
+            node, path = todo.pop()
+            if node is None:
+                parts.append(" ")
+                continue
+            if node.label == "#":
+                text = entities.unescape(node.text)
                 if f"{path}\x00{_BLANKS.sub(' ', text).strip()}" not in constants:
                     parts.append(text)
-            else:
-                if not child.inline:
-                    parts.append(" ")
-                walk(child, f"{path}/{child.label}")
-                if not child.inline:
-                    parts.append(" ")
-
-    for node, path in mains or [(root, "")]:
-        walk(node, path)
+                continue
+            if node is not top and not node.inline:
+                parts.append(" ")
+                todo.append((None, path))
+            todo += [(c, path if c.label == "#" else _below(path, c.label)) for c in reversed(node.children)]
         parts.append(" ")
     return _BLANKS.sub(" ", "".join(parts)).strip()
 
 
 def _has_text(node: Node) -> bool:
-    return any(c.text.strip() if c.label == "#" else _has_text(c) for c in node.children)
+    todo = [node]
+    while todo:
+        for child in todo.pop().children:
+            if child.label != "#":
+                todo.append(child)
+            elif child.text.strip():
+                return True
+    return False
 
 
 def _host(url):
@@ -334,18 +399,28 @@ def _host(url):
 
 
 def _dump(node: Node) -> bytes:
-    def plain(x):
-        return x.label, x.text, x.optional, x.repeated, x.pages, x.texts, [plain(c) for c in x.children]
-    return pickle.dumps(plain(node))
+    """All nodes in a row, parents first, each with the number of its children."""
+    rows, todo = [], [node]
+    while todo:
+        x = todo.pop()
+        rows.append((x.label, x.text, x.optional, x.repeated, x.pages, x.texts, len(x.children)))
+        todo += reversed(x.children)
+    return pickle.dumps(rows)
 
 
 def _load(data: bytes) -> Node:
-    def build(x):
-        node = Node(x[0], x[1])
-        node.optional, node.repeated, node.pages, node.texts = x[2:6]
-        node.children = [build(c) for c in x[6]]
-        return node
-    return build(pickle.loads(data))
+    top = Node("")
+    todo = [(top, 1)]  # nodes that still want children
+    for label, text, optional, repeated, pages, texts, children in pickle.loads(data):
+        node = Node(label, text)
+        node.optional, node.repeated, node.pages, node.texts = optional, repeated, pages, texts
+        parent, wanted = todo.pop()
+        parent.children.append(node)
+        if wanted > 1:
+            todo.append((parent, wanted - 1))
+        if children:
+            todo.append((node, children))
+    return top.children[0]
 
 
 def infer(pages: DataFrame) -> DataFrame:
@@ -353,6 +428,7 @@ def infer(pages: DataFrame) -> DataFrame:
     prepare(pages.sparkSession)
 
     def partial(frames):
+        sys.setrecursionlimit(FRAMES)
         found: dict[str, Node] = {}
         for frame in frames:
             for host, page in zip(frame["host"], frame["html"]):
@@ -366,6 +442,7 @@ def infer(pages: DataFrame) -> DataFrame:
         yield pd.DataFrame([(h, _dump(w)) for h, w in found.items()], columns=["host", "wrapper"])
 
     def whole(frame):
+        sys.setrecursionlimit(FRAMES)
         wrapper = reduce(align, map(_load, frame["wrapper"]))
         return pd.DataFrame([(frame["host"].iloc[0], template(wrapper))], columns=["host", "constants"])
 

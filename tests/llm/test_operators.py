@@ -286,3 +286,15 @@ def test_wrapper_outlives_odd_pages(spark):
 ])
 def test_names_that_only_mention_a_part(html, text):
     assert wrappers.main_text(f"<body>{html}</body>", frozenset()) == text
+
+
+def test_deep_and_wide_pages(spark):
+    deep = "<article>" + "<div>" * 50_000 + "deep text" + "</div>" * 50_000 + "</article>"
+    crossed = "<article>" + "<b>" * 20_000 + "<p>x" * 500 + "</span>" * 20_000 + "</article>"
+    wide = ["<article><dl>" + first + "".join(f"<dt>t{i}<dd>d{i}{k}" for i in range(20_000)) + "</dl></article>" for k, first in ((1, ""), (2, "<h2>head</h2>"))]
+    mixed = ["<article>" + "".join(pick.choice(["<h1>a</h1>", "<p>b</p>", "<ul><li>c</ul>", "<pre>d</pre>"]) for _ in range(6000)) + "</article>" for pick in (random.Random(1), random.Random(2))]
+    rows = [(i, "http://x.org/1", h) for i, h in enumerate([deep, deep.replace("deep", "low"), crossed, *wide, *mixed, "<article>short</article>"])]
+    got = {r["page_id"]: r["text"] for r in wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)).collect()}
+    assert got[0] == "deep text" and got[1] == "low text" and got[2] == " ".join("x" * 500) and got[7] == "short"
+    assert got[3] == " ".join(f"t{i} d{i}1" for i in range(20_000)) and got[4] == "head " + " ".join(f"t{i} d{i}2" for i in range(20_000))
+    assert all(len(got[i].split()) == 6000 for i in (5, 6))
