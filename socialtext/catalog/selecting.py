@@ -605,3 +605,21 @@ def intake_batch(spark, sf):
 def intake_stream(spark, sf):
     """The same as a stream of files, read twice with two ledgers, as after a lost one."""
     return _ingested(spark, sf, stream=True)
+
+
+@query("store_newest", """
+    WITH b AS (SELECT o_orderkey AS id, o_orderdate AS stamp, o_totalprice AS price FROM orders),
+    c AS (SELECT id, stamp + INTERVAL (CASE WHEN id % 4 = 0 THEN -1 ELSE 1 END) DAY AS stamp, price + 1 AS price FROM b WHERE id % 3 = 0)
+    SELECT id, CASE WHEN c.stamp > b.stamp THEN c.stamp ELSE b.stamp END AS stamp, round(CASE WHEN c.stamp > b.stamp THEN c.price ELSE b.price END, 2) AS price
+    FROM b LEFT JOIN c USING (id)""")
+def store_newest(spark, sf):
+    """A store of orders, then a batch of later and earlier versions of every third one: only the buckets of the batch are replaced."""
+    from socialtext.plans.store import KeyedStore
+    store = KeyedStore(f"{ensure_checkpoint_dir(spark)}/orders-{uuid.uuid4().hex}", "id", span=4096)
+    rows = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("stamp"), F.col("o_totalprice").alias("price"))
+    store.append(store.new_rows(rows, [F.col("stamp")]))
+    days = F.when(F.col("id") % 4 == 0, -1).otherwise(1)
+    later = rows.where("id % 3 = 0").select("id", (F.col("stamp") + F.make_dt_interval(days)).alias("stamp"), (F.col("price") + 1).alias("price"))
+    for _ in range(2):
+        store.replace_newest(later, "stamp")
+    return store.read(spark).select("id", "stamp", F.round("price", 2).alias("price"))

@@ -86,7 +86,7 @@ def timeline_rows(df: DataFrame, screen_name: Column, fields: tuple[str, ...] =
 
 
 def _carried(df: DataFrame) -> list[str]:
-    return [c for c in ("source_file", "file_time", "position", "level_order") if c in df.columns]
+    return [c for c in ("source_file", "file_time", "block", "position", "level_order") if c in df.columns]
 
 
 def post_rows(posts: DataFrame, language: Column | None = None) -> DataFrame:

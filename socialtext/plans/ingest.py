@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from socialtext.operators import merge, reshape
+from socialtext.operators import reshape
 from socialtext.operators.language import guess_language
-from socialtext.session import BROADCAST_ROWS
+from socialtext.plans.store import KeyedStore, read_stored
+from socialtext.sources.readers import numbered
 
 # Key and payload rows of each table.
 TABLES = {
     "users": ("user_id", reshape.user_rows), "tweet": ("id", reshape.post_rows),
     "entity": ("tweet_id", reshape.entity_rows), "geo": ("tweet_id", reshape.geo_rows),
     "place": ("tweet_id", reshape.place_rows)}
-ORDER = ("file_time", "source_file", "position", "level_order")
+ORDER = ("file_time", "source_file", "block", "position", "level_order")
 
 
 def first_seen(df: DataFrame) -> list[Column]:
@@ -22,29 +22,7 @@ def first_seen(df: DataFrame) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in ORDER if c in df.columns]
 
 
-def stored(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
-            return None
-        raise
-
-
-def new_table_rows(rows: DataFrame, key: str, target: DataFrame | None) -> DataFrame:
-    """Rows to append: first of each key, keys of the target left out.
-
-    Only target keys that occur in the batch take part. The keys of a batch that is counted to be small are
-    broadcast to the scan of the large table, which then is not shuffled.
-    """
-    first = merge.keep_first(rows.filter(F.col(key).isNotNull()), [key], first_seen(rows)).drop(*ORDER)
-    if target is None:
-        return first
-    keys = rows.select(key).distinct()
-    if keys.count() <= BROADCAST_ROWS:
-        keys = F.broadcast(keys)
-    known = target.select(key).join(keys, key, "left_semi")
-    return merge.new_rows(first, known, [key])
+stored = read_stored
 
 
 def ingest_batch(posts: DataFrame, store: str, tables: tuple[str, ...] = ("users", "tweet", "geo"),
@@ -55,16 +33,19 @@ def ingest_batch(posts: DataFrame, store: str, tables: tuple[str, ...] = ("users
     ``language.fit_profiles``, or the path of one, read anew for every batch) new posts get the language of their text.
     """
     spark = posts.sparkSession
+    if "block" in posts.columns and "position" not in posts.columns:
+        posts = numbered(posts)
     exploded = reshape.explode_embedded(posts).persist()
     try:
         for name in tables:
             key, rows_of = TABLES[name]
-            path = f"{store}/{name}"
-            rows = new_table_rows(rows_of(exploded), key, stored(spark, path))
+            table = KeyedStore(f"{store}/{name}", key)
+            rows = rows_of(exploded)
+            rows = table.new_rows(rows, first_seen(rows)).drop(*ORDER)
             if name == "tweet" and profiles is not None:
                 known = spark.read.parquet(profiles) if isinstance(profiles, str) else profiles
                 columns = rows.columns
                 rows = guess_language(rows.drop("language"), key, "full_text", known).select(*columns)
-            rows.write.mode("append").parquet(path)
+            table.append(rows)
     finally:
         exploded.unpersist()

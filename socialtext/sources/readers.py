@@ -14,13 +14,26 @@ from socialtext.schemas import EXPORT_CSV, post_schema
 RECORD = "record"
 
 
-def _whole_lines(spark: SparkSession, paths: str | list[str], schema: T.StructType | None) -> DataFrame:
+def in_file_order(scan: DataFrame) -> DataFrame:
+    """A scan with ``source_file`` and ``block``: with the ``position`` of ``numbered`` they order the records of a file."""
+    return scan.select("*", F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_block_start").alias("block"))
+
+
+def numbered(records: DataFrame) -> DataFrame:
+    """``position``: rises in the order in which a task reads the records, so it decides within one block of a file."""
+    return records.withColumn("position", F.monotonically_increasing_id())
+
+
+def _whole_lines(spark: SparkSession, paths: str | list[str], schema: T.StructType | None, with_position: bool = False) -> DataFrame:
     """Declared fields and the whole record of JSON lines; a line that holds an array gives a row per entry."""
-    lines = spark.read.text(paths).where(F.trim("value") != "")
+    lines = spark.read.text(paths)
+    lines = (in_file_order(lines) if with_position else lines).where(F.trim("value") != "")
+    places = [c for c in lines.columns if c != "value"]
     many = F.ltrim("value").startswith("[")
     listed = F.when(many, F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>")).otherwise(F.array(F.try_parse_json("value")))
-    records = lines.select(F.explode(listed).alias(RECORD)).where(F.col(RECORD).isNotNull())
-    return records.select(RECORD, F.from_json(F.to_json(RECORD), schema or post_schema()).alias("_post")).select("_post.*", RECORD)
+    records = lines.select(*places, F.explode(listed).alias(RECORD)).where(F.col(RECORD).isNotNull())
+    posts = records.select(*places, RECORD, F.from_json(F.to_json(RECORD), schema or post_schema()).alias("_post")).select(*places, "_post.*", RECORD)
+    return numbered(posts) if with_position else posts
 
 
 def read_posts(spark: SparkSession, paths: str | list[str] | None = None, *, categories=None, catalog=None,
@@ -28,7 +41,8 @@ def read_posts(spark: SparkSession, paths: str | list[str] | None = None, *, cat
     """Posts from JSON lines or from files that hold one JSON array; gzip is read as it is.
 
     ``paths`` or ``categories`` (resolved through ``catalog(category, path)``), not both. ``whole`` adds the column ``record`` (VARIANT)
-    with everything that the post holds; a line that is no JSON is dropped then.
+    with everything that the post holds; a line that is no JSON is dropped then. ``with_position`` adds the place of each record, which
+    decides who came first.
     """
     if paths is not None and categories is not None:
         raise ValueError("give paths or categories, not both")
@@ -37,10 +51,10 @@ def read_posts(spark: SparkSession, paths: str | list[str] | None = None, *, cat
             raise ValueError("categories need a catalog")
         from socialtext.sources.categories import files_of
         paths = [r["path"] for r in files_of(catalog, categories).select("path").distinct().collect()]
-    df = _whole_lines(spark, paths, schema) if whole else spark.read.schema(schema or post_schema()).json(paths)
-    if with_position:
-        df = df.withColumn("source_file", F.input_file_name())
-    return df
+    if whole:
+        return _whole_lines(spark, paths, schema, with_position)
+    df = spark.read.schema(schema or post_schema()).json(paths)
+    return numbered(in_file_order(df)) if with_position else df
 
 
 def decode_nested_json(lines: DataFrame, schema: T.StructType | None = None, value: str = "value", whole: bool = False) -> DataFrame:

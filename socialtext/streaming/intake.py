@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from socialtext.plans.ingest import ingest_batch
 from socialtext.schemas import post_schema
 from socialtext.sources.categories import STREAM_NAME, with_file_time
-from socialtext.sources.readers import decode_nested_json
+from socialtext.sources.readers import decode_nested_json, in_file_order
 
 
 def post_stream(spark: SparkSession, folder: str, *, max_files: int = 10, nested: bool = True,
@@ -23,7 +23,7 @@ def post_stream(spark: SparkSession, folder: str, *, max_files: int = 10, nested
         lines = reader.text(folder).withColumn("source_file", F.col("_metadata.file_name"))
         posts = decode_nested_json(lines, schema, whole=whole)
     else:
-        posts = reader.schema(schema).json(folder).withColumn("source_file", F.col("_metadata.file_name"))
+        posts = in_file_order(reader.schema(schema).json(folder))  # a batch numbers its records itself
     return with_file_time(posts, "source_file", STREAM_NAME)
 
 

@@ -1,5 +1,7 @@
 import datetime as dt
+import glob
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from socialtext.operators.filters import export_filter
 from socialtext.operators.language import fit_profiles
 from socialtext.plans.geo_filter import geo_posts, run_days
 from socialtext.plans.ingest import ingest_batch, stored
+from socialtext.plans.store import KeyedStore
 from socialtext.plans.tokenize_daily import map_partitions, tokenize_days
 from socialtext.schemas import post_schema
 from socialtext.sources import categories, incremental, readers, writers
@@ -135,6 +138,37 @@ def test_language_at_intake(spark, tmp_path):
         assert sorted(r["id"] for r in english.collect()) == [11, 13, 15]
 
 
+@pytest.mark.parametrize("whole", [False, True])
+def test_first_of_json_lines_stays(spark, tmp_path, whole):
+    lines = [post(i % 5, 1, text=f"copy {i}") for i in range(1, 60)]
+    write_lines(str(tmp_path / "in" / "a.json"), lines)
+    write_lines(str(tmp_path / "in" / "b.json"), lines[::-1])
+    posts = readers.read_posts(spark, str(tmp_path / "in"), with_position=True, whole=whole).repartition(4)
+    ingest_batch(posts, str(tmp_path / "store"), ("tweet",))
+    assert {r["id"]: r["full_text"] for r in stored(spark, str(tmp_path / "store" / "tweet")).collect()} == {i: f"copy {i or 5}" for i in range(5)}
+    start_intake(post_stream(spark, str(tmp_path / "in"), nested=False), str(tmp_path / "s"), str(tmp_path / "ledger"), tables=("tweet",)).awaitTermination()
+    assert stored(spark, str(tmp_path / "s" / "tweet")).count() == 5
+
+
+def test_store_reads_only_the_buckets_of_the_batch(spark, tmp_path):
+    store = KeyedStore(str(tmp_path / "t"), "id", span=100)
+    rows = spark.range(1000).select("id", F.lit(1).alias("version"), F.concat(F.lit("old"), "id").alias("text"))
+    store.append(store.new_rows(rows, [F.col("id")]))
+    batch = spark.createDataFrame([(250, 2, "new"), (250, 1, "older"), (251, 0, "late"), (1207, 1, "first"), (None, 9, "lost")], "id long, version int, text string")
+    new = store.new_rows(batch, [F.col("version")])
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "key_bucket" in plan.split("PartitionFilters", 1)[1][:200] and "IN (2,12)" in plan
+    assert [r["id"] for r in new.collect()] == [1207]
+    before = {f: os.path.getmtime(f) for f in glob.glob(str(tmp_path / "t" / "*" / "*.parquet"))}
+    store.replace_newest(batch, "version")
+    after = {f: os.path.getmtime(f) for f in glob.glob(str(tmp_path / "t" / "*" / "*.parquet"))}
+    assert {f for f in before if before[f] == after.get(f)} == {f for f in before if "key_bucket=2/" not in f}
+    got = {r["id"]: (r["version"], r["text"]) for r in store.read(spark).collect()}
+    assert len(got) == 1001 and got[250] == (2, "new") and got[251] == (1, "old251") and got[1207] == (1, "first") and got[249] == (1, "old249")
+    store.replace_newest(batch, "version")
+    assert store.read(spark).count() == 1001
+
+
 def test_stream_equals_batch(spark, tmp_path):
     raw, store = str(tmp_path / "in"), str(tmp_path / "store")
     write_nested(f"{raw}/streamed_02_04_2020_10_00_00.json.gz", sample()[:3])
