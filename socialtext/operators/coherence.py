@@ -6,6 +6,10 @@ set by the model (topics × words²), not by the texts.
 
 from __future__ import annotations
 
+from collections import Counter
+from itertools import pairwise
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from socialtext.functions.arrays import exploded
@@ -23,22 +27,49 @@ def _word_list(top_words: DataFrame) -> list[str]:
     return sorted(words)
 
 
+def _window_counts(window: int):
+    """Sets of followed words per window, counted over a batch. A word is in a run of neighbouring windows around each of its places,
+    so the set changes only where such a run begins or ends: the work is by places, not by windows."""
+    def run(batches):
+        for batch in batches:
+            counts: Counter[tuple[str, ...]] = Counter()
+            sizes, places, names = (batch.column(c).to_pylist() for c in ("size", "places", "names"))
+            for size, at, words in zip(sizes, places, names):
+                windows = max(size - window + 1, 1)
+                turns = sorted({0, *(max(p - window + 1, 0) for p in at), *(p + 1 for p in at)})
+                turns = [s for s in turns if s < windows] + [windows]
+                held: Counter[str] = Counter()
+                first = last = 0
+                for start, end in pairwise(turns):
+                    while last < len(at) and at[last] < start + window:
+                        held[words[last]] += 1
+                        last += 1
+                    while at and first < last and at[first] < start:
+                        held[words[first]] -= 1
+                        if not held[words[first]]:
+                            del held[words[first]]
+                        first += 1
+                    counts[tuple(sorted(held))] += end - start
+            if counts:
+                yield pa.RecordBatch.from_arrays([pa.array([list(k) for k in counts], pa.list_(pa.string())), pa.array(list(counts.values()), pa.int64())], names=["words", "n"])
+
+    return run
+
+
 def seen_sets(df: DataFrame, words: list[str], tokens_col: str, window: int | None) -> DataFrame:
     """``words, n``: how many documents (or sliding windows) hold exactly this set of top words.
 
     Sets are counted before the shuffle; neighbouring windows mostly hold the same set. A text shorter
-    than the window is one window.
+    than the window is one window; a null list is none.
     """
-    known = F.array(*[F.lit(w) for w in words])
     if window is None:
+        known = F.array(*[F.lit(w) for w in words])
         sets = df.select(F.sort_array(F.array_intersect(tokens_col, known)).alias("words"))
-    else:
-        # Other tokens become null first, so a window only compares the few followed words.
-        masked = df.select(F.transform(tokens_col, lambda t: F.when(t.isin(words), t)).alias("_m"))
-        starts = F.sequence(F.lit(1), F.greatest(F.size("_m") - window + 1, F.lit(1)))
-        sets = exploded(masked, F.transform(starts, lambda s: F.sort_array(F.array_compact(
-            F.array_distinct(F.slice("_m", s, window))))), "words")
-    return sets.groupBy("words").agg(F.count(F.lit(1)).alias("n"))
+        return sets.groupBy("words").agg(F.count(F.lit(1)).alias("n"))
+    hits = F.filter(F.transform(tokens_col, lambda t, i: F.when(t.isin(words), F.struct(i.alias("at"), t.alias("word")))), lambda h: h.isNotNull())
+    rows = df.where(F.col(tokens_col).isNotNull()).select(F.size(tokens_col).alias("size"), hits.alias("hits"))
+    rows = rows.select("size", F.col("hits.at").alias("places"), F.col("hits.word").alias("names"))
+    return rows.mapInArrow(_window_counts(window), "words array<string>, n long").groupBy("words").agg(F.sum("n").alias("n"))
 
 
 def _probabilities(sets: DataFrame, top_words: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from socialtext.operators import tokenizer
 from socialtext.operators.evaluate import stratified_folds
 from socialtext.operators.sampling import random_per_group
@@ -39,3 +41,12 @@ def test_hashtags_are_cut_with_a_word_list_of_any_size(spark, monkeypatch):
     got = tokenizer.split_term_counts(df, "text", words, hashtags="split", normalize=False).collect()
     assert {r["term"]: r["n"] for r in got} == Counter(t for r in whole for t in r["tokens"]) and len(got) == len({r["term"] for r in got})
     assert {"save", "the", "ocean", "city"} <= {r["term"] for r in got}
+    by_id = tokenizer.tokenize(df.withColumn("n", F.monotonically_increasing_id()), "text", id_col="n", words=words, hashtags="split", normalize=False)
+    assert sorted(r["tokens"] for r in by_id.collect()) == sorted(r["tokens"] for r in whole)
+
+
+def test_a_very_long_glued_word(spark):
+    words = spark.createDataFrame([("ab", 0), ("abc", 1), ("c", 2), ("longerword", 3)], "word string, rank long")
+    df = spark.createDataFrame([(1, "#" + "abc" * 3000 + "longerword")], "id int, text string")
+    tokens = tokenizer.tokenize(df, "text", id_col="id", words=words, hashtags="split", normalize=False).first()["tokens"]
+    assert tokens == ["abc"] * 3000 + ["longerword"]
