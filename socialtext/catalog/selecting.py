@@ -170,7 +170,8 @@ def cascade_counts(spark, sf):
     SELECT CAST(coalesce(sum(n), 0) - count(*) AS BIGINT) AS duplicates
     FROM (SELECT count(*) AS n FROM documents GROUP BY text)""")
 def duplicate_ledger(spark, sf):
-    return counts.duplicate_total(counts.id_counts(table(spark, sf, "documents"), "text"))
+    keys = table(spark, sf, "documents").select(merge.text_key(F.col("text")).alias("key"))
+    return counts.duplicate_total(counts.id_counts(keys, "key"))
 
 
 @query("duplicate_ledger_update", """
@@ -186,8 +187,8 @@ def duplicate_ledger_update(spark, sf):
 @query("keep_first", """
     SELECT min(doc_id) AS doc_id FROM documents GROUP BY text""")
 def keep_first(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    return merge.keep_first(docs, ["text"], [F.asc("doc_id")]).select("doc_id")
+    docs = table(spark, sf, "documents").select("doc_id", merge.text_key(F.col("text")).alias("key"))
+    return merge.keep_first(docs, ["key"], [F.asc("doc_id")]).select("doc_id")
 
 
 @query("insert_ignore", """

@@ -14,6 +14,11 @@ def _keep(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") == 1).drop("_rank")
 
 
+def text_key(text: Column) -> Column:
+    """32 bytes that stand for a text of any length as a key of groups and joins: its SHA-256. Null stays null."""
+    return F.unhex(F.sha2(text, 256))
+
+
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key; ``order`` must decide every tie."""
     return _keep(df, keys, order)
