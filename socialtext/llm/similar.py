@@ -8,8 +8,9 @@ verified on the whole sets, exactly: ``100 * common >= percent * union``.
 
 Texts with equal sets form one class and only its smallest ``doc_id`` is compared. Entries of very long posting lists are not
 paired with each other: first each is compared with a few pivots of the list, links found so far are closed to components,
-and only pairs between different components are still compared. So a large group of near copies costs its members times
-the pivots, and no link is lost, because a pair is left out only when it is connected already.
+and only pairs between different components are still compared. Of these pairs only those become candidates whose parity
+signatures leave room for a link (an exact bound, see ``parities``). So a large group of near copies costs its members times
+the pivots, and no link is lost, because a pair is left out only when it is connected already or cannot link.
 
 The frequency estimate counts all shingles of all texts in a table of fixed size (``2 ** SKETCH_BITS`` counters, broadcast
 as two bytes each). A counter is never below the frequency of its shingles, so shingles of low counters are surely rare, however
@@ -36,6 +37,8 @@ MOST_MATCHES = 4
 VERIFY_COST = 30.0
 #: Longer posting lists go through pivots.
 LONG_LIST = 64
+#: 64-bit numbers of a parity signature.
+PARITY = 8
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -125,8 +128,21 @@ def least_common(n: Column, percent: int) -> Column:
     return F.floor((n * percent + 99) / 100).cast("int")
 
 
+def parities(text: np.ndarray, value: np.ndarray, texts: int) -> pa.ListArray:
+    """Per text whether an odd number of its shingles falls into each of ``64 · PARITY`` slots, as 64-bit numbers.
+
+    What two sets share cancels out, so the slots in which their signatures differ are never more than the shingles in which the
+    sets differ: a bound that loses no link.
+    """
+    slots = 64 * PARITY
+    slot = (mix(value ^ np.uint64(0x5EED)) >> np.uint64(32)).astype(np.int64) % slots
+    odd = np.bincount(text * slots + slot, minlength=texts * slots).reshape(texts, slots) & 1
+    packed = np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.arange(texts + 1) * PARITY, pa.int32()), pa.array(packed.ravel()))
+
+
 def _prefixes(docs: DataFrame, width: int, percent: int, classes: np.ndarray, bits: int) -> DataFrame:
-    """``doc_id, n, tokens``: the longest prefix that any l asks for."""
+    """``doc_id, n, tokens, parity``: the longest prefix that any l asks for, and the signature of the whole set."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)
 
     def apply(batches):
@@ -140,9 +156,10 @@ def _prefixes(docs: DataFrame, width: int, percent: int, classes: np.ndarray, bi
                 place = np.arange(len(text)) - ends[text]
                 chosen = value[order][place < size[text]].view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(chosen))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, last - first).cast(pa.int64()), pa.array(n.astype(np.int32)), lists], ["doc_id", "n", "tokens"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, last - first).cast(pa.int64()), pa.array(n.astype(np.int32)), lists,
+                                                  parities(text, value, last - first)], ["doc_id", "n", "tokens", "parity"])
 
-    return docs.select("doc_id", "text").mapInArrow(apply, "doc_id long, n int, tokens array<long>")
+    return docs.select("doc_id", "text").mapInArrow(apply, "doc_id long, n int, tokens array<long>, parity array<long>")
 
 
 def _whole_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -171,6 +188,13 @@ def _fits(percent: int, x: str = "x", y: str = "y") -> Column:
             & (nx - F.col(f"{x}.first") >= need) & (ny - F.col(f"{y}.first") >= need))
 
 
+def _near(percent: int, x: str = "x", y: str = "y") -> Column:
+    """The signatures leave room for a link: two sets that link differ in at most ``nx + ny - 2 · need`` shingles."""
+    differ = sum((F.bit_count(F.col(f"{x}.parity")[i].bitwiseXOR(F.col(f"{y}.parity")[i])) for i in range(PARITY)), F.lit(0))
+    total = F.col(f"{x}.n") + F.col(f"{y}.n")
+    return F.coalesce(differ <= total - 2 * (total * percent / (100 + percent)) + 1e-6, F.lit(True))
+
+
 def join(docs: DataFrame, width: int = 3, percent: int = 90, bits: int = SKETCH_BITS) -> tuple[DataFrame, DataFrame]:
     """``(nodes, links)``: per row ``doc_id, n, representative``, and the links ``a, b`` between representatives.
 
@@ -206,7 +230,12 @@ def join(docs: DataFrame, width: int = 3, percent: int = 90, bits: int = SKETCH_
              # Matches in long lists are not counted here, so as many as both could have there are granted.
              .where(F.col("shared") + F.col("more") >= F.col("least")).select("a", "b"))
     pairs = stored(pairs, "similar-pairs")
-    long = entries.where(F.col("df") > LONG_LIST)
+    # Rows of one doc_id with different sets have no signature, so nothing is left out for them.
+    signs = prefixes.groupBy("doc_id").agg(F.min("parity").alias("_low"), F.max("parity").alias("_high"))
+    signs = signs.select(F.col("doc_id").alias("_doc"), F.when(F.col("_low") == F.col("_high"), F.col("_low")).alias("parity"))
+    long = (entries.where(F.col("df") > LONG_LIST).join(signs, F.col("x.doc_id") == F.col("_doc"))
+            .select("token", "df", F.struct("x.*", "parity").alias("x")))
+    long = stored(long, "similar-long")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).union(long.select("x.doc_id")).distinct()
     needed = stored(needed, "similar-needed")
     sets = stored(_whole_sets(probable(docs, needed, "doc_id", 1 << 18), width).join(needed, "doc_id", "left_semi"), "similar-whole")
@@ -222,7 +251,7 @@ def _through_pivots(long: DataFrame, links: DataFrame, sets: DataFrame, percent:
         # One order for all lists: the lists of a group of near copies get few different pivots, so few different pairs.
         order = F.struct(x["first"].alias("first"), F.xxhash64(x["doc_id"], F.lit(number)).alias("mix"))
         pivots = long.groupBy("token").agg(F.min_by("x", order).alias("y"))
-        pairs = (long.join(pivots, "token").where((x["doc_id"] != F.col("y.doc_id")) & _fits(percent))
+        pairs = (long.join(pivots, "token").where((x["doc_id"] != F.col("y.doc_id")) & _fits(percent) & _near(percent))
                  .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct())
         links = links.union(stored(_verified(pairs, sets, percent), "similar-links"))
     known = components(links)
@@ -232,7 +261,7 @@ def _through_pivots(long: DataFrame, links: DataFrame, sets: DataFrame, percent:
     open_lists = parts.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("token")
     parts = stored(parts.join(open_lists, "token", "left_semi"), "similar-parts")
     other = parts.select("token", F.col("x").alias("y"), F.col("part").alias("other"))
-    pairs = (parts.join(other, "token").where((F.col("part") != F.col("other")) & (x["doc_id"] < F.col("y.doc_id")) & _fits(percent))
+    pairs = (parts.join(other, "token").where((F.col("part") != F.col("other")) & (x["doc_id"] < F.col("y.doc_id")) & _fits(percent) & _near(percent))
              .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct())
     return links.union(stored(_verified(pairs, sets, percent), "similar-links"))
 

@@ -122,6 +122,20 @@ def test_long_lists_go_through_pivots(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in got} == part
 
 
+def test_parities_bound_the_difference():
+    pick = np.random.default_rng(6)
+    pool = pick.integers(0, 1 << 63, 4000, dtype=np.int64).astype(np.uint64)
+    for size in (0, 1, 30, 300, 3000):
+        sets = [pick.choice(pool, size, replace=False), pick.choice(pool, size, replace=False)]
+        sets += [np.append(sets[0][2:], np.uint64(1 << 63)), sets[0]]
+        text = np.repeat(np.arange(4), [len(x) for x in sets])
+        signs = [np.array(x, np.int64).view(np.uint8) for x in similar.parities(text, np.concatenate(sets), 4).to_pylist()]
+        for a in range(4):
+            for b in range(4):
+                differ = int(np.unpackbits(signs[a] ^ signs[b]).sum())
+                assert differ <= len(set(sets[a].tolist()) ^ set(sets[b].tolist())) and (a != b or differ == 0)
+
+
 def test_small_sets_link_at_a_low_limit(spark):
     rows, want = [], {}
     for n in range(1, 6):
