@@ -245,7 +245,7 @@ def join(docs: DataFrame, width: int = 3, percent: int = 90, bits: int = SKETCH_
     return nodes, links
 
 
-def _through_pivots(long: DataFrame, links: DataFrame, sets: DataFrame, percent: int, rounds: int = 2) -> DataFrame:
+def _through_pivots(long: DataFrame, links: DataFrame, sets: DataFrame, percent: int, rounds: int = 6) -> DataFrame:
     x = F.col("x")
     for number in range(rounds):
         # One order for all lists: the lists of a group of near copies get few different pivots, so few different pairs.
