@@ -8,7 +8,7 @@ the driver; rows, terms and vectors never do.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,34 +35,26 @@ def _gaussian(key: Column, seed: int, width: int) -> Column:
                        lambda j: F.sqrt(-2 * F.ln(uniform(j, 0))) * F.cos(uniform(j, 1) * (2 * np.pi)))
 
 
-def _there_and_back(width: int, kind: pa.DataType):
-    """``Aᵀ A Q`` of one block: a row per term."""
-    def run(rows: pa.Table, table: pa.Table) -> pa.Table:
-        if not rows.num_rows or not table.num_rows:
-            return pa.table({"term": pa.array([], kind), "weights": pa.array([], pa.list_(pa.float64()))})
-        terms, q = pa.concat_arrays(table.column("term").chunks), blocks.weights(table, width)
-        place, value, row = blocks.entries(rows, terms)
-        out = np.zeros_like(q)
-        for at, _, local, starts in blocks.chunks(row):
-            y = np.add.reduceat(value[at, None] * q[place[at]], starts)
-            order = np.argsort(place[at], kind="stable")
-            ranked = place[at][order]
-            first = np.flatnonzero(np.diff(ranked, prepend=-1))
-            out[ranked[first]] += np.add.reduceat((value[at, None] * y[local])[order], first)
-        return pa.table({"term": terms, "weights": blocks.lists_of(out)})
-
-    return run
+def _there_and_back(rows: pa.Table, q: np.ndarray, entries) -> tuple[np.ndarray, np.ndarray]:
+    """``Aᵀ A Q`` of one block: a line per term."""
+    place, value, row = entries
+    out = np.zeros_like(q)
+    for at, _, local, starts in blocks.chunks(row):
+        y = np.add.reduceat(value[at, None] * q[place[at]], starts)
+        order = np.argsort(place[at], kind="stable")
+        ranked = place[at][order]
+        first = np.flatnonzero(np.diff(ranked, prepend=-1))
+        out[ranked[first]] += np.add.reduceat((value[at, None] * y[local])[order], first)
+    return out, np.zeros(0)
 
 
-def _projected(width: int, names: list[str]):
+def _projected(names: list[str]):
     """``A V`` of one block: a list per row, zeros where no term is known."""
-    def run(rows: pa.Table, table: pa.Table) -> pa.Table:
-        out = np.zeros((rows.num_rows, width))
-        if rows.num_rows and table.num_rows:
-            v = blocks.weights(table, width)
-            place, value, row = blocks.entries(rows, pa.concat_arrays(table.column("term").chunks))
-            for at, here, _, starts in blocks.chunks(row):
-                out[here] = np.add.reduceat(value[at, None] * v[place[at]], starts)
+    def run(rows: pa.Table, v: np.ndarray, entries) -> pa.Table:
+        out = np.zeros((rows.num_rows, v.shape[1]))
+        place, value, row = entries
+        for at, here, _, starts in blocks.chunks(row):
+            out[here] = np.add.reduceat(value[at, None] * v[place[at]], starts)
         return pa.table([*[rows.column(c) for c in names], blocks.lists_of(out)], names=[*names, "reduced"])
 
     return run
@@ -82,24 +74,13 @@ def _gram(vectors: DataFrame, width: int, name: str = "weights") -> np.ndarray:
     return np.array([found[i] for i in range(width)]) if found else np.zeros((width, width))
 
 
-def _times(table: DataFrame, matrix: np.ndarray) -> DataFrame:
-    """Every list of ``weights`` times a small matrix."""
-    width = matrix.shape[0]
-
-    def run(batches):
-        for batch in batches:
-            m = np.asarray(batch.column(1).flatten(), float).reshape(-1, width) @ matrix
-            yield pa.RecordBatch.from_arrays([batch.column(0), blocks.lists_of(m)], names=["term", "weights"])
-
-    return table.select("term", "weights").mapInArrow(run, T.StructType([table.schema["term"], T.StructField("weights", T.ArrayType(T.DoubleType()))]))
-
-
 def _orthonormal(table: DataFrame, width: int) -> tuple[DataFrame, int]:
     """Columns made orthonormal; directions below the precision of the Gram matrix are given up."""
     for _ in range(2):
         values, vectors = np.linalg.eigh(_gram(table, width))
         kept = values > max(values.max(initial=0.0), 0.0) * 1e-14
-        table, width = _times(table, vectors[:, kept] / np.sqrt(values[kept])), int(kept.sum())
+        turn = vectors[:, kept] / np.sqrt(values[kept])
+        table, width = blocks.mapped(table, width, lambda m, _, turn=turn: m @ turn), int(kept.sum())
         if not width:
             break
     return stored(table, "svd-vectors"), width
@@ -122,26 +103,25 @@ def truncated_svd(df: DataFrame, terms: Column, values: Column | None = None, *,
     ``k`` values come back where the rows have a smaller rank. Null and empty lists are rows of zeros; an empty table has no values.
     """
     rows = stored(_rows(df, terms, values, []), "svd-rows")
-    rows = stored(blocks.dealt(rows, blocks.entry_count(rows)), "svd-blocks")
+    rows = blocks.dealt(rows, blocks.entry_count(rows))
     width = k + oversample
     names = rows.select(F.explode_outer(blocks.TERMS).alias("term")).where("term is not null").distinct()
     table = stored(names.select("term", _gaussian(F.col("term"), seed, width).alias("weights")), "svd-start")
-    needs = stored(blocks.needed(rows, table), "svd-needs")
-    kind = T.StructType([table.schema["term"]])
-    schema = T.StructType([table.schema["term"], T.StructField("weights", T.ArrayType(T.DoubleType()))])
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow = to_arrow_schema(kind).field(0).type
+    packed = blocks.pack(rows, table, width).kept()
     for _ in range(steps):
-        parts = blocks.per_block(rows, needs, table, _there_and_back(width, arrow), schema)
-        table, width = _orthonormal(stored(blocks.summed(parts, "term", width), "svd-sums"), width)
+        sums, _ = blocks.passed(packed, _there_and_back, width, lambda weights, sums, held: sums, "svd-sums")
+        parts, width = _orthonormal(sums, width)
+        packed = replace(packed, weights=parts, width=width)
         if not width:
-            return SvdModel(table, ())
-    y = blocks.per_block(rows, needs, table, _projected(width, []), "reduced array<double>")
+            packed.rows.unpersist()
+            return SvdModel(table.limit(0), ())
+    y = blocks.per_block(packed, _projected([]), "reduced array<double>")
     squares, turn = np.linalg.eigh(_gram(y, width, "reduced"))
     best = np.argsort(-squares)[: min(k, width)]
     best = best[squares[best] > squares.max() * 1e-14]
-    return SvdModel(stored(_times(table, turn[:, best]), "svd-terms"), tuple(float(x) for x in np.sqrt(squares[best])))
+    packed.rows.unpersist()
+    packed = replace(packed, weights=stored(blocks.mapped(packed.weights, width, lambda m, _: m @ turn[:, best]), "svd-terms"), width=len(best))
+    return SvdModel(packed.terms(), tuple(float(x) for x in np.sqrt(squares[best])))
 
 
 def project(model: SvdModel, df: DataFrame, id_col: str, terms: Column, values: Column | None = None) -> DataFrame:
@@ -149,4 +129,4 @@ def project(model: SvdModel, df: DataFrame, id_col: str, terms: Column, values:
     rows = stored(_rows(df, terms, values, [id_col]), "svd-rows")
     rows = blocks.dealt(rows, blocks.entry_count(rows))
     schema = T.StructType([df.schema[id_col], T.StructField("reduced", T.ArrayType(T.DoubleType()))])
-    return blocks.per_block(rows, blocks.needed(rows, model.terms), model.terms, _projected(len(model.values), [id_col]), schema)
+    return blocks.per_block(blocks.pack(rows, model.terms, len(model.values)), _projected([id_col]), schema)

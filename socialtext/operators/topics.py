@@ -69,34 +69,29 @@ def _shares(p: np.ndarray, n: np.ndarray, starts: np.ndarray, doc: np.ndarray, a
     return theta, split, likely, held
 
 
-def _weights(right: pa.Table, model: dict) -> np.ndarray:
+def _phi(weights: np.ndarray, model: dict) -> np.ndarray:
     """Probability of each term of the block under each topic."""
-    return (blocks.weights(right, len(model["alpha"])) + model["eta"]) / (np.array(model["totals"]) + model["n_terms"] * model["eta"])
+    return (weights + model["eta"]) / (np.array(model["totals"]) + model["n_terms"] * model["eta"])
 
 
 def _estimate(model: dict):
-    """Of one block: sums per term, and a row without a term with the log-likelihood and the sums that belong to no term."""
+    """Of one block: sums per term, and a list of the log-likelihood and the sums that belong to no term."""
     alpha, k = np.array(model["alpha"]), len(model["alpha"])
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return pa.table({"term": pa.array([], pa.string()), "sums": pa.array([], pa.list_(pa.float64()))})
-        terms = pa.concat_arrays(right.column("term").chunks)
-        phi = _weights(right, model)
-        place, n, doc = blocks.entries(left, terms)
-        sums, stats = np.zeros((len(terms), k)), np.zeros(2 * k + 3)
+    def run(rows: pa.Table, weights: np.ndarray, entries) -> tuple[np.ndarray, np.ndarray]:
+        phi = _phi(weights, model)
+        place, n, doc = entries
+        sums, stats = np.zeros((len(phi), k)), np.zeros(2 * k + 3)
         for at, _, local, starts in blocks.chunks(doc):
             _, split, likely, held = _shares(phi[place[at]], n[at], starts, local, alpha, model["inner"])
             for j in range(k):
-                sums[:, j] += np.bincount(place[at], weights=split[:, j], minlength=len(terms))
+                sums[:, j] += np.bincount(place[at], weights=split[:, j], minlength=len(phi))
             stats[0] += float(n[at] @ np.log(likely))
             stats[1] += n[at].sum()
             stats[2] += (_digamma(held.sum(axis=1) + alpha.sum()) - _digamma(alpha.sum())).sum()
             stats[3: 3 + k] += (_digamma(held + alpha) - _digamma(alpha)).sum(axis=0)
         stats[3 + k:] = sums.sum(axis=0)
-        offsets = np.append(np.arange(len(terms) + 1) * k, len(terms) * k + len(stats))
-        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.append(sums.ravel(), stats)))
-        return pa.table({"term": pa.concat_arrays([terms, pa.array([None], terms.type)]), "sums": lists})
+        return sums, stats
 
     return run
 
@@ -115,11 +110,8 @@ def _documents(df: DataFrame, tokens_col: str, binary: bool, keep: list[str], se
     return pairs.select(*keep, F.col("_c.term").alias("_terms"), F.col("_c.tf").alias("_values"), "_u")
 
 
-def _sums(docs: DataFrame, needs: DataFrame, model: TopicModel) -> DataFrame:
-    """One pass: ``term, sums``; the sums of all blocks, and one row without a term."""
-    columns = [c for c in docs.columns if c in (blocks.TERMS, blocks.VALUES, blocks.BLOCK)]
-    parts = blocks.per_block(docs.select(*columns), needs, model.terms, _estimate(_settings(model)), "term string, sums array<double>")
-    return blocks.summed(parts, "term", 2 * model.k + 3, "sums")
+def _blocked(docs: DataFrame) -> DataFrame:
+    return docs.select(*[c for c in docs.columns if c in (blocks.TERMS, blocks.VALUES, blocks.BLOCK)])
 
 
 def _start(df_terms: DataFrame, k: int, seed: int) -> DataFrame:
@@ -131,9 +123,16 @@ def _start(df_terms: DataFrame, k: int, seed: int) -> DataFrame:
     return df_terms.select("term", F.array(*[noise(j) for j in range(k)]).alias("weights"))
 
 
-def _totals(terms: DataFrame, k: int) -> tuple[float, ...]:
-    """Sums per topic: ``k`` numbers."""
-    row = terms.agg(*[F.coalesce(F.sum(F.col("weights")[i]), F.lit(0.0)).alias(f"_{i}") for i in range(k)]).first()
+def _totals(parts: DataFrame, k: int) -> tuple[float, ...]:
+    """Sums per topic: ``k`` numbers. A row may hold the weights of one term or of many."""
+    def run(batches):
+        total = np.zeros(k)
+        for batch in batches:
+            total += np.asarray(batch.column(0).flatten(), float).reshape(-1, k).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([blocks.lists_of(total[None, :])], names=["weights"])
+
+    row = parts.select("weights").mapInArrow(run, "weights array<double>").agg(
+        *[F.coalesce(F.sum(F.get("weights", F.lit(i))), F.lit(0.0)) for i in range(k)]).first()
     return tuple(float(x) for x in row)
 
 
@@ -172,43 +171,39 @@ def fit_topics(df: DataFrame, tokens_col: str = "tokens", *, k: int = 100, passe
         prior, terms = None, _start(known, k, seed)
     terms = stored(terms, "topics-start")
     model = TopicModel(terms, (alpha or 1 / k,) * k, eta or 1 / k, terms.count(), _totals(terms, k), inner, binary)
-    docs = stored(blocks.dealt(docs, size), "topics-blocks")
-    needs = stored(blocks.needed(docs, terms), "topics-needs")
+    packed = blocks.pack(_blocked(blocks.dealt(docs, size)), terms, k).kept()
+    if prior is not None and decay > 0:
+        prior = _part_prior(packed, prior, k)
     batches = max(1, round(1 / subsample))
     for step in range(passes * batches):
-        if batches == 1:
-            found = _sums(docs, needs, model)
-        else:
-            def now(block):
-                return F.pmod(F.col(block), F.lit(batches)) == step % batches
-
-            found = _sums(docs.where(now("_block")), needs.where(now("_of")), model)
-        found = stored(found, "topics-sums")
-        stats = found.where("term is null").select("sums").first()
+        rate = 1.0 if batches == 1 else (1 + step) ** -0.5
+        now = packed if batches == 1 else packed.where(lambda block: F.pmod(F.col(block), F.lit(batches)) == step % batches)
+        weights, stats = blocks.passed(now, _estimate(_settings(model)), k, _mixed(rate, batches, k), "topics-sums", prior if decay > 0 else None)
         if stats is None:  # nothing to learn from in this share
             continue
-        stats, rate = list(stats["sums"]), 1.0 if batches == 1 else (1 + step) ** -0.5
-        sums = found.where("term is not null").select("term", F.slice("sums", 1, k).alias("sums"))
-        model = replace(_updated(model, sums, stats, prior, start, decay, rate, batches),
-                        alpha=_learned(model.alpha, stats, k) if learn_alpha else model.alpha,
-                        log_perplexities=(*model.log_perplexities, -stats[0] / stats[1]))
-    return model
+        packed = replace(packed, weights=weights)
+        exact = rate == 1.0 and batches == 1 and (prior is None or decay == 0)
+        totals = tuple(float(x) for x in stats[3 + k: 3 + 2 * k]) if exact else _totals(weights, k)
+        model = replace(model, totals=totals, alpha=_learned(model.alpha, list(stats), k) if learn_alpha else model.alpha,
+                        log_perplexities=(*model.log_perplexities, float(-stats[0] / stats[1])))
+    packed.rows.unpersist()
+    return replace(model, terms=packed.terms())
 
 
-def _updated(model: TopicModel, sums: DataFrame, stats: list[float], prior: DataFrame | None, start: TopicModel | None,
-             decay: float, rate: float, batches: int) -> TopicModel:
-    """The table after a step: ``(1 - rate) · old + rate · (batches · sums + prior)``."""
-    k = model.k
-    if rate == 1.0 and batches == 1 and (prior is None or decay == 0):
-        return replace(model, terms=sums.select("term", F.col("sums").alias("weights")), totals=tuple(stats[3 + k: 3 + 2 * k]))
-    zero = F.array_repeat(F.lit(0.0), k)
-    joined = model.terms.join(sums, "term", "left")
-    new = F.transform(F.coalesce("sums", zero), lambda s: s * batches)
-    if prior is not None and decay > 0:
-        joined = joined.join(prior, "term", "left")
-        new = F.zip_with(new, F.coalesce("_prior", zero), lambda s, p: s + p)
-    terms = stored(joined.select("term", F.zip_with("weights", new, lambda w, s: w * (1 - rate) + s * rate).alias("weights")), "topics-terms")
-    return replace(model, terms=terms, totals=_totals(terms, k))
+def _part_prior(packed: blocks.Packed, prior: DataFrame, k: int) -> DataFrame:
+    """The weights of the prior in the order of the parts; zeros for terms that it lacks."""
+    places = packed.names.select("_part", F.posexplode("_names").alias("_at", "term"))
+    weight = F.coalesce("_prior", F.array_repeat(F.lit(0.0), k))
+    lists = places.join(prior, "term", "left").groupBy("_part").agg(F.sort_array(F.collect_list(F.struct("_at", weight.alias("w")))).alias("_p"))
+    return stored(lists.select("_part", F.flatten("_p.w").alias("weights")), "topics-prior")
+
+
+def _mixed(rate: float, batches: int, k: int):
+    """The weights after a step: ``(1 - rate) · old + rate · (batches · sums + prior)``."""
+    def new(weights: np.ndarray, sums: np.ndarray, held: np.ndarray, prior: np.ndarray | float = 0.0) -> np.ndarray:
+        return weights * (1 - rate) + (sums * batches + prior) * rate
+
+    return new
 
 
 def probabilities(model: TopicModel) -> DataFrame:
@@ -228,14 +223,13 @@ def top_words(model: TopicModel, n: int = 20) -> DataFrame:
 def _share_rows(model: dict, schema: T.StructType):
     alpha = np.array(model["alpha"])
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        theta = np.tile(alpha / alpha.sum(), (left.num_rows, 1))
-        if left.num_rows and right.num_rows:
-            phi = _weights(right, model)
-            place, n, doc = blocks.entries(left, pa.concat_arrays(right.column("term").chunks))
-            for at, here, local, starts in blocks.chunks(doc):
-                theta[here] = _shares(phi[place[at]], n[at], starts, local, alpha, model["inner"])[0]
-        return pa.table([*[left.column(c) for c in schema.names[:-1]], blocks.lists_of(theta)], names=schema.names)
+    def run(rows: pa.Table, weights: np.ndarray, entries) -> pa.Table:
+        theta = np.tile(alpha / alpha.sum(), (rows.num_rows, 1))
+        phi = _phi(weights, model)
+        place, n, doc = entries
+        for at, here, local, starts in blocks.chunks(doc):
+            theta[here] = _shares(phi[place[at]], n[at], starts, local, alpha, model["inner"])[0]
+        return pa.table([*[rows.column(c) for c in schema.names[:-1]], blocks.lists_of(theta)], names=schema.names)
 
     return run
 
@@ -246,16 +240,16 @@ def topic_shares(model: TopicModel, df: DataFrame, id_col: str, *extra: str, tok
     docs = stored(_documents(df, tokens_col, model.binary, keep, 0), "topics-new")
     docs = blocks.dealt(docs, blocks.entry_count(docs))
     schema = T.StructType([*[df.schema[c] for c in keep], T.StructField("shares", T.ArrayType(T.DoubleType()))])
-    out = blocks.per_block(docs, blocks.needed(docs, model.terms), model.terms, _share_rows(_settings(model), schema), schema)
+    out = blocks.per_block(blocks.pack(docs, model.terms, model.k), _share_rows(_settings(model), schema), schema)
     return out.select(*keep, "shares", argmax(F.col("shares")).alias("topic"))
 
 
 def log_perplexity(model: TopicModel, df: DataFrame, tokens_col: str = "tokens") -> float:
     """Minus the mean log-likelihood of the known tokens, from shares estimated on the same tokens."""
     docs = stored(_documents(df, tokens_col, model.binary, [], 0), "topics-new")
-    docs = stored(blocks.dealt(docs, blocks.entry_count(docs)), "topics-new")
-    stats = _sums(docs, blocks.needed(docs, model.terms), model).where("term is null").first()
-    return math.nan if stats is None else -stats["sums"][0] / stats["sums"][1]
+    packed = blocks.pack(_blocked(blocks.dealt(docs, blocks.entry_count(docs))), model.terms, model.k)
+    _, stats = blocks.passed(packed, _estimate(_settings(model)), model.k, lambda weights, *_: weights, "topics-sums")
+    return math.nan if stats is None else float(-stats[0] / stats[1])
 
 
 # ---- time slices ---------------------------------------------------------------------------
