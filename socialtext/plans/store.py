@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -11,6 +12,8 @@ from socialtext.operators import merge
 from socialtext.session import stored
 
 BUCKET = "key_bucket"
+#: Buckets that a scan names one by one.
+LISTED = 1000
 
 
 def read_stored(spark: SparkSession, path: str) -> DataFrame | None:
@@ -48,10 +51,18 @@ class KeyedStore:
         """The stored rows of the buckets of the batch: a partition filter of the scan. The numbers of the buckets are counted ones."""
         numbers = sorted(r[0] for r in batch.select(BUCKET).distinct().collect())
         known = read_stored(batch.sparkSession, self.path)
-        return (None if known is None else known.where(F.col(BUCKET).isin(numbers))), numbers
+        if known is None:
+            return None, numbers
+        if len(numbers) <= LISTED:
+            return known.where(F.col(BUCKET).isin(numbers)), numbers
+        touched = batch.sparkSession.createDataFrame(pd.DataFrame({BUCKET: numbers}), f"{BUCKET} long")
+        inside = known.where(F.col(BUCKET).between(numbers[0], numbers[-1]))
+        return inside.join(F.broadcast(touched), BUCKET, "left_semi").select(*known.columns), numbers
 
     def _write(self, rows: DataFrame, mode: str) -> None:
-        # A task writes its own part of each bucket: no shuffle sends a hot bucket to one task.
+        # A task writes its own part of each bucket: no shuffle sends a hot bucket to one task. The number of buckets of a span grows
+        # with the store and each has at most so many keys, so there a bucket is one file, not one per task.
+        rows = rows.repartition(BUCKET) if self.span else rows
         rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.path)
 
     def new_rows(self, rows: DataFrame, order: list[Column]) -> DataFrame:
