@@ -15,6 +15,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from socialtext.functions.arrays import argmax, counted, exploded
@@ -261,17 +262,47 @@ def slice_topics(model: TopicModel, df: DataFrame, slice_col: str, tokens_col: s
     return means.select(slice_col, F.posexplode("_m").alias("topic", "share"))
 
 
+def _word_sums(model: dict, slice_col: str, tokens_col: str, schema: T.StructType):
+    """Of one block: the topic shares of its documents summed over the tokens, a row per slice and word."""
+    shares = _share_rows(model, T.StructType([T.StructField("shares", T.ArrayType(T.DoubleType()))]))
+    k = len(model["alpha"])
+
+    def run(rows: pa.Table, weights: np.ndarray, entries) -> pa.Table:
+        theta = np.asarray(shares(rows, weights, entries).column("shares").combine_chunks().flatten(), float).reshape(-1, k)
+        lists, slices = (rows.column(c).combine_chunks() for c in (tokens_col, slice_col))
+        words, slices = lists.flatten().dictionary_encode(), slices.dictionary_encode()
+        row = np.repeat(np.arange(len(lists)), np.asarray(pc.fill_null(pc.list_value_length(lists), 0)))
+        of, word = (np.asarray(pc.fill_null(x.indices, len(x.dictionary)), np.int64) for x in (slices, words))  # the last number is null
+        row, word = row[word < len(words.dictionary)], word[word < len(words.dictionary)]
+        width = len(words.dictionary) + 1
+        held, at = np.unique(of[row] * width + word, return_inverse=True)
+        sums = np.stack([np.bincount(at, weights=theta[row, j], minlength=len(held)) for j in range(k)], axis=1)
+        keys = [x.dictionary.take(pa.array(n, mask=n == len(x.dictionary))) for x, n in ((slices, held // width), (words, held % width))]
+        return pa.table([*keys, blocks.lists_of(sums)], names=schema.names)
+
+    return run
+
+
 def slice_topic_words(model: TopicModel, df: DataFrame, slice_col: str, tokens_col: str = "tokens") -> DataFrame:
-    """``slice, topic, word, weight``: topic words estimated anew in every slice from ``Σ p(topic | doc) · tf``."""
-    docs = topic_shares(model, df, slice_col, tokens_col, tokens_col=tokens_col)
-    words = exploded(docs, tokens_col, "word", slice_col, "shares")
+    """``slice, topic, word, weight``: topic words estimated anew in every slice from ``Σ p(topic | doc) · tf``.
+
+    A block sends one row per slice and word that it holds, not one per token. Their sums are stored: shares are estimated once,
+    however often the result is read.
+    """
     k = model.k
-    # One partial sum per topic and word: the shares array is summed place by place, not exploded per token.
-    sums = words.groupBy(slice_col, "word").agg(*[F.sum(F.col("shares")[i]).alias(f"_{i}") for i in range(k)])
-    long = sums.select(slice_col, "word", F.posexplode(F.array(*[F.col(f"_{i}") for i in range(k)])).alias("topic", "mass"))
-    totals = long.groupBy(slice_col, "topic").agg(F.sum("mass").alias("_total"))
-    return (long.join(totals, [slice_col, "topic"])
-            .select(slice_col, "topic", "word", (F.col("mass") / F.col("_total")).alias("weight")))
+    docs = stored(_documents(df, tokens_col, model.binary, [slice_col, tokens_col], 0), "topics-new")
+    docs = blocks.dealt(docs, blocks.entry_count(docs))
+    schema = T.StructType([df.schema[slice_col], T.StructField("word", df.schema[tokens_col].dataType.elementType), T.StructField("_sums", T.ArrayType(T.DoubleType()))])
+    found = blocks.per_block(blocks.pack(docs, model.terms, k), _word_sums(_settings(model), slice_col, tokens_col, schema), schema)
+
+    def summed(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.array(*[F.sum(F.get("_sums", F.lit(i))) for i in range(k)]).alias("_sums"))
+
+    sums = stored(summed(found, slice_col, "word"), "topics-slice-words")
+    totals = stored(summed(sums, slice_col), "topics-slice-totals").withColumnRenamed("_sums", "_totals")
+    return (sums.join(F.broadcast(totals), slice_col)  # a row per slice
+            .select(slice_col, "word", "_totals", F.posexplode("_sums").alias("topic", "_mass"))
+            .select(slice_col, "topic", "word", (F.col("_mass") / F.get("_totals", F.col("topic"))).alias("weight")))
 
 
 def chained_slices(df: DataFrame, slice_col: str, tokens_col: str = "tokens", *, decay: float = 0.5, **fit) -> dict:
@@ -298,15 +329,19 @@ def chained_words(models: dict, slice_col: str = "slice") -> DataFrame:
 
 
 def slice_drift(slice_words: DataFrame, slice_col: str) -> DataFrame:
-    """``slice, topic, similarity``: cosine of a topic's word weights with those one slice earlier."""
-    later = slice_words.select(F.col(slice_col).alias("slice"), "topic", "word", F.col("weight").alias("w1"))
-    earlier = slice_words.select((F.col(slice_col) + 1).alias("slice"), "topic", "word", F.col("weight").alias("w0"))
-    both = later.join(earlier, ["slice", "topic", "word"], "full")
-    sums = both.groupBy("slice", "topic").agg(
-        F.sum(F.col("w1") * F.col("w0")).alias("dot"), F.sum(F.col("w1") * F.col("w1")).alias("a"),
-        F.sum(F.col("w0") * F.col("w0")).alias("b"))
-    return sums.filter("a is not null and b is not null").select(
-        "slice", "topic", (F.coalesce("dot", F.lit(0.0)) / F.sqrt(F.col("a") * F.col("b"))).alias("similarity"))
+    """``slice, topic, similarity``: cosine of a topic's word weights with those one slice earlier.
+
+    A topic has a word once in a slice. The slices of a word meet in one shuffle; squares are summed apart, a number per slice and topic.
+    """
+    rows = slice_words.select(F.col(slice_col).alias("slice"), "topic", "word", F.col("weight").alias("w"))
+    slices = Window.partitionBy("topic", "word").orderBy("slice")
+    earlier = F.when(F.lag("slice").over(slices) + 1 == F.col("slice"), F.lag("w").over(slices))
+    sums = (rows.withColumn("_w0", F.when(F.col("word").isNotNull(), earlier)).groupBy("slice", "topic")
+            .agg(F.sum(F.col("w") * F.col("_w0")).alias("dot"), F.sum(F.col("w") * F.col("w")).alias("a")))
+    sums = stored(sums.where("a is not null"), "topics-drift")
+    before = sums.select((F.col("slice") + 1).alias("_slice"), F.col("topic").alias("_topic"), F.col("a").alias("b"))
+    return (sums.join(F.broadcast(before), F.col("slice").eqNullSafe(F.col("_slice")) & F.col("topic").eqNullSafe(F.col("_topic")))
+            .select("slice", "topic", (F.coalesce("dot", F.lit(0.0)) / F.sqrt(F.col("a") * F.col("b"))).alias("similarity")))
 
 
 # ---- choice of settings --------------------------------------------------------------------

@@ -54,6 +54,20 @@ def test_chained_slices(docs):
     assert topics.slice_drift(words, "slice").count() == 4
 
 
+def test_slice_words_are_summed_once(spark):
+    rows = [(0, ["a", "b", "b", None]), (0, ["a", "c"]), (1, ["a", "b"]), (1, None), (None, ["a"]), (3, ["a"])]
+    docs = spark.createDataFrame(rows, "slice int, tokens array<string>")
+    words = topics.slice_topic_words(topics.fit_topics(docs, k=1), docs, "slice")
+    got = {(r["slice"], r["word"]): r["weight"] for r in words.collect()}
+    assert got == pytest.approx({(0, "a"): 0.4, (0, "b"): 0.4, (0, "c"): 0.2, (1, "a"): 0.5, (1, "b"): 0.5, (3, "a"): 1.0})
+    drift = topics.slice_drift(words, "slice")
+    assert [(r["slice"], r["similarity"]) for r in drift.collect()] == [(1, pytest.approx(0.4 / (0.36 * 0.5) ** 0.5))]
+    # Shares are not estimated again, and no join deals the words by slice and topic.
+    plan = words._jdf.queryExecution().toString()
+    assert "CoGroups" not in plan and "SortMergeJoin" not in plan
+    assert "FullOuter" not in drift._jdf.queryExecution().toString()
+
+
 def test_empty_tables(spark, docs):
     nothing = docs.limit(0)
     model = topics.fit_topics(nothing, k=2)
