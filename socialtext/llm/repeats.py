@@ -4,15 +4,18 @@ A byte goes when a string of 50 bytes that covers it also starts in a document w
 on the input. Every such string contains an anchor: a string of 32 bytes whose hash is the least of its window of 19
 positions, chosen alike wherever the string occurs. Around an anchor lie all strings that it stands for, its context.
 
-1. Every task sends, once per anchor, a hash of the anchor and of its context. Anchors met in several places are noted in
-   bit tables of fixed size (``2 ** FILTER_BITS`` bits each): those with one context everywhere, those with several, and
-   those met very often. False hits of the tables cost time only.
-2. A second scan deals the noted anchors to tasks. With one context, every document but the smallest loses the whole context.
+1. Every task sends, once per anchor and context, hashes of the anchor, of its context and of the ``_NEAR`` bytes on either
+   side. Anchors met in several places are noted in bit tables of fixed size (``2 ** FILTER_BITS`` bits each): those with one
+   context everywhere, those with several, and those met very often; a fourth table notes anchor and bytes of a side that were
+   met twice. Of the 18 bytes that a string has around the anchor nine or more are on one side, so an occurrence without a
+   noted side has no string in common with another one. False hits of the tables cost time only.
+2. A second scan deals the noted occurrences to tasks. With one context, every document but the smallest loses the whole context.
 3. Where contexts differ around the same anchor, a task concatenates them, each once, and builds their suffix array by
    linear grouping (the anchor itself, equal in all of them, is one symbol). Neighbours in the array that agree in a whole
    string form the groups of equal strings, and the smallest document of a group decides.
 4. Anchors met more than ``OFTEN`` times are not gathered: their smallest documents come from aggregates, their contexts are
    split into blocks with a suffix array each, and the groups of the blocks are brought together by the strings themselves.
+   A task sends the occurrences of a context as one row, so a large group of copies makes few rows.
 
 Null texts are empty. Documents with one ``doc_id`` do not remove from each other; a null ``doc_id`` neither removes nor
 loses anything. Repeated rows get equal results; other columns are not read; an empty table gives an empty result.
@@ -37,6 +40,10 @@ from socialtext.llm.tables import bucket_of, prepare, stored
 LENGTH = 50
 ANCHOR = 32
 FILTER_BITS = 26
+#: Bytes on a side of the anchor, one of which at least any string has in full.
+_NEAR = (LENGTH - ANCHOR + 1) // 2
+#: Bits of an anchor that are sent besides its part.
+_KEY_BITS = 24
 #: Anchors that a task holds before it sends them on.
 _HELD = 1 << 20
 #: Contexts whose suffix array is built at once (more, if one anchor has more), and the most of one anchor in a block.
@@ -61,12 +68,15 @@ def _slide(values: np.ndarray, width: int, best) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR):
-    """``text number, position, start and end of the context, hash, hash of the context`` of every anchor of a piece."""
+    """``text number, position, start and end of the context, hash, hash of the context, hashes of the near sides`` of every anchor of a piece.
+
+    The last are 8 bits for the bytes before the anchor and, below them, 8 for those after it.
+    """
     window = length - anchor + 1
     n = len(data)
     empty = np.zeros(0, np.int64)
     if n < length:
-        return empty, empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
+        return empty, empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64), empty.astype(np.uint16)
     spans = Spans(data)
     at = np.arange(n - anchor + 1)
     values = spans.hash(at, at + anchor)
@@ -84,7 +94,10 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, anchor:
     low = np.maximum(position - reach, offsets[text])
     high = np.minimum(position + anchor + reach, offsets[text + 1])
     context = mix(spans.hash(low, high) + (position - low).astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
-    return text, position, low, high, values[position], context
+    before = spans.hash(np.maximum(position - _NEAR, low), position) >> np.uint64(56)
+    after = spans.hash(position + anchor, np.minimum(position + anchor + _NEAR, high)) >> np.uint64(56)
+    # The least of a window is a small number: mixed once more, anchors fill parts and tables evenly.
+    return text, position, low, high, mix(values[position]), context, (before << np.uint64(8) | after).astype(np.uint16)
 
 
 def _pack(values: np.ndarray, ordered: bool = False) -> bytes:
@@ -114,34 +127,40 @@ def _parts(docs: DataFrame, bits: int) -> int:
     return min(18, bits - 4, max(8, (size // _PART_BYTES).bit_length()))
 
 
+def _near_slots(key: np.ndarray, sides: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places, within the part, of the key of an anchor with the bytes before it and with those after it."""
+    key = key.astype(np.uint64) << np.uint64(9)
+    return tuple((mix(key | half.astype(np.uint64) << np.uint64(1) | np.uint64(side)) >> np.uint64(64 - bits)).astype(np.int64)
+                 for side, half in enumerate((sides >> np.uint16(8), sides & np.uint16(255))))
+
+
 def _noted(docs: DataFrame, bits: int, part_bits: int, often: int) -> list[np.ndarray]:
-    """The bit tables: anchors met twice or more with one context, with several, and very often."""
+    """The bit tables: anchors met twice or more with one context, with several, and very often; anchors with a near side met twice."""
     rest = np.uint64(64 - part_bits)
 
     def collect(batches):
-        held: list[np.ndarray] = []
+        held: list[tuple] = []
         size = 0
 
         def send():
-            pairs = np.concatenate(held)
-            pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
-            first = np.flatnonzero(np.concatenate([[True], pairs[1:, 0] != pairs[:-1, 0]]))
-            count = np.diff(np.append(first, len(pairs)))
-            key = pairs[first, 0]
-            # Within its part: 32 bits of the anchor, 32 of the context, the count and whether contexts differ.
-            near = ((key >> (rest - np.uint64(32))) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            around = (pairs[first, 1] >> np.uint64(32)).astype(np.uint32)
-            flag = _code(count) | (128 * (pairs[first, 1] != pairs[first + count - 1, 1])).astype(np.uint8)
-            part = (key >> rest).astype(np.int64)
-            cut = np.searchsorted(part, np.arange((1 << part_bits) + 1))
+            value, context, sides = (np.concatenate([h[i] for h in held]) for i in range(3))
+            order = np.lexsort((context, value))
+            value, context, sides = value[order], context[order], sides[order]
+            first = np.flatnonzero(np.concatenate([[True], (value[1:] != value[:-1]) | (context[1:] != context[:-1])]))
+            code = _code(np.diff(np.append(first, len(value))))
+            # Within its part: _KEY_BITS of the anchor, 32 of the context, the near sides and the count.
+            near = ((value[first] >> (rest - np.uint64(_KEY_BITS))) & np.uint64((1 << _KEY_BITS) - 1)).astype(np.uint32)
+            around = (context[first] >> np.uint64(32)).astype(np.uint32)
+            sides = sides[first]
+            cut = np.searchsorted((value[first] >> rest).astype(np.int64), np.arange((1 << part_bits) + 1))
             filled = np.flatnonzero(np.diff(cut))
-            return pa.RecordBatch.from_arrays([pa.array(filled.astype(np.int32)), pa.array([pickle.dumps((_pack(near[x], True), _pack(around[x]), flag[x].tobytes())) for x in (slice(cut[p], cut[p + 1]) for p in filled)], pa.binary())], ["part", "data"])
+            return pa.RecordBatch.from_arrays([pa.array(filled.astype(np.int32)), pa.array([pickle.dumps((_pack(near[x], True), _pack(around[x]), _pack(sides[x]), code[x].tobytes())) for x in (slice(cut[p], cut[p + 1]) for p in filled)], pa.binary())], ["part", "data"])
 
         for batch in batches:
             for _, _, data, offsets in pieces(batch):
-                _, _, _, _, value, context = anchors(data, offsets)
-                held.append(np.stack([value, context], 1))
-                size += len(value)
+                found = anchors(data, offsets)[4:]
+                held.append(found)
+                size += len(found[0])
                 if size >= _HELD:
                     yield send()
                     held, size = [], 0
@@ -150,45 +169,62 @@ def _noted(docs: DataFrame, bits: int, part_bits: int, often: int) -> list[np.nd
 
     def note(frame):
         blobs = [pickle.loads(d) for d in frame["data"]]
-        key = np.concatenate([_unpack(b[0], np.uint32, True) for b in blobs])
-        context = np.concatenate([_unpack(b[1], np.uint32) for b in blobs])
-        flag = np.concatenate([np.frombuffer(b[2], np.uint8) for b in blobs])
+        key, context, sides = (np.concatenate([_unpack(b[i], kind, i == 0) for b in blobs]) for i, kind in enumerate((np.uint32, np.uint32, np.uint16)))
+        times = _decode(np.concatenate([np.frombuffer(b[3], np.uint8) for b in blobs]))
         order = np.lexsort((context, key))
-        key, context, flag = key[order], context[order], flag[order]
+        key, context, sides, times = key[order], context[order], sides[order], times[order]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         last = np.append(first[1:], len(key)) - 1
-        count = np.add.reduceat(_decode(flag & 127), first)
-        mixed = (context[first] != context[last]) | (np.bitwise_or.reduceat(flag, first) > 127)
-        slot = (key[first] >> np.uint32(32 - (bits - part_bits))).astype(np.int64)
+        count = np.add.reduceat(times, first)
+        mixed = context[first] != context[last]
+        shared, near = np.zeros(len(key), bool), np.zeros(1 << (bits - part_bits), bool)
+        several = np.flatnonzero(np.repeat(count > 1, last - first + 1))
+        slots = _near_slots(key[several], sides[several], bits - part_bits)
+        for half, slot in zip((sides[several] >> np.uint16(8), sides[several] & np.uint16(255)), slots):
+            _, at = np.unique(key[several].astype(np.uint64) << np.uint64(8) | half, return_inverse=True)
+            twice = np.bincount(at, weights=times[several])[at] > 1
+            near[slot[twice]] = True
+            shared[several[twice]] = True
+        hot = np.add.reduceat(times * shared, first) > often
+        place = (key[first] >> np.uint32(_KEY_BITS - (bits - part_bits))).astype(np.int64)
         tables = []
-        for which in ((count > 1) & ~mixed, mixed, count > often):
+        for which in ((count > 1) & ~mixed, mixed, hot):
             table = np.zeros(1 << (bits - part_bits), bool)
-            table[slot[which]] = True
+            table[place[which]] = True
             tables.append(np.packbits(table).tobytes())
-        return pd.DataFrame([(int(frame["part"].iloc[0]), *tables)], columns=["part", "one", "several", "often"])
+        return pd.DataFrame([(int(frame["part"].iloc[0]), *tables, np.packbits(near).tobytes())], columns=["part", *names])
 
+    names = ["one", "several", "often", "near"]
     sent = docs.select("text").mapInArrow(collect, "part int, data binary")
-    found = sent.groupBy("part").applyInPandas(note, "part int, one binary, several binary, often binary")
+    found = sent.groupBy("part").applyInPandas(note, "part int, " + ", ".join(f"{c} binary" for c in names))
     width = 1 << (bits - part_bits - 3)
-    tables = [np.zeros(width << part_bits, np.uint8) for _ in range(3)]
+    tables = [np.zeros(width << part_bits, np.uint8) for _ in names]
     for row in found.collect():  # 2 ** bits bits in each column, whatever the input
         at = row["part"] * width
-        for table, name in zip(tables, ("one", "several", "often")):
+        for table, name in zip(tables, names):
             table[at: at + width] = np.frombuffer(row[name], np.uint8)
     return tables
 
 
-def _noted_anchors(batch: pa.RecordBatch, tables: list[np.ndarray], bits: int, often: bool):
+def _marked(table: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (table[slot >> 3] & (128 >> (slot & 7)).astype(np.uint8)) > 0
+
+
+def _noted_anchors(batch: pa.RecordBatch, tables: list[np.ndarray], bits: int, part_bits: int, often: bool):
     """Per piece the noted anchors that are (or are not) met often: ``doc, mark, place, key, anchor, sides`` as arrays.
 
     ``sides`` is None for an anchor with one context, else the bytes before and after the anchor and the number before.
     """
     ids, marks = batch.column("doc_id").cast(pa.int64()).to_numpy(), batch.column("mark").to_numpy()
     for first, _, data, offsets in pieces(batch):
-        text, position, low, high, value, context = anchors(data, offsets)
+        text, position, low, high, value, context, sides = anchors(data, offsets)
         slot = (value >> np.uint64(64 - bits)).astype(np.int64)
-        one, several, hot = ((t[slot >> 3] & (128 >> (slot & 7)).astype(np.uint8)) > 0 for t in tables)
-        take = np.flatnonzero((one | several) & (hot == often))
+        one, several, hot = (_marked(t, slot) for t in tables[:3])
+        maybe = np.flatnonzero((one | several) & (hot == often))
+        part = (value[maybe] >> np.uint64(64 - part_bits)).astype(np.int64) << (bits - part_bits)
+        key = (value[maybe] >> np.uint64(64 - part_bits - _KEY_BITS)) & np.uint64((1 << _KEY_BITS) - 1)
+        before, after = (_marked(tables[3], part | s) for s in _near_slots(key, sides[maybe], bits - part_bits))
+        take = maybe[(several[maybe] & (before | after)) | (one[maybe] & before & after)]
         text, position, low, high, value, context = (x[take] for x in (text, position, low, high, value, context))
         raw = data.tobytes()
         sides = [(raw[a:p] + raw[p + ANCHOR: b], p - a) if d else None
@@ -309,7 +345,7 @@ def _gathered(docs: DataFrame, tables, bits: int, part_bits: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(filled.astype(np.int32)), pa.array(blobs, pa.binary())], ["part", "data"])
 
         for batch in batches:
-            for found in _noted_anchors(batch, shared.value, bits, False):
+            for found in _noted_anchors(batch, shared.value, bits, part_bits, False):
                 held.append((found[0], found[1], found[2].astype(np.int32), *found[3:]))
                 size += len(found[0])
                 if size >= _HELD // 2:
@@ -352,19 +388,37 @@ def _gathered(docs: DataFrame, tables, bits: int, part_bits: int) -> DataFrame:
     return docs.mapInArrow(deal, "part int, data binary").groupBy("part").applyInPandas(solve, _SPAN)
 
 
-def _frequent(docs: DataFrame, tables, bits: int, block: int) -> DataFrame:
+def _frequent(docs: DataFrame, tables, bits: int, part_bits: int, block: int) -> DataFrame:
     """The same for anchors met very often, which no task gathers."""
     shared = docs.sparkSession.sparkContext.broadcast(tables)
-    names = ["doc_id", "mark", "place", "key", "anchor", "sides", "before"]
+    names = ["key", "anchor", "sides", "before", "first_doc", "data"]
 
     def emit(batches):
+        held: list[tuple] = []
+        size = 0
+
+        def send():
+            doc, mark, place, key, anchor = (np.concatenate([h[i] for h in held]) for i in range(5))
+            sides = [x for h in held for x in h[5]]
+            order = np.lexsort((doc, key))
+            first = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
+            new, cut = order[first], np.append(first, len(key))
+            data = [pickle.dumps([_pack(x[order[a:b]]) for x in (doc, mark, place)]) for a, b in zip(cut[:-1], cut[1:])]
+            return pa.RecordBatch.from_arrays([pa.array(key[new].view(np.int64)), pa.array(anchor[new].view(np.int64)), pa.array([sides[r] and sides[r][0] for r in new], pa.binary()),
+                                               pa.array([sides[r] and sides[r][1] for r in new], pa.int32()), pa.array(doc[new]), pa.array(data, pa.binary())], names=names)
+
         for batch in batches:
-            for doc, mark, place, key, anchor, sides in _noted_anchors(batch, shared.value, bits, True):
-                yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(mark), pa.array(place.astype(np.int32)), pa.array(key.view(np.int64)), pa.array(anchor.view(np.int64)),
-                                                  pa.array([s and s[0] for s in sides], pa.binary()), pa.array([s and s[1] for s in sides], pa.int32())], names=names)
+            for found in _noted_anchors(batch, shared.value, bits, part_bits, True):
+                held.append((found[0], found[1], found[2].astype(np.int32), *found[3:]))
+                size += len(found[0])
+                if size >= _HELD // 2:
+                    yield send()
+                    held, size = [], 0
+        if size:
+            yield send()
 
-    met = stored(docs.mapInArrow(emit, "doc_id long, mark short, place int, key long, anchor long, sides binary, before int"), "repeat-frequent")
-    contexts = stored(met.groupBy("key").agg(F.min("doc_id").alias("first_doc"), F.min("anchor").alias("anchor"), F.first("sides").alias("sides"), F.first("before").alias("before")), "repeat-contexts")
+    met = stored(docs.mapInArrow(emit, "key long, anchor long, sides binary, before int, first_doc long, data binary"), "repeat-frequent")
+    contexts = stored(met.groupBy("key").agg(F.min("first_doc").alias("first_doc"), F.min("anchor").alias("anchor"), F.first("sides").alias("sides"), F.first("before").alias("before")), "repeat-contexts")
     mixed = contexts.where("sides is not null")
     sizes = mixed.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
     known = mixed.join(sizes, "anchor").withColumn("block", F.pmod(F.xxhash64("key"), F.ceil(F.col("n") / block)))
@@ -385,8 +439,15 @@ def _frequent(docs: DataFrame, tables, bits: int, block: int) -> DataFrame:
     over = stored(strings.groupBy("anchor", "string").agg(F.min("least").alias("over")), "repeat-over")
     masks = (strings.join(over, ["anchor", "string"]).where("over < first_doc").groupBy("key").agg(F.bit_or(F.expr("shiftleft(1, offset)")).alias("mask")))
     decided = stored(contexts.select("key", "first_doc").join(masks, "key", "left"), "repeat-decided")
-    mask = F.when(F.col("doc_id") > F.col("first_doc"), F.lit(-1)).otherwise(F.coalesce("mask", F.lit(0)))
-    return met.select("doc_id", "mark", "place", "key").join(decided, "key").select("doc_id", "mark", "place", mask.alias("mask")).where("mask <> 0")
+
+    def spread(batches):
+        for batch in batches:
+            for data, first, mask in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                doc, mark, place = (_unpack(x, kind) for x, kind in zip(pickle.loads(data), (np.int64, np.int16, np.int32)))
+                mask = np.where(doc > first, -1, mask or 0).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(x[mask != 0]) for x in (doc, mark, place, mask)], names=["doc_id", "mark", "place", "mask"])
+
+    return met.select("key", "data").join(decided, "key").select("data", "first_doc", "mask").mapInArrow(spread, _SPAN)
 
 
 def covered(docs: DataFrame, bits: int = FILTER_BITS, often: int = OFTEN, block: int = _BLOCK) -> DataFrame:
@@ -397,7 +458,7 @@ def covered(docs: DataFrame, bits: int = FILTER_BITS, often: int = OFTEN, block:
     tables = _noted(rows, bits, part_bits, often)
     found = _gathered(rows, tables, bits, part_bits)
     if tables[2].any():
-        found = found.union(_frequent(rows, tables, bits, block))
+        found = found.union(_frequent(rows, tables, bits, part_bits, block))
     return found.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("place", "mask")).alias("spans"))
 
 
@@ -424,6 +485,9 @@ def remove(docs: DataFrame, bits: int = FILTER_BITS, often: int = OFTEN, block:
             out = []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
                 raw = text.encode()
+                if spans is None:
+                    out.append((len(raw), 0, 0, hashlib.sha256(raw).hexdigest(), None))
+                    continue
                 edge = np.zeros(len(raw) + 1, np.int32)
                 reach = LENGTH - ANCHOR
                 for span in spans:
@@ -444,5 +508,6 @@ def remove(docs: DataFrame, bits: int = FILTER_BITS, often: int = OFTEN, block:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), *[pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()))]],
                                              names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes"])
 
-    touched = doubt.where("spans is not null").select("doc_id", "text", "spans").mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_bytes binary")
-    return untouched(rows.join(F.broadcast(hit), "_bucket", "left_anti")).union(untouched(doubt.where("spans is null"))).union(touched)
+    # One join for all rows in doubt: the texts are shuffled once.
+    compared = doubt.select("doc_id", "text", "spans").mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_bytes binary")
+    return untouched(rows.join(F.broadcast(hit), "_bucket", "left_anti")).union(compared)
