@@ -63,6 +63,14 @@ def test_repeats(docs, texts, nothing, often):
     assert repeats.remove(nothing).count() == 0
 
 
+def test_anchors_fill_parts_evenly():
+    data = np.frombuffer(random.Random(5).randbytes(200_000), np.uint8)
+    value, sides = (repeats.anchors(data, np.array([0, len(data)]))[i] for i in (4, 6))
+    # The least hash of a window is small: unmixed, the last quarter of the parts holds next to nothing.
+    assert (np.bincount((value >> np.uint64(62)).astype(int), minlength=4) > len(value) / 5).all()
+    assert len(np.unique(sides)) > len(sides) / 2
+
+
 def test_exact_dedup(docs, texts, nothing):
     got = exact_dedup.with_digest(docs).collect()
     assert len(got) == len(texts) + 2
