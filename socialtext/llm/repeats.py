@@ -26,11 +26,11 @@ from __future__ import annotations
 import hashlib
 import pickle
 import zlib
-from collections import Counter
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from socialtext.llm.numeric import Spans, mix, pieces
@@ -239,21 +239,18 @@ def equal_strings(contexts: list[tuple[int, bytes, int]], length: int = LENGTH,
     up), a byte is its value + 1 and a border is 0; the last symbol is -1. A string of ``length`` bytes around the anchor is
     ``length - anchor + 1`` symbols, offset 0 the one that starts ``length - anchor`` bytes before the anchor.
     """
-    symbols: list[int] = []
-    starts, middle = [], []
-    for number, body, left in contexts:
-        starts.append(len(symbols))
-        symbols.extend(map((1).__add__, body[:left]))
-        middle.append(len(symbols))
-        symbols.append(257 + number)
-        symbols.extend(map((1).__add__, body[left:]))
-        symbols.append(0)
-    symbols.append(-1)
+    sizes, left = np.array([len(body) for _, body, _ in contexts]), np.array([left for _, _, left in contexts])
+    starts = np.cumsum(sizes + 2) - sizes - 2
+    middle = starts + left
+    text = np.zeros(int((sizes + 2).sum()) + 1, np.int32)
+    at = np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+    at += at >= np.repeat(middle, sizes)
+    text[at] = np.frombuffer(b"".join(body for _, body, _ in contexts), np.uint8).astype(np.int32) + 1
+    text[middle], text[-1] = 257 + np.array([number for number, _, _ in contexts]), -1
     reach = length - anchor
-    text, starts, middle = np.array(symbols, np.int32), np.array(starts), np.array(middle)
-    order = np.array(suffix_array(symbols), np.int64)
+    order = np.array(suffix_array(text), np.int64)
     owner = np.searchsorted(starts, order, side="right") - 1
-    stops = np.append(starts[1:], len(symbols) - 1) - 1
+    stops = np.append(starts[1:], len(text) - 1) - 1
     full = (order <= middle[owner]) & (order + reach >= middle[owner]) & (order + reach < stops[owner])
     order, owner = order[full], owner[full]
     if not len(order):
@@ -263,64 +260,68 @@ def equal_strings(contexts: list[tuple[int, bytes, int]], length: int = LENGTH,
     return owner, order - (middle[owner] - reach), np.cumsum(differs)
 
 
-def _shortened(sides: list[tuple[bytes, int]], length: int = LENGTH, anchor: int = ANCHOR) -> list[tuple[bytes, int] | None]:
-    """The contexts of one anchor without the bytes that no other context of it can share; None if no string is left.
-
-    If the k bytes before the anchor are unique among the contexts, no common string has more than k - 1 of them; the same
-    holds after the anchor. This shortens the input of the suffix array and changes none of its common strings.
-    """
-    reach = length - anchor
-    left, right = [before for _, before in sides], [len(body) - before for body, before in sides]
-    open_left = open_right = range(len(sides))
-    for k in (1, 2, 3, 5, 8, 12):
-        cuts = {r: sides[r][0][max(0, sides[r][1] - k): sides[r][1]] for r in open_left}
-        seen = Counter(cuts.values())
-        for r, cut in cuts.items():
-            if seen[cut] == 1:
-                left[r] = min(left[r], k - 1)
-        open_left = [r for r, cut in cuts.items() if seen[cut] > 1]
-        cuts = {r: sides[r][0][sides[r][1]: sides[r][1] + k] for r in open_right}
-        seen = Counter(cuts.values())
-        for r, cut in cuts.items():
-            if seen[cut] == 1:
-                right[r] = min(right[r], k - 1)
-        open_right = [r for r, cut in cuts.items() if seen[cut] > 1]
-    return [(body[before - a: before + b], a) if a + b >= reach else None for (body, before), a, b in zip(sides, left, right)]
+def _shared_bytes(anchor: np.ndarray, body: np.ndarray, begin: np.ndarray, length: np.ndarray, step: int) -> np.ndarray:
+    """How many bytes, from ``begin`` on in steps of 1 or -1 and ``length`` at most, a context has in common with any other one of its anchor."""
+    reach = LENGTH - ANCHOR
+    at = np.arange(reach)
+    inside = at < length[:, None]
+    sides = np.zeros((len(anchor), -(-reach // 4) * 4), ">u2")  # a byte is its value + 1, what lies beyond is 0
+    sides[:, :reach][inside] = body[(begin[:, None] + step * at)[inside]].astype(">u2") + 1
+    words = sides.view(">u8").astype(np.uint64)
+    order = np.lexsort((*words.T[::-1], anchor))
+    same = (sides[order[1:]] == sides[order[:-1]])[:, :reach]
+    common = np.where(same.all(1), reach, same.argmin(1)) * (anchor[order[1:]] == anchor[order[:-1]])
+    most = np.zeros(len(anchor), np.int64)
+    most[order[1:]] = common
+    most[order[:-1]] = np.maximum(most[order[:-1]], common)  # of sorted sides a neighbour has the most in common
+    return np.minimum(most, length)
 
 
 def _masks(anchor: np.ndarray, sides: list[tuple[bytes, int]], first: np.ndarray) -> np.ndarray:
-    """Per context the offsets, as bits, whose string a context with an earlier first document has. Anchors come together."""
+    """Per context the offsets, as bits, whose string a context with an earlier first document has. Anchors come together.
+
+    Bytes that no other context of the anchor shares are in no common string: the suffix arrays do without them, and without contexts
+    that have no string left.
+    """
     mask = np.zeros(len(anchor), np.int64)
-    start = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-    stop = np.append(start[1:], len(anchor))
-    several = np.flatnonzero(stop - start > 1)
+    reach = LENGTH - ANCHOR
+    sizes, left = np.array([len(body) for body, _ in sides]), np.array([before for _, before in sides])
+    body = np.frombuffer(b"".join(x for x, _ in sides), np.uint8)
+    middle = np.cumsum(sizes) - sizes + left
+    a, b = _shared_bytes(anchor, body, middle - 1, left, -1), _shared_bytes(anchor, body, middle, sizes - left, 1)
+    kept = np.flatnonzero(a + b >= reach)
+    edges = np.flatnonzero(np.concatenate([[True], anchor[kept][1:] != anchor[kept][:-1]])) if len(kept) else kept
+    number = np.repeat(np.arange(len(edges)), np.diff(np.append(edges, len(kept))))
     at = 0
-    while at < len(several):
-        rows: list[int] = []
-        contexts = []
-        while at < len(several) and len(rows) < _TOGETHER:
-            g = several[at]
-            short = _shortened(sides[start[g]: stop[g]])
-            rows.extend(start[g] + i for i, x in enumerate(short) if x)
-            contexts.extend((at, *x) for x in short if x)
-            at += 1
-        if not rows:
-            continue
-        numbers = np.array(rows)
-        base = contexts[0][0]
-        owner, offset, group = equal_strings([(n - base, *rest) for n, *rest in contexts])
+    while at < len(edges):
+        stop = max(int(np.searchsorted(edges, edges[at] + _TOGETHER)), at + 1)
+        numbers = kept[edges[at]: edges[stop] if stop < len(edges) else len(kept)]
+        owner, offset, group = equal_strings([(n, sides[r][0][m - x: m + y], x) for n, r, m, x, y in zip(
+            (number[edges[at]: edges[at] + len(numbers)] - at).tolist(), numbers.tolist(), left[numbers].tolist(), a[numbers].tolist(), b[numbers].tolist())])
         least = np.full(group.max(initial=-1) + 1, np.iinfo(np.int64).max)
         np.minimum.at(least, group, first[numbers[owner]])
         early = least[group] < first[numbers[owner]]
         np.bitwise_or.at(mask, numbers[owner[early]], np.int64(1) << offset[early])
+        at = stop
     return mask
 
 
-_SPAN = "doc_id long, mark short, place int, mask int"
+_SPANS = "doc_id long, mark short, spans array<struct<place:int,mask:int>>"
+
+
+def _by_document(doc: np.ndarray, mark: np.ndarray, place: np.ndarray, mask: np.ndarray) -> dict[str, pa.Array]:
+    """One row per document: the offsets in question around its anchors, as a list."""
+    keep = np.flatnonzero(mask)
+    keep = keep[np.lexsort((mark[keep], doc[keep]))]
+    doc, mark, place, mask = doc[keep], mark[keep], place[keep], mask[keep]
+    first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])])) if len(doc) else keep
+    spans = pa.StructArray.from_arrays([pa.array(place, pa.int32()), pa.array(mask, pa.int32())], ["place", "mask"])
+    return {"doc_id": pa.array(doc[first], pa.int64()), "mark": pa.array(mark[first], pa.int16()),
+            "spans": pa.ListArray.from_arrays(pa.array(np.append(first, len(doc)), pa.int32()), spans)}
 
 
 def _gathered(docs: DataFrame, tables, bits: int, part_bits: int) -> DataFrame:
-    """``doc_id, mark, place, mask``: anchors whose strings an earlier document has (mask -1: all of them)."""
+    """``doc_id, mark, spans``: anchors whose strings an earlier document has (mask -1: all of them); a document may come from several tasks."""
 
     def deal(batches):
         held: list[tuple] = []
@@ -354,9 +355,9 @@ def _gathered(docs: DataFrame, tables, bits: int, part_bits: int) -> DataFrame:
         if size:
             yield send()
 
-    def solve(frame):
-        blobs = [pickle.loads(d) for d in frame["data"]]
-        out = []
+    def solve(dealt):
+        blobs = [pickle.loads(d) for d in dealt["data"].to_pylist()]
+        out = [(np.zeros(0, np.int64),) * 4]
         kinds = (np.uint64, np.int64, np.int16, np.int32)
         key, doc, mark, place = (np.concatenate([_unpack(b[0][i], kinds[i], i == 0) for b in blobs]) for i in range(4))
         if len(key):
@@ -364,7 +365,7 @@ def _gathered(docs: DataFrame, tables, bits: int, part_bits: int) -> DataFrame:
             key, doc, mark, place = key[order], doc[order], mark[order], place[order]
             start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             late = doc > np.repeat(doc[start], np.diff(np.append(start, len(key))))
-            out.append(pd.DataFrame({"doc_id": doc[late], "mark": mark[late], "place": place[late], "mask": -1}))
+            out.append((doc[late], mark[late], place[late], np.full(int(late.sum()), -1)))
         key, doc, mark, place = (np.concatenate([_unpack(b[1][i], kinds[i], i == 0) for b in blobs]) for i in range(4))
         if len(key):
             sent_key, sent_anchor = (np.concatenate([_unpack(b[2][i], np.uint64, i == 0) for b in blobs]) for i in range(2))
@@ -380,12 +381,11 @@ def _gathered(docs: DataFrame, tables, bits: int, part_bits: int) -> DataFrame:
             order = np.argsort(sent_anchor[at], kind="stable")
             mask = np.empty(len(known), np.int64)
             mask[order] = _masks(sent_anchor[at][order], [sides[r] for r in at[order]], first[order])
-            mask = np.where(doc > first[number], -1, mask[number])
-            out.append(pd.DataFrame({"doc_id": doc, "mark": mark, "place": place, "mask": mask})[mask != 0])
-        return pd.concat(out).astype({"mask": "int32"}) if out else pd.DataFrame({c: [] for c in ("doc_id", "mark", "place", "mask")})
+            out.append((doc, mark, place, np.where(doc > first[number], -1, mask[number])))
+        return pa.table(_by_document(*(np.concatenate(c) for c in zip(*out))))
 
     shared = docs.sparkSession.sparkContext.broadcast(tables)
-    return docs.mapInArrow(deal, "part int, data binary").groupBy("part").applyInPandas(solve, _SPAN)
+    return docs.mapInArrow(deal, "part int, data binary").groupBy("part").applyInArrow(solve, _SPANS)
 
 
 def _frequent(docs: DataFrame, tables, bits: int, part_bits: int, block: int) -> DataFrame:
@@ -442,12 +442,13 @@ def _frequent(docs: DataFrame, tables, bits: int, part_bits: int, block: int) ->
 
     def spread(batches):
         for batch in batches:
+            found = [(np.zeros(0, np.int64),) * 4]
             for data, first, mask in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 doc, mark, place = (_unpack(x, kind) for x, kind in zip(pickle.loads(data), (np.int64, np.int16, np.int32)))
-                mask = np.where(doc > first, -1, mask or 0).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(x[mask != 0]) for x in (doc, mark, place, mask)], names=["doc_id", "mark", "place", "mask"])
+                found.append((doc, mark, place, np.where(doc > first, -1, mask or 0)))
+            yield pa.RecordBatch.from_pydict(_by_document(*(np.concatenate(c) for c in zip(*found))))
 
-    return met.select("key", "data").join(decided, "key").select("data", "first_doc", "mask").mapInArrow(spread, _SPAN)
+    return met.select("key", "data").join(decided, "key").select("data", "first_doc", "mask").mapInArrow(spread, _SPANS)
 
 
 def covered(docs: DataFrame, bits: int = FILTER_BITS, often: int = OFTEN, block: int = _BLOCK) -> DataFrame:
@@ -459,7 +460,7 @@ def covered(docs: DataFrame, bits: int = FILTER_BITS, often: int = OFTEN, block:
     found = _gathered(rows, tables, bits, part_bits)
     if tables[2].any():
         found = found.union(_frequent(rows, tables, bits, part_bits, block))
-    return found.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("place", "mask")).alias("spans"))
+    return found.groupBy("doc_id", "mark").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def _mark():
@@ -480,26 +481,25 @@ def remove(docs: DataFrame, bits: int = FILTER_BITS, often: int = OFTEN, block:
 
     doubt = rows.join(F.broadcast(hit), "_bucket", "left_semi").join(spans, ["doc_id", "mark"], "left")
 
+    reach = LENGTH - ANCHOR
+
     def cut(batches):
         for batch in batches:
             out = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+            lists = batch.column("spans")
+            places, masks = (np.asarray(pc.struct_field(lists.flatten(), i), np.int64) for i in range(2))
+            ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(lists), 0)))
+            for text, some, start, end in zip(batch.column("text").to_pylist(), lists.is_valid().to_pylist(), [0, *ends.tolist()], ends.tolist()):
                 raw = text.encode()
-                if spans is None:
+                if not some:
                     out.append((len(raw), 0, 0, hashlib.sha256(raw).hexdigest(), None))
                     continue
-                edge = np.zeros(len(raw) + 1, np.int32)
-                reach = LENGTH - ANCHOR
-                for span in spans:
-                    low, high = max(0, span["place"] - reach), min(len(raw), span["place"] + LENGTH)
-                    if span["mask"] == -1:
-                        edge[low] += 1
-                        edge[high] -= 1
-                    else:
-                        for o in range(reach + 1):
-                            if span["mask"] >> o & 1:
-                                edge[span["place"] - reach + o] += 1
-                                edge[span["place"] - reach + o + LENGTH] -= 1
+                place, mask = places[start:end], masks[start:end]
+                whole = mask == -1
+                which, offset = np.nonzero(mask[~whole, None] >> np.arange(reach + 1) & 1)
+                low = np.append(np.maximum(place[whole] - reach, 0), place[~whole][which] - reach + offset)
+                high = np.append(np.minimum(place[whole] + LENGTH, len(raw)), low[whole.sum():] + LENGTH)
+                edge = np.bincount(low, minlength=len(raw) + 1) - np.bincount(high, minlength=len(raw) + 1)
                 gone = np.cumsum(edge[:-1]) > 0
                 kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
                 runs = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if len(raw) else 0

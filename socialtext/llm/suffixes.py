@@ -11,64 +11,49 @@ free place of their groups.
 
 from __future__ import annotations
 
+import numpy as np
 
-def suffix_array(symbols: list[int]) -> list[int]:
+
+def suffix_array(symbols: list[int] | np.ndarray) -> list[int]:
     """Order of the suffixes of ``symbols``, whose last entry must be smaller than all others."""
     n = len(symbols)
     if n < 2:
         return list(range(n))
-    order = sorted(range(n), key=symbols.__getitem__)
-    place, group, end = [0] * n, [0] * n, [0] * (n + 1)
-    start = 0
-    for i, suffix in enumerate(order):
-        if symbols[suffix] != symbols[order[start]]:
-            start = i
-        place[suffix], group[suffix], end[start] = i, start, i + 1
+    text = np.asarray(symbols)
+    first = np.argsort(text, kind="stable")
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(text[first]) != 0]))
+    sizes, spots, of = np.diff(np.append(starts, n)), np.empty(n, np.int64), np.empty(n, np.int64)
+    spots[first], of[first] = np.arange(n), np.repeat(starts, sizes)
+    ends = np.zeros(n + 1, np.int64)
+    ends[starts] = starts + sizes
+    order, place, group, end = first.tolist(), spots.tolist(), of.tolist(), ends.tolist()
 
     before = [-1] * n
     top = n
-    while top:
-        low = group[order[top - 1]]
-        members = order[low:top]
-        if len(members) > 1:
-            members.sort()
+    # The lowest group is the last suffix alone, which points at nothing. It also stands behind the first place: ``group[-1]`` ends a search.
+    while (low := group[order[top - 1]]):
         pointed: dict[int, int] = {}
-        for suffix in members:
+        for suffix in sorted(order[low:top]) if top - low > 1 else order[low:top]:
             at = suffix - 1
-            while at >= 0 and group[at] >= low:
+            while group[at] >= low:
                 at = before[at]
             before[suffix] = at
             if at >= 0:
                 pointed[at] = pointed.get(at, 0) + 1
-        if pointed:
-            by_count: dict[int, list[int]] = {}
-            for suffix, times in pointed.items():
-                by_count.setdefault(times, []).append(suffix)
-            for times in sorted(by_count, reverse=True):
-                by_group: dict[int, list[int]] = {}
-                for suffix in by_count[times]:
-                    by_group.setdefault(group[suffix], []).append(suffix)
-                for old, moved in by_group.items():
+        times = set(pointed.values())
+        for count in sorted(times, reverse=True):
+            back: dict[int, int] = {}  # per group, where its moved suffixes begin
+            for s in pointed if len(times) == 1 else [s for s, c in pointed.items() if c == count]:
+                old = group[s]
+                to = back[old] = (back[old] if old in back else end[old]) - 1
+                # Each one changes places with the last that is not moved yet.
+                here, other = place[s], order[to]
+                order[here], place[other] = other, here
+                order[to], place[s] = s, to
+            for old, new in back.items():
+                if new != old:
                     stop = end[old]
-                    new = stop - len(moved)
-                    if new == old:
-                        continue
-                    # The back of the group takes the moved suffixes; those that stood there and stay fill the gaps.
-                    inside = {s for s in moved if place[s] >= new}
-                    gaps = [place[s] for s in moved if place[s] < new]
-                    free = []
-                    for at in range(new, stop):
-                        other = order[at]
-                        if other not in inside:
-                            gap = gaps[len(free)]
-                            order[gap] = other
-                            place[other] = gap
-                            free.append(at)
-                    at = iter(free)
-                    for s in moved:
-                        if s not in inside:
-                            place[s] = next(at)
-                            order[place[s]] = s
+                    for s in order[new:stop]:
                         group[s] = new
                     end[old], end[new] = new, stop
         top = low

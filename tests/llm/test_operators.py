@@ -63,6 +63,30 @@ def test_repeats(docs, texts, nothing, often):
     assert repeats.remove(nothing).count() == 0
 
 
+def test_suffix_arrays_hold_shared_bytes_only(monkeypatch):
+    # Before, sides were cut at 1, 2, 3, 5, 8 or 12 bytes only, and a suffix was moved through several lists and sets.
+    sizes = []
+    whole = suffixes.suffix_array
+    monkeypatch.setattr(repeats, "suffix_array", lambda s: sizes.append(len(s)) or whole(s))
+    tail = b"0123456789ABCDEFGH"
+    sides = [(b"abcdefghijkl123456" + tail, 18), (b"ABCDEFGHIJKL\0" b"23456" + tail[:17] + b"x", 18), (b"none of the others", 9), (b"\0" b"6" + tail, 2)]
+    mask = repeats._masks(np.array([7, 7, 7, 7], np.uint64), sides, np.array([1, 2, 3, 4]))
+    # The first two share 5 bytes and 17, the last shares 1 and 18.
+    assert sizes == [(5 + 18 + 2) + (5 + 17 + 2) + (1 + 18 + 2) + 1]
+    assert mask.tolist() == [0, 0b111110 << 12, 0, 0b11 << 17]
+
+
+def test_copies_leave_a_task_as_one_row_per_document(spark, monkeypatch):
+    body = " ".join(f"word{i} and{i * 7}" for i in range(120))
+    df = spark.createDataFrame([(i, f"{i} {body}") for i in range(40)], "doc_id long, text string").coalesce(1)
+    sent = []
+    whole = repeats._frequent
+    monkeypatch.setattr(repeats, "_frequent", lambda *a: sent.append(whole(*a)) or sent[-1])
+    got = {r["doc_id"]: len(r["spans"]) for r in repeats.covered(df, bits=16, often=1, block=2).collect()}
+    assert sorted(got) == list(range(1, 40)) and min(got.values()) > 50
+    assert sent[0].count() < sum(got.values()) / 10  # before, a row per document and anchor
+
+
 def test_anchors_fill_parts_evenly():
     data = np.frombuffer(random.Random(5).randbytes(200_000), np.uint8)
     value, sides = (repeats.anchors(data, np.array([0, len(data)]))[i] for i in (4, 6))
