@@ -8,14 +8,14 @@ the driver; rows, terms and vectors never do.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from socialtext.operators import blocks
-from socialtext.session import stored
+from socialtext.session import discarded, stored
 
 
 @dataclass(frozen=True)
@@ -102,31 +102,34 @@ def truncated_svd(df: DataFrame, terms: Column, values: Column | None = None, *,
     given; null is 0). Each of the ``steps`` reads all rows once; values that lie closely together need more of them. Fewer than
     ``k`` values come back where the rows have a smaller rank. Null and empty lists are rows of zeros; an empty table has no values.
     """
-    rows = stored(_rows(df, terms, values, []), "svd-rows")
-    rows = blocks.dealt(rows, blocks.entry_count(rows))
+    kept = stored(_rows(df, terms, values, []), "svd-rows")
+    rows = blocks.dealt(kept, blocks.entry_count(kept))
     width = k + oversample
     names = rows.select(F.explode_outer(blocks.TERMS).alias("term")).where("term is not null").distinct()
     table = stored(names.select("term", _gaussian(F.col("term"), seed, width).alias("weights")), "svd-start")
     packed = blocks.pack(rows, table, width).kept()
+    discarded(kept)
     for _ in range(steps):
         sums, _ = blocks.passed(packed, _there_and_back, width, lambda weights, sums, held: sums, "svd-sums")
         parts, width = _orthonormal(sums, width)
-        packed = replace(packed, weights=parts, width=width)
+        discarded(sums)
+        packed = packed.moved_on(parts, width)
         if not width:
-            packed.rows.unpersist()
+            packed.without_rows()
             return SvdModel(table.limit(0), ())
     y = blocks.per_block(packed, _projected([]), "reduced array<double>")
     squares, turn = np.linalg.eigh(_gram(y, width, "reduced"))
     best = np.argsort(-squares)[: min(k, width)]
     best = best[squares[best] > squares.max() * 1e-14]
-    packed.rows.unpersist()
-    packed = replace(packed, weights=stored(blocks.mapped(packed.weights, width, lambda m, _: m @ turn[:, best]), "svd-terms"), width=len(best))
+    packed = packed.without_rows().moved_on(stored(blocks.mapped(packed.weights, width, lambda m, _: m @ turn[:, best]), "svd-terms"), len(best))
+    discarded(table)
     return SvdModel(packed.terms(), tuple(float(x) for x in np.sqrt(squares[best])))
 
 
 def project(model: SvdModel, df: DataFrame, id_col: str, terms: Column, values: Column | None = None) -> DataFrame:
     """``id, reduced``: the rows times the right singular vectors; terms that the model does not know add nothing."""
-    rows = stored(_rows(df, terms, values, [id_col]), "svd-rows")
-    rows = blocks.dealt(rows, blocks.entry_count(rows))
+    kept = stored(_rows(df, terms, values, [id_col]), "svd-rows")
+    packed = blocks.pack(blocks.dealt(kept, blocks.entry_count(kept)), model.terms, len(model.values))
+    discarded(kept)
     schema = T.StructType([df.schema[id_col], T.StructField("reduced", T.ArrayType(T.DoubleType()))])
-    return blocks.per_block(blocks.pack(rows, model.terms, len(model.values)), _projected([id_col]), schema)
+    return blocks.per_block(packed, _projected([id_col]), schema)
