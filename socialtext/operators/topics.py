@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from socialtext.functions.arrays import argmax, counted, exploded
 from socialtext.operators import blocks
 from socialtext.operators.coherence import coherence
-from socialtext.session import stored
+from socialtext.session import discarded, stored
 
 #: Entries (document, term) of a block, and of the part of a block that is worked on at once.
 BLOCK_ENTRIES, CHUNK_ENTRIES = 1 << 19, 1 << 15
@@ -171,8 +171,10 @@ def fit_topics(df: DataFrame, tokens_col: str = "tokens", *, k: int = 100, passe
     else:
         prior, terms = None, _start(known, k, seed)
     terms = stored(terms, "topics-start")
+    discarded(counts)
     model = TopicModel(terms, (alpha or 1 / k,) * k, eta or 1 / k, terms.count(), _totals(terms, k), inner, binary)
-    packed = blocks.pack(_blocked(blocks.dealt(docs, size)), terms, k).kept()
+    packed = blocks.pack(_blocked(blocks.dealt(docs, size)), terms, k, thin=True).kept()
+    discarded(docs)
     if prior is not None and decay > 0:
         prior = _part_prior(packed, prior, k)
     batches = max(1, round(1 / subsample))
@@ -182,13 +184,12 @@ def fit_topics(df: DataFrame, tokens_col: str = "tokens", *, k: int = 100, passe
         weights, stats = blocks.passed(now, _estimate(_settings(model)), k, _mixed(rate, batches, k), "topics-sums", prior if decay > 0 else None)
         if stats is None:  # nothing to learn from in this share
             continue
-        packed = replace(packed, weights=weights)
+        packed = packed.moved_on(weights)
         exact = rate == 1.0 and batches == 1 and (prior is None or decay == 0)
         totals = tuple(float(x) for x in stats[3 + k: 3 + 2 * k]) if exact else _totals(weights, k)
         model = replace(model, totals=totals, alpha=_learned(model.alpha, list(stats), k) if learn_alpha else model.alpha,
                         log_perplexities=(*model.log_perplexities, float(-stats[0] / stats[1])))
-    packed.rows.unpersist()
-    return replace(model, terms=packed.terms())
+    return replace(model, terms=packed.without_rows().terms())
 
 
 def _part_prior(packed: blocks.Packed, prior: DataFrame, k: int) -> DataFrame:
@@ -239,17 +240,20 @@ def topic_shares(model: TopicModel, df: DataFrame, id_col: str, *extra: str, tok
     """``id, shares, topic``: share of every topic and the strongest one. Without a known term: the shares of ``alpha``."""
     keep = list(dict.fromkeys((id_col, *extra)))
     docs = stored(_documents(df, tokens_col, model.binary, keep, 0), "topics-new")
-    docs = blocks.dealt(docs, blocks.entry_count(docs))
+    packed = blocks.pack(blocks.dealt(docs, blocks.entry_count(docs)), model.terms, model.k, thin=True)
+    discarded(docs)
     schema = T.StructType([*[df.schema[c] for c in keep], T.StructField("shares", T.ArrayType(T.DoubleType()))])
-    out = blocks.per_block(blocks.pack(docs, model.terms, model.k), _share_rows(_settings(model), schema), schema)
+    out = blocks.per_block(packed, _share_rows(_settings(model), schema), schema)
     return out.select(*keep, "shares", argmax(F.col("shares")).alias("topic"))
 
 
 def log_perplexity(model: TopicModel, df: DataFrame, tokens_col: str = "tokens") -> float:
     """Minus the mean log-likelihood of the known tokens, from shares estimated on the same tokens."""
     docs = stored(_documents(df, tokens_col, model.binary, [], 0), "topics-new")
-    packed = blocks.pack(_blocked(blocks.dealt(docs, blocks.entry_count(docs))), model.terms, model.k)
+    packed = blocks.pack(_blocked(blocks.dealt(docs, blocks.entry_count(docs))), model.terms, model.k, thin=True)
+    discarded(docs)
     _, stats = blocks.passed(packed, _estimate(_settings(model)), model.k, lambda weights, *_: weights, "topics-sums")
+    packed.without_rows()
     return math.nan if stats is None else float(-stats[0] / stats[1])
 
 
@@ -262,22 +266,23 @@ def slice_topics(model: TopicModel, df: DataFrame, slice_col: str, tokens_col: s
     return means.select(slice_col, F.posexplode("_m").alias("topic", "share"))
 
 
-def _word_sums(model: dict, slice_col: str, tokens_col: str, schema: T.StructType):
+def _word_sums(model: dict, slice_col: str, schema: T.StructType):
     """Of one block: the topic shares of its documents summed over the tokens, a row per slice and word."""
     shares = _share_rows(model, T.StructType([T.StructField("shares", T.ArrayType(T.DoubleType()))]))
     k = len(model["alpha"])
 
-    def run(rows: pa.Table, weights: np.ndarray, entries) -> pa.Table:
+    def run(rows: pa.Table, weights: np.ndarray, entries, terms: pa.Array) -> pa.Table:
         theta = np.asarray(shares(rows, weights, entries).column("shares").combine_chunks().flatten(), float).reshape(-1, k)
-        lists, slices = (rows.column(c).combine_chunks() for c in (tokens_col, slice_col))
-        words, slices = lists.flatten().dictionary_encode(), slices.dictionary_encode()
-        row = np.repeat(np.arange(len(lists)), np.asarray(pc.fill_null(pc.list_value_length(lists), 0)))
-        of, word = (np.asarray(pc.fill_null(x.indices, len(x.dictionary)), np.int64) for x in (slices, words))  # the last number is null
-        row, word = row[word < len(words.dictionary)], word[word < len(words.dictionary)]
-        width = len(words.dictionary) + 1
+        lists, slices = (rows.column(c).combine_chunks() for c in (blocks.TERMS, slice_col))
+        word, n = (np.asarray(x.flatten()) for x in (lists, rows.column("_times").combine_chunks()))
+        slices = slices.dictionary_encode()
+        row = np.repeat(np.arange(len(lists)), np.asarray(pc.list_value_length(lists)))
+        of = np.asarray(pc.fill_null(slices.indices, len(slices.dictionary)), np.int64)  # the last number is null
+        width = max(1, len(terms))
         held, at = np.unique(of[row] * width + word, return_inverse=True)
-        sums = np.stack([np.bincount(at, weights=theta[row, j], minlength=len(held)) for j in range(k)], axis=1)
-        keys = [x.dictionary.take(pa.array(n, mask=n == len(x.dictionary))) for x, n in ((slices, held // width), (words, held % width))]
+        sums = np.stack([np.bincount(at, weights=theta[row, j] * n, minlength=len(held)) for j in range(k)], axis=1)
+        slice_of = held // width
+        keys = [slices.dictionary.take(pa.array(slice_of, mask=slice_of == len(slices.dictionary))), terms.take(pa.array(held % width))]
         return pa.table([*keys, blocks.lists_of(sums)], names=schema.names)
 
     return run
@@ -290,15 +295,19 @@ def slice_topic_words(model: TopicModel, df: DataFrame, slice_col: str, tokens_c
     however often the result is read.
     """
     k = model.k
-    docs = stored(_documents(df, tokens_col, model.binary, [slice_col, tokens_col], 0), "topics-new")
-    docs = blocks.dealt(docs, blocks.entry_count(docs))
-    schema = T.StructType([df.schema[slice_col], T.StructField("word", df.schema[tokens_col].dataType.elementType), T.StructField("_sums", T.ArrayType(T.DoubleType()))])
-    found = blocks.per_block(blocks.pack(docs, model.terms, k), _word_sums(_settings(model), slice_col, tokens_col, schema), schema)
+    pairs = F.coalesce(counted(F.array_compact(F.coalesce(F.col(tokens_col), F.array().cast("array<string>")))), F.array().cast("array<struct<term:string,tf:bigint>>"))
+    docs = df.select(slice_col, pairs.alias("_c"), F.rand(0).alias("_u")).select(slice_col, F.col("_c.term").alias(blocks.TERMS), F.col("_c.tf").alias("_times"), "_u")
+    docs = stored(docs if model.binary else docs.withColumn(blocks.VALUES, F.col("_times")), "topics-new")
+    packed = blocks.pack(blocks.dealt(docs, blocks.entry_count(docs)), model.terms, k)
+    discarded(docs)
+    schema = T.StructType([df.schema[slice_col], T.StructField("word", T.StringType()), T.StructField("_sums", T.ArrayType(T.DoubleType()))])
 
     def summed(rows: DataFrame, *keys: str) -> DataFrame:
         return rows.groupBy(*keys).agg(F.array(*[F.sum(F.get("_sums", F.lit(i))) for i in range(k)]).alias("_sums"))
 
+    found = blocks.per_block(packed, _word_sums(_settings(model), slice_col, schema), schema, with_terms=True, fold=lambda rows: summed(rows, slice_col, "word"))
     sums = stored(summed(found, slice_col, "word"), "topics-slice-words")
+    packed.without_rows()
     totals = stored(summed(sums, slice_col), "topics-slice-totals").withColumnRenamed("_sums", "_totals")
     return (sums.join(F.broadcast(totals), slice_col)  # a row per slice
             .select(slice_col, "word", "_totals", F.posexplode("_sums").alias("topic", "_mass"))
