@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import functions as F, types as T
 
 from socialtext.catalog.registry import query, table
 from socialtext.catalog.texts import GRAM_SQL
 from socialtext.functions import dates
 from socialtext.operators import counts, filters, joins, merge, reshape, sampling
-from socialtext.session import ensure_checkpoint_dir
+from socialtext.session import ensure_checkpoint_dir, without_leftovers
 from socialtext.sources import categories, incremental, readers
 
 START, END = dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 20, 12)
@@ -557,6 +559,28 @@ def window_counts_stream(spark, sf):
     return rows.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "n")
 
 
+#: Posts in one line of a file, at most.
+LINE_POSTS = 5000
+
+
+def _lines(batches):
+    """``part, value`` from ``part, line, p`` with the rows of a line together: JSON arrays of up to ``LINE_POSTS`` texts."""
+    key, texts = None, []
+
+    def line():
+        return pa.RecordBatch.from_pydict({"part": pa.array([key[0]], pa.string()), "value": pa.array([json.dumps(texts, ensure_ascii=False)], pa.string())})
+
+    for batch in batches:
+        for *new, text in zip(*(batch.column(c).to_pylist() for c in ("part", "line", "p"))):
+            if texts and (new != key or len(texts) >= LINE_POSTS):
+                yield line()
+                texts = []
+            key = new
+            texts.append(text)
+    if texts:
+        yield line()
+
+
 def _post_files(spark, sf, folder: str) -> None:
     """Documents as nested posts in files of JSON arrays of JSON texts; ``lang`` and ``source`` are fields that no schema declares."""
     docs = table(spark, sf, "documents")
@@ -564,8 +588,9 @@ def _post_files(spark, sf, folder: str) -> None:
     post = F.to_json(F.struct(F.col("doc_id").alias("id"), F.lit("Thu Apr 02 10:00:00 +0000 2020").alias("created_at"), "text",
                               F.struct((F.col("doc_id") % 97 + 1).alias("id")).alias("user"), entities.alias("entities")))
     name = F.format_string("streamed_02_04_2020_%02d_00_00", (F.col("doc_id") % 4).cast("int"))
-    lines = docs.select(name.alias("part"), (F.col("doc_id") % 16).alias("line"), post.alias("p")).groupBy("part", "line").agg(F.to_json(F.collect_list("p")).alias("value"))
-    lines.select("part", "value").write.partitionBy("part").text(folder)
+    posts = docs.select(name.alias("part"), (F.col("doc_id") % 16).alias("line"), post.alias("p")).repartition("part", "line").sortWithinPartitions("part", "line")
+    with without_leftovers(spark):
+        posts.mapInArrow(_lines, "part string, value string").write.partitionBy("part").text(folder)
 
 
 def _ingested(spark, sf, stream: bool):
